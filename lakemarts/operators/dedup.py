@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,11 +46,12 @@ def dedup_by_key(
     """
     if not df.schema[key].dataType.typeName() in ("integer", "long", "short", "byte"):
         raise ValueError(f"dedup_by_key needs an integer key, {key!r} is not one")
-    keys = repeated_keys(df, key).persist(StorageLevel.MEMORY_AND_DISK)
+    keys = repeated_keys(df, key)
     found = keys.count()
-    if found == 0 or found > broadcast_keys:
-        keys.unpersist()
-        return clean(df) if found == 0 else dedup_rows(clean(df))
+    if found == 0:
+        return clean(df)
+    if found > broadcast_keys:
+        return dedup_rows(clean(df))
     is_repeated = quoted(key).eqNullSafe(F.col("repeated_key"))
     few = F.broadcast(keys)
     single = df.join(few, is_repeated, "left_anti")

@@ -37,9 +37,8 @@ def repayment_schedule(
     due = loans.where(F.col(payments) >= 1).withColumn(
         "payment_number", F.explode(F.sequence(F.lit(1), F.col(payments)))
     )
-    return due.withColumn(
-        "payment_date", F.date_sub(F.col(anchor), F.col("payment_number") * step_days)
-    )
+    days_back = (F.col("payment_number") * step_days).cast("int")
+    return due.withColumn("payment_date", F.date_sub(F.col(anchor), days_back))
 
 
 def product_rule_violations(accounts: DataFrame) -> DataFrame:

@@ -66,7 +66,7 @@ def land_bronze(
         rows = conform(apply_defaults(sources[name], spec, run_time), spec)
         save_table(rows, settings.bronze_table(spec.domain, name), settings)
 
-    _run_each(land, list(sources), settings)
+    _run_each(spark, land, list(sources), settings)
 
 
 def bronze_tables(spark: SparkSession, settings: LakeSettings) -> dict[str, DataFrame]:
@@ -98,7 +98,7 @@ def build_silver(spark: SparkSession, settings: LakeSettings) -> None:
             silver_rows(bronze, spec, settings), settings.silver_table(spec.domain, name), settings
         )
 
-    _run_each(refine, list(TABLES), settings)
+    _run_each(spark, refine, list(TABLES), settings)
 
 
 def silver_rows(bronze: DataFrame, spec: TableSpec, settings: LakeSettings) -> DataFrame:
@@ -126,7 +126,7 @@ def build_gold(spark: SparkSession, settings: LakeSettings) -> None:
         ]
         save_table(plan(*tables), settings.gold_table(mart), settings)
 
-    _run_each(build, list(MART_PLANS), settings)
+    _run_each(spark, build, list(MART_PLANS), settings)
 
 
 def refresh_lakehouse(spark: SparkSession, settings: LakeSettings) -> DataFrame:
@@ -182,8 +182,11 @@ def _create_databases(spark: SparkSession, settings: LakeSettings, layer: str) -
         create_database(spark, settings.database(domain, layer), settings)
 
 
-def _run_each(job: Callable[[str], None], names: list[str], settings: LakeSettings) -> None:
+def _run_each(
+    spark: SparkSession, job: Callable[[str], None], names: list[str], settings: LakeSettings
+) -> None:
+    in_session = inheritable_thread_target(spark)
     with ThreadPoolExecutor(max_workers=settings.parallel_tables) as pool:
-        running = [pool.submit(inheritable_thread_target(job), name) for name in names]
+        running = [pool.submit(in_session(job), name) for name in names]
     for table in running:
         table.result()
