@@ -18,14 +18,11 @@ from lakemarts.functions.text import quoted
 from lakemarts.operators.cleaning import dedup_rows
 
 #: Repeated keys are broadcast up to this many; eight bytes and a hash entry
-#: each, so below about 100 MB on an executor. Beyond, the plain path is used.
+#: each, so below about 100 MB on an executor.
 BROADCAST_KEYS = 1_000_000
 
-
-def repeated_keys(df: DataFrame, key: str) -> DataFrame:
-    """Keys (null included) that occur more than once."""
-    counted = df.groupBy(quoted(key).alias("repeated_key")).agg(F.count(F.lit(1)).alias("n"))
-    return counted.where("n > 1").select("repeated_key")
+#: With a larger part of the rows to compare, a second scan does not pay off.
+WORTH_SPLITTING = 0.1
 
 
 def dedup_by_key(
@@ -33,27 +30,33 @@ def dedup_by_key(
     key: str,
     clean: Callable[[DataFrame], DataFrame] = lambda rows: rows,
     broadcast_keys: int = BROADCAST_KEYS,
+    worth_splitting: float = WORTH_SPLITTING,
 ) -> DataFrame:
     """``dedup_rows(clean(df))``, found by way of an integer ``key`` column.
 
     ``clean`` has to work row by row and leave the key as it is. This runs one
-    Spark job to count the repeated keys and then picks the cheapest exact
-    plan:
+    Spark job over the key column and then picks the cheapest exact plan:
 
-    * none repeated: nothing to drop, no wide shuffle at all;
+    * no key repeated: nothing to drop, no wide shuffle at all;
     * few: only the rows of those keys are shuffled and compared;
     * many: all rows are shuffled and compared.
     """
-    if not df.schema[key].dataType.typeName() in ("integer", "long", "short", "byte"):
+    if df.schema[key].dataType.typeName() not in ("integer", "long", "short", "byte"):
         raise ValueError(f"dedup_by_key needs an integer key, {key!r} is not one")
-    keys = repeated_keys(df, key)
-    found = keys.count()
-    if found == 0:
+    counted = df.groupBy(quoted(key).alias("repeated_key")).agg(F.count(F.lit(1)).alias("n"))
+    repeated = F.col("n") > 1
+    found = counted.agg(
+        F.count_if(repeated).alias("keys"),
+        F.coalesce(F.sum(F.when(repeated, F.col("n"))), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("all_rows"),
+    ).first()
+    if found.keys == 0:
         return clean(df)
-    if found > broadcast_keys:
+    if found.keys > broadcast_keys or found.rows > worth_splitting * found.all_rows:
         return dedup_rows(clean(df))
+    # Checked above to be few, hence the broadcast.
+    few = F.broadcast(counted.where(repeated).select("repeated_key"))
     is_repeated = quoted(key).eqNullSafe(F.col("repeated_key"))
-    few = F.broadcast(keys)
     single = df.join(few, is_repeated, "left_anti")
     several = df.join(few, is_repeated, "left_semi")
     return clean(single).unionByName(dedup_rows(clean(several)))

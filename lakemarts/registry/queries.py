@@ -21,7 +21,7 @@ from lakemarts.operators.joins import left_join, left_join_chain
 from lakemarts.plans import marts, medallion, pages
 from lakemarts.schemas import TABLES
 from lakemarts.settings import LakeSettings
-from lakemarts.sources.bank_views import SPENDING_SECTORS, bank_table, bank_tables
+from lakemarts.sources.bank_views import SPENDING_SECTORS, bank_table, bank_tables, given_table
 from lakemarts.sources.catalog import create_database, save_table, shared_folder
 from lakemarts.sources.readers import read_table, sample_rows
 
@@ -325,7 +325,7 @@ def canonical_case(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def canonical_case_table(spark: SparkSession, data_dir: str) -> DataFrame:
     customers = bank_table(spark, data_dir, "customers").select("customer_id", "city")
-    nation = spark.read.parquet(f"{data_dir}/nation.parquet")
+    nation = given_table(spark, data_dir, "nation")
     return profile.canonical_case_from(customers, "city", nation, "n_name")
 
 

@@ -108,13 +108,21 @@ COPIES = [
 ]
 
 
-@pytest.mark.parametrize("limit", [0, 2, 1_000_000])
-def test_dedup_by_key_equals_dedup(spark, limit):
+@pytest.mark.parametrize("limit, share", [(0, 1.0), (2, 1.0), (1_000_000, 0.1), (1_000_000, 1.0)])
+def test_dedup_by_key_equals_dedup(spark, limit, share):
     df = spark.createDataFrame(COPIES, "id int, city string")
-    quick = dedup_by_key(df, "id", cleaning.clean_columns, broadcast_keys=limit)
+    quick = dedup_by_key(df, "id", cleaning.clean_columns, limit, share)
     assert sorted(values(quick), key=repr) == sorted(values(cleaning.clean_table(df)), key=repr)
 
 
+def test_dedup_by_key_compares_only_repeated_keys(spark):
+    df = spark.range(1000).selectExpr("id", "CAST(id AS STRING) AS city")
+    kept = dedup_by_key(df.union(df.where("id < 5")), "id", cleaning.clean_columns)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "LeftSemi" in plan
+    assert kept.count() == 1000
+
+
 def test_dedup_by_unique_key_shuffles_nothing(spark):
     df = spark.range(1000).selectExpr("id", "CAST(id AS STRING) AS city")
     kept = dedup_by_key(df, "id", cleaning.clean_columns)
@@ -144,5 +152,5 @@ def test_clean_table_properties(spark, rows):
     assert set(got) == expected and len(got) == len(expected)
     # Without personal columns, cleaning again changes nothing.
     assert sorted(values(cleaning.clean_table(once)), key=repr) == sorted(got, key=repr)
-    quick = dedup_by_key(df, "id", cleaning.clean_columns)
+    quick = dedup_by_key(df, "id", cleaning.clean_columns, worth_splitting=1.0)
     assert sorted(values(quick), key=repr) == sorted(got, key=repr)
