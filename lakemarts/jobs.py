@@ -32,8 +32,13 @@ def parse(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--strict", action="store_true", help="stop on broken rules")
     parser.add_argument("--parallel-tables", type=int, default=4)
     parser.add_argument("--shuffled-gb", type=int, help="size of the largest shuffle")
-    parser.add_argument("--source-format", choices=("parquet", "csv"), default="parquet")
-    parser.add_argument("--source", help="folder with one folder or file per table")
+    parser.add_argument("--source-format", choices=("parquet", "csv", "jdbc"), default="parquet")
+    parser.add_argument(
+        "--source",
+        help="folder with one folder or file per table, or a JDBC URL in which {domain}"
+        " stands for the database",
+    )
+    parser.add_argument("--jdbc-partitions", type=int, default=64)
     return parser.parse_args(argv)
 
 
@@ -52,6 +57,9 @@ def settings_of(args: argparse.Namespace) -> LakeSettings:
 
 
 def source_table(spark: SparkSession, args: argparse.Namespace, spec: TableSpec) -> DataFrame:
+    if args.source_format == "jdbc":
+        url = args.source.replace("{domain}", spec.domain)
+        return readers.read_jdbc(spark, spec, url, args.jdbc_partitions)
     path = f"{args.source.rstrip('/')}/{spec.name}"
     if args.source_format == "csv":
         return readers.read_csv(spark, path, spec)

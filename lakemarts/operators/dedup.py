@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from lakemarts.functions.text import quoted
 from lakemarts.operators.cleaning import dedup_rows
@@ -25,6 +26,10 @@ BROADCAST_KEYS = 1_000_000
 WORTH_SPLITTING = 0.1
 
 
+def is_integer_key(df: DataFrame, key: str) -> bool:
+    return isinstance(df.schema[key].dataType, IntegralType)
+
+
 def dedup_by_key(
     df: DataFrame,
     key: str,
@@ -41,7 +46,7 @@ def dedup_by_key(
     * few: only the rows of those keys are shuffled and compared;
     * many: all rows are shuffled and compared.
     """
-    if df.schema[key].dataType.typeName() not in ("integer", "long", "short", "byte"):
+    if not is_integer_key(df, key):
         raise ValueError(f"dedup_by_key needs an integer key, {key!r} is not one")
     counted = df.groupBy(quoted(key).alias("repeated_key")).agg(F.count(F.lit(1)).alias("n"))
     repeated = F.col("n") > 1

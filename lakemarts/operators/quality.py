@@ -68,19 +68,40 @@ def length_rules(spec: TableSpec) -> dict[str, Column]:
     return {name: F.length(quoted(name)) > limit for name, limit in spec.lengths.items()}
 
 
+#: Rules that look at one row at a time, by kind.
+ROW_RULES = {"not null": not_null_rules, "range": range_rules, "length": length_rules}
+
+
 def audit_not_null(tables: Tables) -> DataFrame:
     """NOT NULL (Q2): ``table_name, column_name, violations``."""
-    return _count_rules(tables, not_null_rules)
+    return audit_rows(tables, "not null").drop("rule")
 
 
 def audit_check(tables: Tables) -> DataFrame:
     """CHECK ranges (Q5): ``table_name, column_name, violations``."""
-    return _count_rules(tables, range_rules)
+    return audit_rows(tables, "range").drop("rule")
 
 
 def audit_length(tables: Tables) -> DataFrame:
     """VARCHAR lengths (Q6). Meant for Bronze: a digest outgrows a name column."""
-    return _count_rules(tables, length_rules)
+    return audit_rows(tables, "length").drop("rule")
+
+
+def audit_rows(tables: Tables, *kinds: str) -> DataFrame:
+    """Row rules of several kinds: ``rule, table_name, column_name, violations``.
+
+    Each table is scanned once, for all of its rules.
+    """
+    counts = []
+    for name, df in tables.items():
+        rules = {
+            (kind, column): broken
+            for kind in kinds
+            for column, broken in ROW_RULES[kind](TABLES[name]).items()
+        }
+        if rules:
+            counts.append(_violation_counts(name, df, rules))
+    return union_all(counts)
 
 
 def check_violations(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -89,18 +110,19 @@ def check_violations(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.where(reduce(Column.__or__, rules)) if rules else df.where(F.lit(False))
 
 
-def _count_rules(tables: Tables, rules_of) -> DataFrame:
-    audited = [(name, df, rules_of(TABLES[name])) for name, df in tables.items()]
-    return union_all(
-        [_violation_counts(name, df, rules) for name, df, rules in audited if rules]
-    )
-
-
-def _violation_counts(name: str, df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+def _violation_counts(
+    name: str, df: DataFrame, rules: Mapping[tuple[str, str], Column]
+) -> DataFrame:
     """All rules of one table in one aggregate, then one row per rule."""
-    counted = df.agg(*[F.count_if(broken).alias(column) for column, broken in rules.items()])
-    per_rule = counted.unpivot([], list(rules), "column_name", "violations")
-    return per_rule.select(F.lit(name).alias("table_name"), "column_name", "violations")
+    labels = ["/".join(rule) for rule in rules]
+    counted = df.agg(*[F.count_if(broken).alias(n) for n, broken in zip(labels, rules.values())])
+    per_rule = counted.unpivot([], [quoted(label) for label in labels], "label", "violations")
+    return per_rule.select(
+        F.split_part("label", F.lit("/"), F.lit(1)).alias("rule"),
+        F.lit(name).alias("table_name"),
+        F.split_part("label", F.lit("/"), F.lit(2)).alias("column_name"),
+        "violations",
+    )
 
 
 # --- uniqueness ---------------------------------------------------------------

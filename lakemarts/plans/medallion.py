@@ -18,12 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemarts.operators.cleaning import clean_columns, clean_table
-from lakemarts.operators.dedup import dedup_by_key
+from lakemarts.operators.dedup import dedup_by_key, is_integer_key
 from lakemarts.operators.quality import (
     apply_defaults,
-    audit_check,
     audit_fk,
-    audit_not_null,
+    audit_rows,
     audit_unique,
     row_counts,
     union_all,
@@ -104,10 +103,11 @@ def build_silver(spark: SparkSession, settings: LakeSettings) -> None:
 def silver_rows(bronze: DataFrame, spec: TableSpec, settings: LakeSettings) -> DataFrame:
     """The Silver rows of one table; same rows with either kind of dedup."""
     options = {"blank_pii": settings.blank_pii, "salt": settings.salt}
-    if not settings.dedup_by_key:
-        return clean_table(bronze, **options)
     by_name = {name.strip().lower(): name for name in bronze.columns}
-    return dedup_by_key(bronze, by_name[spec.primary_key], partial(clean_columns, **options))
+    key = by_name.get(spec.primary_key)
+    if settings.dedup_by_key and key is not None and is_integer_key(bronze, key):
+        return dedup_by_key(bronze, key, partial(clean_columns, **options))
+    return clean_table(bronze, **options)
 
 
 def build_gold(spark: SparkSession, settings: LakeSettings) -> None:
@@ -148,8 +148,7 @@ def refresh_lakehouse(spark: SparkSession, settings: LakeSettings) -> DataFrame:
 
 def broken_rules(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Declared rules with violations: ``rule, table_name, column_name, violations``."""
-    row_rules = {"not null": audit_not_null, "range": audit_check}
-    found = [audit(tables).withColumn("rule", F.lit(rule)) for rule, audit in row_rules.items()]
+    found = [audit_rows(tables, "not null", "range")]
     found.append(
         audit_unique(tables)
         .withColumn("rule", F.lit("unique"))

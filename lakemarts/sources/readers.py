@@ -55,16 +55,19 @@ def jdbc_options(
     }
 
 
+def jdbc_bounds_query(spec: TableSpec) -> str:
+    """The smallest and largest key, found by the source database."""
+    key = spec.primary_key
+    return f"SELECT min({key}) AS low, max({key}) AS high FROM {spec.name}"
+
+
 def read_jdbc(
-    spark: SparkSession,
-    spec: TableSpec,
-    url: str,
-    low: int,
-    high: int,
-    partitions: int,
-    **credentials: str,
+    spark: SparkSession, spec: TableSpec, url: str, partitions: int, **credentials: str
 ) -> DataFrame:
     """A source database table, read in parallel. Needs the driver's jar."""
+    source = spark.read.format("jdbc").options(**credentials)
+    bounds = source.options(url=url, query=jdbc_bounds_query(spec)).load().first()
+    low, high = (0, 0) if bounds.low is None else (bounds.low, bounds.high)
     options = jdbc_options(spec, url, low, high, partitions)
     return spark.read.format("jdbc").options(**options, **credentials).load()
 

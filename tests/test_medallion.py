@@ -84,6 +84,19 @@ def test_full_dedup_gives_the_same_silver(spark, lake):
         )
 
 
+def test_silver_without_an_integer_key_compares_whole_rows(spark):
+    rows_in = spark.createDataFrame([("1", "a "), ("1", "a"), ("2", "a")], "card_id string, x string")
+    spec = TABLES["credit_cards"]
+    assert medallion.silver_rows(rows_in, spec, LakeSettings()).count() == 2
+    assert medallion.silver_rows(rows_in.drop("card_id"), spec, LakeSettings()).count() == 1
+
+
+def test_silver_key_is_found_under_its_raw_name(spark):
+    rows_in = spark.createDataFrame([(1, "a "), (1, "a"), (2, "a")], "` CARD_ID` int, x string")
+    silver = medallion.silver_rows(rows_in, TABLES["credit_cards"], LakeSettings())
+    assert silver.columns == ["card_id", "x"] and silver.count() == 2
+
+
 def test_strict_run_stops_on_broken_rules(spark, lake):
     with pytest.raises(medallion.AuditFailed, match="unique: transactions.transaction_id"):
         medallion.build_gold(spark, replace(lake, strict=True))
@@ -166,6 +179,11 @@ def test_jdbc_read_is_cut_by_the_key():
         readers.jdbc_options(TABLES["transactions"], "jdbc:x", 9, 1, 8)
 
 
+def test_jdbc_bounds_come_from_the_key():
+    query = readers.jdbc_bounds_query(TABLES["loan_repayments"])
+    assert query == "SELECT min(repayment_id) AS low, max(repayment_id) AS high FROM loan_repayments"
+
+
 def test_sample_is_in_key_order(spark):
     df = spark.range(100).repartition(7)
     assert [r.id for r in readers.sample_rows(df, 3, "id").collect()] == [0, 1, 2]

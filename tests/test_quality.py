@@ -46,6 +46,20 @@ def test_lengths(spark):
     ]
 
 
+def test_row_rules_of_a_table_are_counted_in_one_scan(spark, tmp_path):
+    path = str(tmp_path / "alerts")
+    table(spark, "fraud_alerts", dict(alert_id=1, risk_score=101)).write.parquet(path)
+    audit = quality.audit_rows(
+        {"fraud_alerts": spark.read.parquet(path)}, "not null", "range", "length"
+    )
+    assert audit._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    counts = {(r.rule, r.column_name): r.violations for r in audit.collect()}
+    assert counts[("range", "risk_score")] == 1
+    assert counts[("not null", "alert_type")] == 1
+    assert counts[("length", "alert_type")] == 0
+    assert len(counts) == 7
+
+
 def test_unique_ignores_nulls(spark):
     scores = table(
         spark,
