@@ -29,7 +29,7 @@ from lakemarts.operators.quality import (
 )
 from lakemarts.plans import marts
 from lakemarts.schemas import TABLES, TableSpec
-from lakemarts.settings import GOLD_DATABASE, GOLD_TABLES, LakeSettings
+from lakemarts.settings import GOLD_DATABASE, LakeSettings
 from lakemarts.sources.catalog import create_database, save_table
 from lakemarts.sources.readers import conform, read_table
 
@@ -83,7 +83,7 @@ def silver_tables(spark: SparkSession, settings: LakeSettings) -> dict[str, Data
 
 
 def gold_tables(spark: SparkSession, settings: LakeSettings) -> dict[str, DataFrame]:
-    return {mart: read_table(spark, settings.gold_table(mart)) for mart in GOLD_TABLES}
+    return {mart: read_table(spark, settings.gold_table(mart)) for mart in MART_PLANS}
 
 
 def build_silver(spark: SparkSession, settings: LakeSettings) -> None:
@@ -119,14 +119,25 @@ def build_gold(spark: SparkSession, settings: LakeSettings) -> None:
         require_clean(silver_tables(spark, settings))
     create_database(spark, settings.database(GOLD_DATABASE), settings)
 
-    def build(mart: str) -> None:
-        plan, inputs = MART_PLANS[mart]
-        tables = [
-            read_table(spark, settings.silver_table(TABLES[name].domain, name)) for name in inputs
-        ]
-        save_table(plan(*tables), settings.gold_table(mart), settings)
+    def save(mart: str, df: DataFrame) -> DataFrame:
+        save_table(df, settings.gold_table(mart), settings)
+        return read_table(spark, settings.gold_table(mart))
 
-    _run_each(spark, build, list(MART_PLANS), settings)
+    def build(mart: str) -> None:
+        if mart == "loan_totals":
+            # Both loan marts are cut from one small written table.
+            loans, repayments = MART_PLANS["loans"][1]
+            totals = save(mart, marts.loan_totals(silver(loans), silver(repayments)))
+            save("loans", marts.loans_of(totals))
+            save("loans_exact", marts.loans_exact_of(totals))
+        else:
+            plan, inputs = MART_PLANS[mart]
+            save(mart, plan(*[silver(name) for name in inputs]))
+
+    def silver(name: str) -> DataFrame:
+        return read_table(spark, settings.silver_table(TABLES[name].domain, name))
+
+    _run_each(spark, build, ["loan_totals", "financial_health", "transactions", "fraud"], settings)
 
 
 def refresh_lakehouse(spark: SparkSession, settings: LakeSettings) -> DataFrame:

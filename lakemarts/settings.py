@@ -15,6 +15,7 @@ GOLD_TABLES = {
     "transactions": "gold_fact_transactions_analytics",
     "loans": "gold_fact_loans_and_credit",
     "loans_exact": "gold_fact_loans_and_credit_exact",
+    "loan_totals": "gold_stage_loan_totals",
     "fraud": "gold_fact_fraud_risk",
 }
 

@@ -198,6 +198,20 @@ def test_group_without_amounts(spark):
     assert row["transaction_month"] == datetime(2024, 2, 1)
 
 
+def test_month_does_not_depend_on_the_session_zone(spark):
+    moment = datetime(2024, 3, 1, 0, 30)
+    rows = table(spark, "transactions", dict(transaction_id=1, transaction_timestamp=moment))
+    try:
+        for zone in ("America/Los_Angeles", "Asia/Tokyo", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            month = marts.mart_transactions(rows).selectExpr(
+                "CAST(transaction_month AS STRING)"
+            )
+            assert month.first()[0] == "2024-03-01 00:00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_mean_is_rounded_at_six_digits_and_then_at_two(spark):
     base = table(spark, "transactions", dict(transaction_id=1))
     rows = base.select(

@@ -11,7 +11,7 @@ from lakemarts import jobs
 from lakemarts.plans import medallion
 from lakemarts.registry.queries import QUERIES
 from lakemarts.schemas import TABLES
-from lakemarts.settings import GOLD_TABLES, LakeSettings, shuffle_partitions
+from lakemarts.settings import LakeSettings, shuffle_partitions
 from lakemarts.sources import readers
 from lakemarts.sources.bank_views import bank_tables
 from lakemarts.sources.catalog import create_database, save_table, shared_folder
@@ -59,7 +59,7 @@ def test_silver_equals_the_plain_cleaning_step(spark, lake, name):
     assert rows(written) == rows(QUERIES[f"silver_{name}"](spark, DATA_DIR))
 
 
-@pytest.mark.parametrize("mart", GOLD_TABLES)
+@pytest.mark.parametrize("mart", medallion.MART_PLANS)
 def test_gold_equals_the_mart_query(spark, lake, mart):
     written = medallion.gold_tables(spark, lake)[mart]
     expected = QUERIES[f"mart_{mart}"](spark, DATA_DIR)
@@ -71,7 +71,7 @@ def test_gold_equals_the_mart_query(spark, lake, mart):
 
 def test_refresh_can_be_repeated(spark, lake):
     counts = rows(medallion.refresh_lakehouse(spark, lake))
-    assert len(counts) == 2 * len(TABLES) + len(GOLD_TABLES)
+    assert len(counts) == 2 * len(TABLES) + len(medallion.MART_PLANS)
     assert counts == rows(medallion.refresh_lakehouse(spark, lake))
 
 
@@ -200,7 +200,7 @@ def test_steps_from_the_command_line(spark, tmp_path):
         args = jobs.parse([step, "--source", str(tmp_path / "source"), *common])
         assert jobs.run(spark, args) is None
     report = jobs.run(spark, jobs.parse(["refresh", *common]))
-    assert report.where("layer = 'gold'").count() == len(GOLD_TABLES)
+    assert report.where("layer = 'gold'").count() == len(medallion.MART_PLANS)
     broken = jobs.run(spark, jobs.parse(["audit", *common]))
     assert "unique" in {row.rule for row in broken.collect()}
     with pytest.raises(SystemExit):
