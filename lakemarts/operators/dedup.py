@@ -11,20 +11,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from lakemarts.functions.text import quoted
 from lakemarts.operators.cleaning import dedup_rows
 
-#: Repeated keys are broadcast up to this many; eight bytes and a hash entry
-#: each, so below about 100 MB on an executor.
+#: Repeated keys (or blocks of them) are broadcast up to this many; eight bytes
+#: and a hash entry each, so below about 100 MB on an executor.
 BROADCAST_KEYS = 1_000_000
 
 #: With a larger part of the rows to compare, a second scan does not pay off.
 WORTH_SPLITTING = 0.1
 
+#: A block is a run of 2**16 neighbouring keys. A replayed batch of a serial key
+#: repeats runs of keys, so a few blocks stand for very many of them.
+BLOCK_BITS = 16
+
 
 def is_integer_key(df: DataFrame, key: str) -> bool:
     return isinstance(df.schema[key].dataType, IntegralType)
@@ -39,29 +43,47 @@ def dedup_by_key(
 ) -> DataFrame:
     """``dedup_rows(clean(df))``, found by way of an integer ``key`` column.
 
-    ``clean`` has to work row by row and leave the key as it is. This runs one
-    Spark job over the key column and then picks the cheapest exact plan:
+    ``clean`` has to work row by row and leave the key as it is. This counts
+    the keys in a Spark job and then picks the cheapest exact plan:
 
     * no key repeated: nothing to drop, no wide shuffle at all;
-    * few: only the rows of those keys are shuffled and compared;
-    * many: all rows are shuffled and compared.
+    * few repeated, or many in few blocks: only the rows of those keys or
+      blocks are shuffled and compared;
+    * else all rows are shuffled and compared.
     """
     if not is_integer_key(df, key):
         raise ValueError(f"dedup_by_key needs an integer key, {key!r} is not one")
-    counted = df.groupBy(quoted(key).alias("repeated_key")).agg(F.count(F.lit(1)).alias("n"))
-    repeated = F.col("n") > 1
-    found = counted.agg(
-        F.count_if(repeated).alias("keys"),
-        F.coalesce(F.sum(F.when(repeated, F.col("n"))), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("all_rows"),
-    ).first()
-    if found.keys == 0:
-        return clean(df)
-    if found.keys > broadcast_keys or found.rows > worth_splitting * found.all_rows:
-        return dedup_rows(clean(df))
-    # Checked above to be few, hence the broadcast.
-    few = F.broadcast(counted.where(repeated).select("repeated_key"))
-    is_repeated = quoted(key).eqNullSafe(F.col("repeated_key"))
-    single = df.join(few, is_repeated, "left_anti")
-    several = df.join(few, is_repeated, "left_semi")
+    keys = df.groupBy(quoted(key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    for bits in (0, BLOCK_BITS):
+        blocks = _suspect_blocks(keys, bits)
+        found = blocks.agg(
+            F.count(F.lit(1)).alias("blocks"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")
+        ).first()
+        if found.blocks == 0:
+            return clean(df)
+        if found.blocks <= broadcast_keys:
+            if found.rows > worth_splitting * df.count():
+                break
+            return _compare_only(df, F.shiftright(quoted(key), bits), blocks, clean)
+    return dedup_rows(clean(df))
+
+
+def _suspect_blocks(keys: DataFrame, bits: int) -> DataFrame:
+    """Blocks (null included) in which a key is repeated, with their row count."""
+    blocks = keys.withColumn("largest", F.col("n"))
+    if bits:
+        blocks = keys.groupBy(F.shiftright("k", bits).alias("k")).agg(
+            F.sum("n").alias("n"), F.max("n").alias("largest")
+        )
+    return blocks.where("largest > 1").select("k", "n")
+
+
+def _compare_only(
+    df: DataFrame, block: Column, blocks: DataFrame, clean: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    # The caller has counted these and found them to be few.
+    few = F.broadcast(blocks.select("k"))
+    suspect = block.eqNullSafe(few["k"])
+    single = df.join(few, suspect, "left_anti")
+    several = df.join(few, suspect, "left_semi")
     return clean(single).unionByName(dedup_rows(clean(several)))

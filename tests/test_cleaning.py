@@ -123,6 +123,28 @@ def test_dedup_by_key_compares_only_repeated_keys(spark):
     assert kept.count() == 1000
 
 
+def test_replayed_batch_is_found_by_its_block(spark):
+    """More repeated keys than may be broadcast, but all in one run of keys."""
+    batch = 1 << 16
+    df = spark.range(20 * batch).selectExpr("id", "CAST(id % 9 AS STRING) AS city")
+    replayed = df.union(df.where(f"id >= {3 * batch} AND id < {3 * batch} + 500"))
+    kept = dedup_by_key(replayed, "id", cleaning.clean_columns, broadcast_keys=10)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "shiftright" in plan
+    assert kept.count() == 20 * batch
+    spread = df.union(df.where(f"id % {batch} = 7"))
+    kept = dedup_by_key(spread, "id", cleaning.clean_columns, broadcast_keys=10)
+    assert "LeftAnti" not in kept._jdf.queryExecution().optimizedPlan().toString()
+    assert kept.count() == 20 * batch
+
+
+def test_blocks_of_negative_and_null_keys(spark):
+    rows = [(-1, "a"), (-1, "a"), (-65_537, "b"), (None, "c"), (None, "c"), (0, "d"), (0, "d")]
+    df = spark.createDataFrame(rows, "id int, city string")
+    kept = dedup_by_key(df, "id", broadcast_keys=2, worth_splitting=1.0)
+    assert sorted(values(kept), key=repr) == sorted(set(rows), key=repr)
+
+
 def test_dedup_by_unique_key_shuffles_nothing(spark):
     df = spark.range(1000).selectExpr("id", "CAST(id AS STRING) AS city")
     kept = dedup_by_key(df, "id", cleaning.clean_columns)
