@@ -38,7 +38,13 @@ def left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def left_join_chain(left: DataFrame, rights: Sequence[DataFrame], key: str) -> DataFrame:
-    """LEFT joins with several tables on the same key."""
+    """LEFT joins with several tables on the same key.
+
+    All but the last join hand their partitioning on to the next. Spark gives
+    that up to split a hot key only under
+    ``spark.sql.adaptive.forceOptimizeSkewedJoin``, which the cluster settings
+    turn on.
+    """
     for right in rights:
         left = left_join(left, right, key)
     return left

@@ -73,20 +73,18 @@ def mart_financial_health(
             F.max("delinquency_history_count").alias("missed_payments_count"),
         )
     )
+    # One row per customer on the right, and one join from the left: a hot key
+    # among the customers can be split, since no later step needs its place.
+    known = held.join(scored, "customer_uuid", "full")
     repeats = F.col("person_rows") * F.coalesce("score_rows", F.lit(1))
-    balance = _repeated(held, "held_balance", repeats)
-    return (
-        people.join(held, "customer_uuid", "left")
-        .join(scored, "customer_uuid", "left")
-        .select(
-            *HEALTH_GRAIN,
-            F.coalesce("held_accounts", F.lit(0)).cast("bigint").alias("total_accounts_owned"),
-            money_or_zero(balance).alias("total_deposit_balance"),
-            "bureau_credit_score",
-            "credit_risk_rating",
-            "dti_ratio",
-            "missed_payments_count",
-        )
+    return people.join(known, "customer_uuid", "left").select(
+        *HEALTH_GRAIN,
+        F.coalesce("held_accounts", F.lit(0)).cast("bigint").alias("total_accounts_owned"),
+        money_or_zero(_repeated(held, "held_balance", repeats)).alias("total_deposit_balance"),
+        "bureau_credit_score",
+        "credit_risk_rating",
+        "dti_ratio",
+        "missed_payments_count",
     )
 
 

@@ -9,10 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakemarts.operators import quality
-from lakemarts.operators.joins import left_join
+from lakemarts.operators.joins import left_join, left_join_chain
 from lakemarts.plans import marts
 from lakemarts.registry.queries import QUERIES
 from lakemarts.schemas import TABLES, ForeignKey
+from lakemarts.settings import CLUSTER_CONF
 
 DATA_DIR = "/root/testdata/sf0.001"
 
@@ -155,17 +156,57 @@ def test_hot_copies_collapse_before_the_dedup_shuffle(spark):
     assert max(counts) <= 3 * 8
 
 
+# What counts as skewed in production, scaled down to test data.
+SMALL_SKEW = {
+    **NO_BROADCAST,
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+def joins_of(df):
+    """Joins of the final plan: whether each was split."""
+    df.collect()
+    final = plan_of(df).split("Initial Plan")[0]
+    return ["skew=true" in join for join in re.findall(r"SortMergeJoin\S*", final)]
+
+
+def test_hot_partners_in_a_chain_are_split(spark):
+    left = people(spark).select("customer_uuid", "annual_income")
+    right = hot_accounts(spark).repartition(8, "account_id")
+    scores = left.select("customer_uuid", F.lit(700).alias("bureau_score"))
+    force = "spark.sql.adaptive.forceOptimizeSkewedJoin"
+    assert CLUSTER_CONF[force] == "true"
+    with conf(spark, **SMALL_SKEW, **{force: "true"}):
+        chain = left_join_chain(left, [right, scores], "customer_uuid")
+        assert joins_of(chain).count(True) == 2
+        assert chain.count() == ROWS
+
+
+def test_hot_customer_among_the_customers_is_split(spark):
+    """A third of all customer rows have no key, and differ in the rest."""
+    rows = spark.range(ROWS).select(
+        F.when(F.col("id") % 3 > 0, F.concat(F.lit("c"), "id")).alias("customer_uuid"),
+        F.concat(F.lit("city"), "id").alias("city"),
+        *[F.lit("x").alias(c) for c in marts.HEALTH_GRAIN[2:-1]],
+        F.lit(1).cast("decimal(12,2)").alias("annual_income"),
+    )
+    scores = rows.selectExpr(
+        "customer_uuid", "700 AS bureau_score", "'Good' AS risk_rating",
+        "CAST(1 AS DECIMAL(5,2)) AS debt_to_income_ratio", "1 AS delinquency_history_count",
+    )
+    with conf(spark, **SMALL_SKEW):
+        mart = marts.mart_financial_health(rows, hot_accounts(spark), scores)
+        assert True in joins_of(mart)
+        assert mart.count() == ROWS
+
+
 def test_hot_partner_of_a_left_join_is_split(spark):
-    small = {
-        **NO_BROADCAST,
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-    }
     left = people(spark).select("customer_uuid", "annual_income")
     right = hot_accounts(spark).repartition(8, "account_id")
-    with conf(spark, **small):
+    with conf(spark, **SMALL_SKEW):
         plain = left.join(right, "customer_uuid", "left")
         plain.collect()
         ours = left_join(left, right, "customer_uuid")
