@@ -1,6 +1,9 @@
 """Command line for spark-submit: land, silver, gold, refresh, audit.
 
-    spark-submit --py-files lakemarts.zip lakemarts/jobs.py refresh --shuffled-gb 20000
+    spark-submit --py-files lakemarts.zip lakemarts/jobs.py refresh audit --location /lake
+
+Steps run in the given order in one session. With ``--location``, tables of
+earlier runs are found again in sessions without a lasting catalog.
 """
 
 from __future__ import annotations
@@ -17,11 +20,12 @@ from lakemarts.settings import LakeSettings, cluster_session
 from lakemarts.sources import readers
 
 GIGABYTE = 1024**3
+STEPS = ("land", "silver", "gold", "refresh", "audit")
 
 
 def parse(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="lakemarts")
-    parser.add_argument("step", choices=("land", "silver", "gold", "refresh", "audit"))
+    parser.add_argument("steps", nargs="+", choices=STEPS)
     parser.add_argument("--catalog", help="catalog in front of the database names")
     parser.add_argument("--database-prefix", default="")
     parser.add_argument("--location", help="folder of the databases")
@@ -66,32 +70,35 @@ def source_table(spark: SparkSession, args: argparse.Namespace, spec: TableSpec)
     return readers.read_parquet(spark, path)
 
 
-def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
-    """One step; ``refresh`` and ``audit`` return a small report."""
+def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFrame]:
+    """The steps in order; returns the small reports of ``refresh`` and ``audit``."""
     settings = settings_of(args)
-    if args.step == "land":
-        if not args.source:
-            raise SystemExit("land needs --source")
-        sources = {name: source_table(spark, args, spec) for name, spec in TABLES.items()}
-        now = datetime.now(timezone.utc).replace(tzinfo=None)
-        medallion.land_bronze(spark, sources, settings, now)
-    elif args.step == "silver":
-        medallion.build_silver(spark, settings)
-    elif args.step == "gold":
-        medallion.build_gold(spark, settings)
-    elif args.step == "refresh":
-        return medallion.refresh_lakehouse(spark, settings)
-    else:
-        return medallion.broken_rules(medallion.silver_tables(spark, settings))
-    return None
+    if settings.location:
+        medallion.attach_lake(spark, settings)
+    reports = {}
+    for step in args.steps:
+        if step == "land":
+            if not args.source:
+                raise SystemExit("land needs --source")
+            sources = {name: source_table(spark, args, spec) for name, spec in TABLES.items()}
+            now = datetime.now(timezone.utc).replace(tzinfo=None)
+            medallion.land_bronze(spark, sources, settings, now)
+        elif step == "silver":
+            medallion.build_silver(spark, settings)
+        elif step == "gold":
+            medallion.build_gold(spark, settings)
+        elif step == "refresh":
+            reports[step] = medallion.refresh_lakehouse(spark, settings)
+        else:
+            reports[step] = medallion.broken_rules(medallion.silver_tables(spark, settings))
+    return reports
 
 
 def main() -> None:
     args = parse()
     shuffled = args.shuffled_gb * GIGABYTE if args.shuffled_gb else None
-    spark = cluster_session(f"lakemarts-{args.step}", shuffled)
-    report = run(spark, args)
-    if report is not None:
+    spark = cluster_session("lakemarts-" + "-".join(args.steps), shuffled)
+    for report in run(spark, args).values():
         report.show(200, truncate=False)
     spark.stop()
 

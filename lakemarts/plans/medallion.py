@@ -30,7 +30,7 @@ from lakemarts.operators.quality import (
 from lakemarts.plans import marts
 from lakemarts.schemas import TABLES, TableSpec
 from lakemarts.settings import GOLD_DATABASE, LakeSettings
-from lakemarts.sources.catalog import create_database, save_table
+from lakemarts.sources.catalog import attach_table, create_database, save_table
 from lakemarts.sources.readers import conform, read_table
 
 
@@ -86,6 +86,18 @@ def gold_tables(spark: SparkSession, settings: LakeSettings) -> dict[str, DataFr
     return {mart: read_table(spark, settings.gold_table(mart)) for mart in MART_PLANS}
 
 
+def attach_lake(spark: SparkSession, settings: LakeSettings) -> list[str]:
+    """Tables of all layers found under ``location``, made known to this session."""
+    for layer in ("bronze", "silver"):
+        _create_databases(spark, settings, layer)
+    create_database(spark, settings.database(GOLD_DATABASE), settings)
+    names = [settings.gold_table(mart) for mart in MART_PLANS]
+    for name, spec in TABLES.items():
+        names.append(settings.bronze_table(spec.domain, name))
+        names.append(settings.silver_table(spec.domain, name))
+    return [name for name in names if attach_table(spark, name, settings)]
+
+
 def build_silver(spark: SparkSession, settings: LakeSettings) -> None:
     """Every Bronze table cleaned and saved."""
     _create_databases(spark, settings, "silver")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from lakemarts.settings import LakeSettings
@@ -28,13 +29,38 @@ def create_database(spark: SparkSession, name: str, settings: LakeSettings) -> N
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}{place}")
 
 
+def table_path(name: str, settings: LakeSettings) -> str:
+    database, table = name.rsplit(".", 1)
+    return f"{settings.location}/{database}/{table}"
+
+
+def attach_table(spark: SparkSession, name: str, settings: LakeSettings) -> bool:
+    """Makes a table that an earlier session wrote under ``location`` known again.
+
+    For sessions without a lasting catalog. Returns whether the table is there.
+    """
+    if spark.catalog.tableExists(name):
+        return True
+    path = table_path(name, settings)
+    try:
+        schema = spark.read.format(settings.table_format).load(path).schema
+    except AnalysisException:
+        return False
+    spark.catalog.createTable(name, path=path, source=settings.table_format, schema=schema)
+    return True
+
+
 def save_table(df: DataFrame, name: str, settings: LakeSettings) -> None:
-    """Full refresh of a managed table, schema included.
+    """Full refresh of a table, schema included.
 
-    Transactional formats keep the old schema unless told otherwise; for plain
-    files an overwrite replaces it anyway.
+    With a ``location`` the table lies there, whatever catalog is in use; without,
+    it is a managed table of the session's warehouse. Transactional formats keep
+    the old schema unless told otherwise; for plain files an overwrite replaces
+    it anyway.
     """
     writer = df.write.format(settings.table_format).mode("overwrite")
     if settings.table_format == "delta":
         writer = writer.option("overwriteSchema", "true")
+    if settings.location:
+        writer = writer.option("path", table_path(name, settings))
     writer.options(**settings.write_options).saveAsTable(name)

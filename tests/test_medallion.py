@@ -196,12 +196,22 @@ def test_steps_from_the_command_line(spark, tmp_path):
     for name, df in bank_tables(spark, DATA_DIR).items():
         df.write.parquet(str(tmp_path / "source" / name))
     common = ["--database-prefix", "cli_", "--location", str(tmp_path / "lake")]
-    for step in ("land", "silver", "gold"):
-        args = jobs.parse([step, "--source", str(tmp_path / "source"), *common])
-        assert jobs.run(spark, args) is None
-    report = jobs.run(spark, jobs.parse(["refresh", *common]))
-    assert report.where("layer = 'gold'").count() == len(medallion.MART_PLANS)
-    broken = jobs.run(spark, jobs.parse(["audit", *common]))
-    assert "unique" in {row.rule for row in broken.collect()}
+    source = ["--source", str(tmp_path / "source")]
+    assert jobs.run(spark, jobs.parse(["land", "silver", "gold", *source, *common])) == {}
+    reports = jobs.run(spark, jobs.parse(["refresh", "audit", *common]))
+    assert reports["refresh"].where("layer = 'gold'").count() == len(medallion.MART_PLANS)
+    assert "unique" in {row.rule for row in reports["audit"].collect()}
     with pytest.raises(SystemExit):
         jobs.run(spark, jobs.parse(["land"]))
+
+
+def test_tables_of_an_earlier_session_are_found(spark, tmp_path):
+    settings = LakeSettings(database_prefix="again_", location=str(tmp_path))
+    cards = table(spark, "credit_cards", dict(card_id=1, card_number_masked=" x "))
+    cards.write.parquet(str(tmp_path / "again_credit_loans_bronze" / "credit_cards"))
+    name = settings.bronze_table("credit_loans", "credit_cards")
+    assert medallion.attach_lake(spark, settings) == [name]
+    assert medallion.attach_lake(spark, settings) == [name]
+    assert rows(spark.read.table(name)) == rows(cards)
+    save_table(cards.limit(0), name, settings)
+    assert spark.read.table(name).count() == 0
