@@ -3,6 +3,9 @@ from __future__ import annotations
 from datetime import date, datetime
 from decimal import Decimal
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
 from lakemarts.operators import quality
 from lakemarts.operators.joins import left_join, left_join_chain
 from lakemarts.schemas import TABLES, ForeignKey
@@ -121,6 +124,19 @@ def test_left_join_is_the_built_in_one(spark):
     assert sorted(ours.collect(), key=repr) == sorted(plain.collect(), key=repr)
 
 
+KEYS = st.sampled_from([None, "a", "b", "c"])
+SIDE = st.lists(st.tuples(KEYS, st.integers(0, 2)), max_size=6)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(left=SIDE, right=SIDE)
+def test_left_join_on_random_rows(spark, left, right):
+    left = spark.createDataFrame(left, "k string, x int")
+    right = spark.createDataFrame(right, "k string, y int")
+    plain = left.join(right, "k", "left").collect()
+    assert sorted(left_join(left, right, "k").collect(), key=repr) == sorted(plain, key=repr)
+
+
 def test_left_join_with_key_in_the_middle_and_a_shared_name(spark):
     left = spark.createDataFrame([(1, "a"), (2, "b")], "x int, k string")
     right = spark.createDataFrame([("a", 10)], "k string, x int")
