@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakemarts.llm.decontaminate import contamination
 from lakemarts.llm.frames import table
+from lakemarts.llm.packing import pack
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +24,11 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op3_packing": op3_packing,
 }
