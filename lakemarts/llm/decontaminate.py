@@ -14,15 +14,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemarts.llm.arrays import Words, gram_hashes, list_array, minimizers, words_of
-from lakemarts.llm.frames import keyed_texts, left_join_null_safe, written
+from lakemarts.llm.frames import (
+    FILTER_BITS,
+    keyed_texts,
+    left_join_null_safe,
+    membership_filter,
+    might_hold,
+    written,
+)
 
 #: Words of a window, and of the grams that are hashed.
 WINDOW = 10
 GRAM = 5
-#: The membership filter has 2**26 bits (8 MB) whatever the benchmark's size. With
-#: more items it lets more windows through, which the join then rejects.
-FILTER_BITS = 26
-
 _WINDOWS = "array<struct<start: int, length: int, seed: bigint, words: string>>"
 
 
@@ -37,11 +40,6 @@ def _seeds(words: Words, lengths: tuple[int, ...], window: int, gram: int):
         yield length, whole, gram_hashes(hashes, length)[whole] ^ np.uint64(length)
 
 
-def _filter_slots(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    mask = np.uint64((1 << bits) - 1)
-    return (hashes & mask).astype(np.int64), ((hashes >> np.uint64(32)) & mask).astype(np.int64)
-
-
 def _item_rows(batches, window: int, gram: int):
     """Per item: its windows as text and its fingerprints."""
     for batch in batches:
@@ -70,16 +68,15 @@ def _item_rows(batches, window: int, gram: int):
             )
 
 
-def _document_rows(batches, known: np.ndarray, bits: int, shorts, window: int, gram: int):
+def _document_rows(batches, known: np.ndarray, shorts, window: int, gram: int):
     """Per document: its word count and the windows around known fingerprints."""
     for batch in batches:
         for words in words_of(batch.column("text")):
             left, row_of = words.words_left(), words.row_of_word()
             found = []
             for length, at, hashes in _seeds(words, shorts, window, gram):
-                one, two = _filter_slots(hashes, bits)
-                hit = (known[one >> 6] >> (one & 63)) & (known[two >> 6] >> (two & 63)) & 1
-                at, hashes = at[hit == 1], hashes[hit == 1]
+                hit = might_hold(known, hashes)
+                at, hashes = at[hit], hashes[hit]
                 before = length - gram if length == window else 0
                 for back in range(before + 1):
                     first = at - back
@@ -156,34 +153,12 @@ def contamination(
     nothing; one without an id marks words but is not listed. Rows that repeat a
     doc_id each get their own result. Other columns are ignored.
     """
-    spark = docs.sparkSession
     items = written(
         benchmark_windows(
             benchmark, item_col=item_col, text_col=item_text_col, window=window, gram=gram
         )
     )
     seeds = items.select(F.explode("seeds").alias("seed")).distinct()
-    mask = (1 << filter_bits) - 1
-    # Fixed size: at most one row for each 64 bits of the filter.
-    bits = (
-        seeds.select(
-            F.explode(
-                F.array(
-                    F.col("seed").bitwiseAND(mask),
-                    F.shiftright("seed", 32).bitwiseAND(mask),
-                )
-            ).alias("slot")
-        )
-        .groupBy(F.shiftright("slot", 6).alias("cell"))
-        .agg(
-            F.bit_or(
-                F.expr("shiftleft(1L, cast(slot & 63 as int))")
-            ).alias("bits")
-        )
-        .toArrow()
-    )
-    known = np.zeros(1 << (filter_bits - 6), np.int64)
-    known[bits["cell"].to_numpy()] = bits["bits"].to_numpy()
     shorts = tuple(
         sorted(
             row.length
@@ -193,10 +168,10 @@ def contamination(
             .collect()
         )
     )
-    shared = spark.sparkContext.broadcast(known)
+    known = membership_filter(seeds, "seed", filter_bits)
 
     def scan(batches):
-        return _document_rows(batches, shared.value, filter_bits, shorts, window, gram)
+        return _document_rows(batches, known.value, shorts, window, gram)
 
     found = written(
         keyed_texts(docs, id_col, text_col).mapInArrow(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
+import numpy as np
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,3 +56,35 @@ def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(
         docs[id_col].alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text")
     )
+
+
+#: Bits of a membership filter: 8 MB, whatever the number of values. With very many
+#: values it lets more rows through, which the join behind it then rejects.
+FILTER_BITS = 26
+
+
+def membership_filter(values: DataFrame, name: str, bits: int = FILTER_BITS) -> Broadcast:
+    """Bloom filter of a column of 64-bit hashes, for :func:`might_hold`."""
+    mask = (1 << bits) - 1
+    slots = F.array(
+        F.col(name).bitwiseAND(mask), F.shiftright(name, 32).bitwiseAND(mask)
+    )
+    # At most one row for each 64 bits of the filter reaches the driver.
+    cells = (
+        values.select(F.explode(slots).alias("slot"))
+        .groupBy(F.shiftright("slot", 6).alias("cell"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits"))
+        .toArrow()
+    )
+    known = np.zeros(1 << (bits - 6), np.int64)
+    known[cells["cell"].to_numpy()] = cells["bits"].to_numpy()
+    return values.sparkSession.sparkContext.broadcast(known)
+
+
+def might_hold(known: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """False where a hash is surely not among the filter's values."""
+    mask = np.uint64(len(known) * 64 - 1)
+    hashes = hashes.view(np.uint64)
+    one = (hashes & mask).astype(np.int64)
+    two = ((hashes >> np.uint64(32)) & mask).astype(np.int64)
+    return ((known[one >> 6] >> (one & 63)) & (known[two >> 6] >> (two & 63)) & 1) == 1

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakemarts.llm.decontaminate import contamination
 from lakemarts.llm.frames import table
+from lakemarts.llm.near_dedup import near_duplicates
 from lakemarts.llm.packing import pack
 
 
@@ -28,7 +29,13 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "component_id", "kept")
+
+
 LLM_QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_packing": op3_packing,
+    "op5_near_dedup": op5_near_dedup,
 }
