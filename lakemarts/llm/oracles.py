@@ -34,6 +34,40 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
+OP2 = r"""
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+lines AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS p FROM split),
+shown AS (
+  SELECT *, row_number() OVER d - 1 AS n, count(*) OVER (PARTITION BY doc_id) AS total
+  FROM lines WHERE trim(line, ' ' || chr(9) || chr(13)) <> '' WINDOW d AS (PARTITION BY doc_id ORDER BY p)
+),
+runs AS (
+  SELECT doc_id, n, 3 AS size, 'run' || chr(10) || line || chr(10) || lead(line, 1) OVER d || chr(10) || lead(line, 2) OVER d AS content
+  FROM shown WINDOW d AS (PARTITION BY doc_id ORDER BY n)
+  QUALIFY lead(line, 2) OVER d IS NOT NULL
+  UNION ALL
+  SELECT doc_id, 0, total, 'all' || chr(10) || string_agg(line, chr(10) ORDER BY n) FROM shown WHERE total < 3 GROUP BY doc_id, total
+),
+placed AS (
+  SELECT *, first_value(doc_id) OVER c AS doc0, first_value(n) OVER c AS n0, row_number() OVER c AS k
+  FROM runs WINDOW c AS (PARTITION BY content ORDER BY doc_id, n)
+),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(CASE WHEN doc_id = doc0 THEN greatest(n, n0 + size) ELSE n END, n + size)) AS n
+  FROM placed WHERE k > 1
+),
+kept AS (
+  SELECT l.doc_id, l.p, l.line FROM lines l
+  LEFT JOIN shown s ON s.doc_id = l.doc_id AND s.p = l.p
+  LEFT JOIN gone g ON g.doc_id = s.doc_id AND g.n = s.n
+  WHERE g.n IS NULL
+),
+texts AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY p) AS text FROM kept GROUP BY doc_id)
+SELECT d.doc_id, CAST(length(coalesce(t.text, '')) AS BIGINT) AS n_chars_left, sha256(coalesce(t.text, '')) AS text_sha256
+FROM documents d LEFT JOIN texts t USING (doc_id)
+"""
+
 LLM_ORACLES = {
     "op1_decontamination": OP1,
+    "op2_line_dedup": OP2,
 }

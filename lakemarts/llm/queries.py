@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakemarts.llm.decontaminate import contamination
 from lakemarts.llm.frames import table
+from lakemarts.llm.line_dedup import without_repeated_lines
 from lakemarts.llm.near_dedup import near_duplicates
 from lakemarts.llm.packing import pack
 
@@ -25,6 +26,16 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = without_repeated_lines(table(spark, sf_dir, "documents"))
+    text = F.coalesce("text", F.lit(""))
+    return cleaned.select(
+        "doc_id",
+        F.length(text).cast("bigint").alias("n_chars_left"),
+        F.sha2(text, 256).alias("text_sha256"),
+    )
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -36,6 +47,7 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_line_dedup": op2_line_dedup,
     "op3_packing": op3_packing,
     "op5_near_dedup": op5_near_dedup,
 }
