@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakemarts.llm.decontaminate import contamination
 from lakemarts.llm.frames import table
+from lakemarts.llm.language_id import documents_with_language, pages_with_language
 from lakemarts.llm.line_dedup import without_repeated_lines
 from lakemarts.llm.near_dedup import near_duplicates
 from lakemarts.llm.packing import pack
@@ -45,9 +46,19 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", "component_id", "kept")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents_with_language(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
+def page_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages_with_language(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_line_dedup": op2_line_dedup,
     "op3_packing": op3_packing,
     "op5_near_dedup": op5_near_dedup,
+    "op9_language_id": op9_language_id,
+    "page_language": page_language,
 }
