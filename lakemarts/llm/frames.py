@@ -11,30 +11,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, as the cluster names it.
+
+    A local session that names none gets one in its warehouse.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    return folder
+
+
 def written(frame: DataFrame) -> DataFrame:
-    """The rows, computed once and kept in the shared checkpoint folder.
+    """The rows, computed once and kept in the shared folder.
 
-    A cluster names that folder in ``spark.checkpoint.dir``; losing an executor
-    then loses nothing. Only a local session without the setting gets a folder, in
-    its warehouse.
+    Losing an executor then loses nothing, and what follows does not compute them again.
     """
-    spark = frame.sparkSession
-    context = spark.sparkContext
+    context = frame.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(frame.sparkSession))
     return frame.checkpoint()
 
 
-def same(left: DataFrame, right: DataFrame, *names: str):
-    """Join condition on equal columns, where null equals null."""
-    return reduce(and_, [left[name].eqNullSafe(right[name]) for name in names])
-
-
 def left_join_null_safe(left: DataFrame, right: DataFrame, *names: str) -> DataFrame:
     """LEFT join where null keys match; the keys are returned once, from the left."""
     renamed = right.withColumnsRenamed({name: f"__{name}" for name in names})

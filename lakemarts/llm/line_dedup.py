@@ -128,11 +128,11 @@ def _candidates(batches, known: np.ndarray, run: int):
             )
 
 
-def _without(batches, text_col: str):
+def _without(batches, text_col: str, drop_emptied: bool):
     """Delete the non-blank lines with the given numbers from each text."""
     for batch in batches:
         place = batch.schema.get_field_index(text_col)
-        texts = []
+        texts, full = [], []
         for text, cuts in zip(batch.column(text_col).to_pylist(), batch.column("__cuts").to_pylist()):
             if cuts:
                 gone = {n for cut in cuts for n in range(cut["start"], cut["end"])}
@@ -144,12 +144,14 @@ def _without(batches, text_col: str):
                         kept.append(line)
                 text = "\n".join(kept)
             texts.append(text)
+            full.append(not (drop_emptied and cuts) or bool(text.strip()))
         columns = [column for column in batch.columns]
         columns[place] = pa.array(texts, pa.string())
         keep = [i for i, name in enumerate(batch.schema.names) if name != "__cuts"]
-        yield pa.RecordBatch.from_arrays(
+        left = pa.RecordBatch.from_arrays(
             [columns[i] for i in keep], [batch.schema.names[i] for i in keep]
         )
+        yield left.filter(pa.array(full, pa.bool_()))
 
 
 def repeated_runs(
@@ -208,11 +210,17 @@ def repeated_runs(
 
 
 def without_repeated_lines(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", run: int = RUN
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    run: int = RUN,
+    drop_emptied: bool = False,
 ) -> DataFrame:
-    """``docs`` with repeated runs deleted from the text; all columns and rows kept.
+    """``docs`` with repeated runs deleted from the text; all columns kept.
 
-    See :func:`repeated_runs`. Null texts stay null.
+    All rows stay, unless ``drop_emptied`` asks to drop those that had text and have
+    none left. See :func:`repeated_runs`. Null texts stay null.
     """
     cuts = (
         repeated_runs(docs, id_col=id_col, text_col=text_col, run=run)
@@ -224,4 +232,4 @@ def without_repeated_lines(
     joined = docs.join(
         cuts, docs[id_col].eqNullSafe(cuts["__id"]) & (text_hash == cuts["__hash"]), "left"
     ).drop("__id", "__hash")
-    return joined.mapInArrow(lambda batches: _without(batches, text_col), docs.schema)
+    return joined.mapInArrow(lambda batches: _without(batches, text_col, drop_emptied), docs.schema)

@@ -307,3 +307,24 @@ def near_duplicates(
         F.coalesce("component_id", "class_id").alias("component_id"),
         F.coalesce(F.col("doc_id") == F.coalesce("component_id", "class_id"), F.lit(True)).alias("kept"),
     )
+
+
+def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """One row of each group of near-duplicates; columns unchanged.
+
+    That of the least doc_id stays, and of rows that repeat a doc_id and text any one.
+    """
+    id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
+    found = written(near_duplicates(docs, **options).select("doc_id", "text_hash", "kept"))
+    key = [F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")]
+    surplus = found.filter("not kept").select(*key).distinct()
+    repeated = found.filter("kept").groupBy(*key).count().filter("count > 1").drop("count")
+    text_hash = F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))
+
+    def keyed(keys: DataFrame, how: str, rows: DataFrame) -> DataFrame:
+        condition = rows[id_col].eqNullSafe(keys["__id"]) & (text_hash == keys["__hash"])
+        return rows.join(keys, condition, how)
+
+    single = keyed(surplus.union(repeated), "left_anti", docs)
+    several = keyed(repeated, "left_semi", docs).dropDuplicates([id_col, text_col])
+    return single.union(several)
