@@ -11,6 +11,7 @@ from lakemarts.llm.language_id import documents_with_language, pages_with_langua
 from lakemarts.llm.line_dedup import without_repeated_lines
 from lakemarts.llm.near_dedup import near_duplicates
 from lakemarts.llm.packing import pack
+from lakemarts.llm.toxicity import held_out, score_toxicity, train_toxicity
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,11 +55,19 @@ def page_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages_with_language(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = train_toxicity(docs, labels.filter(~held_out(F.col("doc_id"))))
+    scored = score_toxicity(docs, model)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 LLM_QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_line_dedup": op2_line_dedup,
     "op3_packing": op3_packing,
     "op5_near_dedup": op5_near_dedup,
     "op9_language_id": op9_language_id,
+    "op10_toxicity": op10_toxicity,
     "page_language": page_language,
 }
