@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemarts.llm.decontaminate import contamination
+from lakemarts.llm.embedding_dedup import near_vectors
 from lakemarts.llm.frames import table
 from lakemarts.llm.language_id import documents_with_language, pages_with_language
 from lakemarts.llm.line_dedup import without_repeated_lines
@@ -42,6 +43,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "class_id", "component_id", "kept")
@@ -66,6 +71,7 @@ LLM_QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_line_dedup": op2_line_dedup,
     "op3_packing": op3_packing,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_near_dedup": op5_near_dedup,
     "op9_language_id": op9_language_id,
     "op10_toxicity": op10_toxicity,
