@@ -12,6 +12,7 @@ from lakemarts.llm.language_id import documents_with_language, pages_with_langua
 from lakemarts.llm.line_dedup import without_repeated_lines
 from lakemarts.llm.near_dedup import near_duplicates
 from lakemarts.llm.packing import pack
+from lakemarts.llm.secrets import find_secrets, joined
 from lakemarts.llm.toxicity import held_out, score_toxicity, train_toxicity
 
 
@@ -52,6 +53,21 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", "component_id", "kept")
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents"))
+    kinds = F.transform("base", lambda one: one["kind"])
+    counts = [
+        (F.size("base") - F.size(F.array_remove(kinds, kind))).cast("bigint").alias(name)
+        for kind, name in enumerate(("n_assign", "n_access", "n_hex"))
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(joined("base"), 256).alias("base_sha256"),
+        joined("spans").alias("spans"),
+    )
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents_with_language(table(spark, sf_dir, "documents")).drop("text_hash")
 
@@ -73,6 +89,7 @@ LLM_QUERIES = {
     "op3_packing": op3_packing,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_near_dedup": op5_near_dedup,
+    "op8_secrets": op8_secrets,
     "op9_language_id": op9_language_id,
     "op10_toxicity": op10_toxicity,
     "page_language": page_language,
