@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemarts.llm.arrays import Words, gram_hashes, list_array, mix, words_of
@@ -28,6 +28,9 @@ SIMILARITY = 0.8
 #: probability of 3e-6, at 0.9 of 5e-15.
 BANDS = 42
 ROWS = 6
+#: Bands whose buckets are compared with their hubs first; the others then only need
+#: to join what is still apart.
+FIRST_BANDS = 6
 #: Further hubs tried in a bucket before the rest of its pairs is made in blocks.
 HUB_ROUNDS = 3
 BLOCK = 256
@@ -106,16 +109,18 @@ def _band_rows(batches, shingle: int, bands: int, per_band: int):
                 for part in range(per_band):
                     key = mix(key ^ signature[:, band * per_band + part]) + np.uint64(part)
                 keys[:, band] = key
-            some = np.flatnonzero(words.counts)
+            weight = np.bincount(row, minlength=words.rows)
+            some = np.flatnonzero(weight)
             ids = batch.column("uid").slice(words.first_row, words.rows).take(pa.array(some))
             yield pa.RecordBatch.from_arrays(
                 [
                     ids,
+                    pa.array(weight[some], pa.int64()),
                     list_array(
                         pa.array(keys[some].view(np.int64).ravel()), np.full(len(some), bands)
                     ),
                 ],
-                ["uid", "buckets"],
+                ["uid", "weight", "buckets"],
             )
 
 
@@ -173,22 +178,28 @@ def near_links(
 ) -> DataFrame:
     """Links that join all near-duplicate texts (``uid``, a hash of ``text``; may repeat).
 
-    In each bucket the least uid is compared with all others. Members that are still
-    apart from it are compared with a further hub, for a few rounds; whatever pairs
-    of different components remain in a bucket are then all compared, in blocks. So
-    a bucket of n copies costs n comparisons, and no pair that could join two
-    components is left out.
+    In each bucket of the first bands the least uid is compared with all others. Then,
+    in all buckets, members still apart are compared with a hub of the least component,
+    for a few rounds; whatever pairs of different components remain in a bucket are
+    all compared, in blocks. So a bucket of n copies costs n comparisons, and no pair
+    that could join two components is left out.
     """
     signed = written(
         texts.mapInArrow(
             lambda batches: _band_rows(batches, shingle, bands, rows),
-            "uid bigint, buckets array<bigint>",
+            "uid bigint, weight bigint, buckets array<bigint>",
         ).dropDuplicates(["uid"])
     )
-    buckets = signed.select("uid", F.explode("buckets").alias("bucket"))
-    hubs = buckets.groupBy("bucket").agg(F.min("uid").alias("hub"), F.max("uid").alias("last"))
+    buckets = signed.select("uid", "weight", F.posexplode("buckets").alias("band", "bucket"))
+    hubs = buckets.groupBy("bucket").agg(
+        F.min(F.struct("uid", "weight")).alias("hub"), F.max("uid").alias("last")
+    )
     # Written first: the join can then split a bucket that very many texts share.
-    shared = written(hubs.filter("last > hub").drop("last"))
+    shared = written(
+        hubs.filter("last > hub.uid").select(
+            "bucket", F.col("hub.uid").alias("hub"), F.col("hub.weight").alias("hub_weight")
+        )
+    )
     members = written(buckets.join(shared, "bucket"))
     named = members.select("uid").distinct()
     known = membership_filter(named, "uid")
@@ -201,18 +212,29 @@ def near_links(
         .dropDuplicates(["uid"])
     )
     pairs = (
-        members.filter("uid > hub").select(F.col("hub").alias("a"), F.col("uid").alias("b")).distinct()
+        members.filter((F.col("uid") > F.col("hub")) & (F.col("band") < FIRST_BANDS))
+        .filter(_sizes_allow("weight", "hub_weight", similarity))
+        .select(F.col("hub").alias("a"), F.col("uid").alias("b"))
+        .distinct()
     )
     compared = written(_verified(pairs, units, similarity))
     links = compared.filter("near").select("a", "b")
     apart = _apart(members, links)
     for _ in range(hub_rounds):
-        hubs = apart.groupBy("bucket").agg(
-            F.min_by("uid", F.struct("comp", "uid")).alias("hub"), F.min("comp").alias("least")
+        hubs = written(
+            apart.groupBy("bucket")
+            .agg(F.min(F.struct("comp", "uid", "weight")).alias("hub"))
+            .select(
+                "bucket",
+                F.col("hub.comp").alias("least"),
+                F.col("hub.uid").alias("hub"),
+                F.col("hub.weight").alias("hub_weight"),
+            )
         )
         pairs = (
             apart.join(hubs, "bucket")
             .filter("comp != least")
+            .filter(_sizes_allow("weight", "hub_weight", similarity))
             .select(F.least("hub", "uid").alias("a"), F.greatest("hub", "uid").alias("b"))
             .distinct()
             .join(compared.select("a", "b"), ["a", "b"], "left_anti")
@@ -226,12 +248,17 @@ def near_links(
     return written(links.union(_rest(apart, compared, units, similarity)))
 
 
+def _sizes_allow(one: str, other: str, similarity: float) -> Column:
+    """False where the numbers of shingles alone rule the similarity out."""
+    return F.least(one, other) >= F.greatest(one, other) * (similarity - 1e-9)
+
+
 def _apart(members: DataFrame, links: DataFrame) -> DataFrame:
     """Members of buckets that hold more than one component, one per component and text."""
     parts = connected_components(links, "a", "b")
     placed = written(
         members.join(parts, members["uid"] == parts["node"], "left").select(
-            "bucket", "uid", F.coalesce("component", "uid").alias("comp")
+            "bucket", "uid", "weight", F.coalesce("component", "uid").alias("comp")
         )
     )
     several = placed.groupBy("bucket").agg(F.min("comp").alias("c"), F.max("comp").alias("d"))
@@ -251,15 +278,19 @@ def _rest(
     )
     others = F.sequence(F.lit(0), F.col("blocks") - 1)
     left = dealt.select(
-        "bucket", "uid", "comp", F.col("block").alias("i"), F.explode(others).alias("j")
+        "bucket", "uid", "weight", "comp", F.col("block").alias("i"), F.explode(others).alias("j")
     )
     right = dealt.select(
-        "bucket", F.col("uid").alias("uid2"), F.col("comp").alias("comp2"),
+        "bucket",
+        F.col("uid").alias("uid2"),
+        F.col("weight").alias("weight2"),
+        F.col("comp").alias("comp2"),
         F.explode(others).alias("i"), F.col("block").alias("j"),
     )
     pairs = (
         left.join(right, ["bucket", "i", "j"])
         .filter("uid < uid2 and comp != comp2")
+        .filter(_sizes_allow("weight", "weight2", similarity))
         .select(F.col("uid").alias("a"), F.col("uid2").alias("b"))
         .distinct()
         .join(compared.select("a", "b"), ["a", "b"], "left_anti")

@@ -13,6 +13,7 @@ from lakemarts.llm.line_dedup import without_repeated_lines
 from lakemarts.llm.near_dedup import near_duplicates
 from lakemarts.llm.packing import pack
 from lakemarts.llm.secrets import find_secrets, joined
+from lakemarts.llm.token_counts import section_token_counts
 from lakemarts.llm.toxicity import held_out, score_toxicity, train_toxicity
 
 
@@ -53,6 +54,10 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", "component_id", "kept")
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return section_token_counts(table(spark, sf_dir, "documents"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(table(spark, sf_dir, "documents"))
     kinds = F.transform("base", lambda one: one["kind"])
@@ -89,6 +94,7 @@ LLM_QUERIES = {
     "op3_packing": op3_packing,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_near_dedup": op5_near_dedup,
+    "op6_token_counts": op6_token_counts,
     "op8_secrets": op8_secrets,
     "op9_language_id": op9_language_id,
     "op10_toxicity": op10_toxicity,

@@ -83,9 +83,18 @@ class Encoder:
             return np.array(coded.ids, "<u4")
         return self._plain(text).astype("<u4", copy=False)
 
-    def token_bytes(self, ids: np.ndarray) -> np.ndarray | None:
-        """Bytes of text behind each id, where ids cover the text byte by byte."""
-        return None if self._plain is None else self._bytes[ids]
+    def characters(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """First and last character of each token, in code points."""
+        if not text:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if self._plain is None or any(token in text for token in self._added):
+            spans = self._tokenizer.encode(text, add_special_tokens=False).offsets
+            first, end = np.array(spans, np.int64).reshape(-1, 2).T
+            return first, np.maximum(end - 1, first)
+        raw = np.frombuffer(text.encode(), np.uint8)
+        character = np.cumsum((raw & 0xC0) != 0x80) - 1
+        ends = np.cumsum(self._bytes[self._plain(text)])
+        return character[np.append(0, ends[:-1])], character[ends - 1]
 
 
 @lru_cache(maxsize=2)
