@@ -12,6 +12,7 @@ from lakemarts.llm.language_id import documents_with_language, pages_with_langua
 from lakemarts.llm.line_dedup import without_repeated_lines
 from lakemarts.llm.near_dedup import near_duplicates
 from lakemarts.llm.packing import pack
+from lakemarts.llm.passages import repeated_passages
 from lakemarts.llm.secrets import find_secrets, joined
 from lakemarts.llm.token_counts import section_token_counts
 from lakemarts.llm.toxicity import held_out, score_toxicity, train_toxicity
@@ -58,6 +59,19 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return section_token_counts(table(spark, sf_dir, "documents"))
 
 
+def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_passages(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.col("start").alias("start_word"),
+        F.col("end").alias("end_word"),
+        F.col("doc_id0").alias("source_doc_id"),
+        F.col("start0").alias("source_start_word"),
+        F.col("end0").alias("source_end_word"),
+        F.round("identity", 6).alias("identity"),
+    )
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(table(spark, sf_dir, "documents"))
     kinds = F.transform("base", lambda one: one["kind"])
@@ -95,6 +109,7 @@ LLM_QUERIES = {
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_near_dedup": op5_near_dedup,
     "op6_token_counts": op6_token_counts,
+    "op7_passages": op7_passages,
     "op8_secrets": op8_secrets,
     "op9_language_id": op9_language_id,
     "op10_toxicity": op10_toxicity,
