@@ -2,10 +2,11 @@
 
 Spark can split a hot key only on the row-keeping side of an outer join, so one
 customer owning a third of all accounts would end up in a single task when the
-accounts stand on the right. A LEFT join is the inner join plus the left rows
-without a partner; in both of those, adaptive execution can split the side that
-may be hot. ``left_join`` is written that way. Where the right side holds one
-row per key, as in the marts, a plain LEFT join does.
+accounts stand on the right. Here the right side is completed first: left keys it
+lacks get one row of nulls. What follows is an inner join, of which adaptive
+execution can split either side. Left rows with a null key match nothing and are
+put aside. Where the right side holds one row per key, as in the marts, a plain
+LEFT join does.
 """
 
 from __future__ import annotations
@@ -23,28 +24,40 @@ def left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
     Null keys match nothing and their left rows are kept.
     """
-    matched = left.join(right, key, "inner")
-    partners = right.select(quoted(key)).distinct()
-    alone = left.join(partners, key, "left_anti").select(
-        quoted(key),
-        *[quoted(name) for name in left.columns if name != key],
-        *[
-            F.lit(None).cast(field.dataType).alias(field.name)
-            for field in right.schema.fields
-            if field.name != key
-        ],
-    )
-    return matched.union(alone)
+    return left_join_chain(left, [right], key)
 
 
 def left_join_chain(left: DataFrame, rights: Sequence[DataFrame], key: str) -> DataFrame:
     """LEFT joins with several tables on the same key.
 
-    All but the last join hand their partitioning on to the next. Spark gives
-    that up to split a hot key only under
-    ``spark.sql.adaptive.forceOptimizeSkewedJoin``, which the cluster settings
-    turn on.
+    A LEFT join keeps the set of left keys, so these are found once, and the plan grows
+    in proportion to the number of tables. All but the last join hand their
+    partitioning on to the next. Spark gives that up to split a hot key only under
+    ``spark.sql.adaptive.forceOptimizeSkewedJoin``, which the cluster settings turn on.
     """
+    keys = left.where(quoted(key).isNotNull()).select(quoted(key)).distinct()
+    joined = left.where(quoted(key).isNotNull())
     for right in rights:
-        left = left_join(left, right, key)
-    return left
+        joined = joined.join(_completed(right, keys, key), key)
+    others = [quoted(name) for name in left.columns if name != key]
+    alone = left.where(quoted(key).isNull()).select(
+        quoted(key), *others, *[value for right in rights for value in _nulls(right, key)]
+    )
+    return joined.union(alone)
+
+
+def _completed(right: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """``right`` and a row of nulls for every key it lacks."""
+    ordered = right.select(
+        quoted(key), *[quoted(name) for name in right.columns if name != key]
+    )
+    lacking = keys.join(right.select(quoted(key)), key, "left_anti")
+    return ordered.union(lacking.select(quoted(key), *_nulls(right, key)))
+
+
+def _nulls(df: DataFrame, key: str) -> list:
+    return [
+        F.lit(None).cast(field.dataType).alias(field.name)
+        for field in df.schema.fields
+        if field.name != key
+    ]
