@@ -40,11 +40,14 @@ def dedup_by_key(
     clean: Callable[[DataFrame], DataFrame] = lambda rows: rows,
     broadcast_keys: int = BROADCAST_KEYS,
     worth_splitting: float = WORTH_SPLITTING,
+    block_bits: int = BLOCK_BITS,
 ) -> DataFrame:
     """``dedup_rows(clean(df))``, found by way of an integer ``key`` column.
 
-    ``clean`` has to work row by row and leave the key as it is. This counts
-    the keys in a Spark job and then picks the cheapest exact plan:
+    ``clean`` has to work row by row and leave the key as it is, and ``df`` has to give
+    the same rows each time it is read, as written tables do. One Spark job counts the
+    keys; its figures then pick the cheapest plan. All plans give the same rows, and
+    the last three parameters only steer the choice:
 
     * no key repeated: nothing to drop, no wide shuffle at all;
     * few repeated, or many in few blocks: only the rows of those keys or
@@ -54,30 +57,30 @@ def dedup_by_key(
     if not is_integer_key(df, key):
         raise ValueError(f"dedup_by_key needs an integer key, {key!r} is not one")
     keys = df.groupBy(quoted(key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
-    for bits in (0, BLOCK_BITS):
-        blocks = _suspect_blocks(keys, bits)
-        found = blocks.agg(
-            F.count(F.lit(1)).alias("blocks"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")
-        ).first()
-        if found.blocks == 0:
-            return clean(df)
-        if found.blocks <= broadcast_keys:
-            if found.rows > worth_splitting * df.count():
-                break
-            return _compare_only(df, F.shiftright(quoted(key), bits), blocks, clean)
+    repeated = F.col("n") > 1
+    blocks = keys.groupBy(F.shiftright("k", block_bits).alias("k")).agg(
+        F.sum("n").alias("n"),
+        F.count_if(repeated).alias("keys"),
+        F.sum(F.when(repeated, F.col("n")).otherwise(0)).alias("rows"),
+    )
+    suspect = F.col("keys") > 0
+    found = blocks.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("all_rows"),
+        F.coalesce(F.sum("keys"), F.lit(0)).alias("keys"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("key_rows"),
+        F.count_if(suspect).alias("blocks"),
+        F.coalesce(F.sum(F.when(suspect, F.col("n"))), F.lit(0)).alias("block_rows"),
+    ).first()
+    most_rows = worth_splitting * found.all_rows
+    if found.keys == 0:
+        return clean(df)
+    if found.keys <= broadcast_keys and found.key_rows <= most_rows:
+        return _compare_only(df, quoted(key), keys.where(repeated), clean)
+    if found.keys > broadcast_keys >= found.blocks and found.block_rows <= most_rows:
+        return _compare_only(df, F.shiftright(quoted(key), block_bits), blocks.where(suspect), clean)
     return dedup_rows(clean(df))
 
 
-def _suspect_blocks(keys: DataFrame, bits: int) -> DataFrame:
-    """Blocks (null included) in which a key is repeated, with their row count."""
-    blocks = keys.withColumn("largest", F.col("n"))
-    if bits:
-        blocks = keys.groupBy(F.shiftright("k", bits).alias("k")).agg(
-            F.sum("n").alias("n"), F.max("n").alias("largest")
-        )
-    return blocks.where("largest > 1").select("k", "n")
-
-
 def _compare_only(
     df: DataFrame, block: Column, blocks: DataFrame, clean: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
