@@ -19,18 +19,20 @@ def dirt_profile(df: DataFrame) -> DataFrame:
     ``values_merged`` what is left of them when case is ignored too, and
     ``variant_rows`` the rows of values that occur in several spellings.
 
-    Values are counted before anything else, with partial aggregation, and
-    every later step works on those counts. This avoids the row expansion
-    that several distinct counts in one aggregate would cost.
+    Trimmed values are counted before anything else, with partial aggregation,
+    and every later step works on those counts. This avoids the row expansion
+    that several distinct counts in one aggregate would cost. A table without
+    string columns has an empty report.
     """
     columns = string_columns(df)
+    if not columns:
+        counts = "total_rows null_rows blank_rows padded_rows values_seen values_merged variant_rows"
+        schema = ", ".join(["column_name string", *[f"{name} bigint" for name in counts.split()]])
+        return df.sparkSession.createDataFrame([], schema)
     cells = df.unpivot([], [quoted(name) for name in columns], "column_name", "value")
-    spellings = cells.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    values = spellings.groupBy(
-        "column_name", F.trim("value").alias("spelling")
-    ).agg(
-        F.sum("n").alias("n"),
-        F.sum(F.when(F.trim("value") != F.col("value"), F.col("n")).otherwise(0)).alias("padded"),
+    values = cells.groupBy("column_name", F.trim("value").alias("spelling")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.trim("value") != F.col("value")).alias("padded"),
     )
     merged = values.groupBy("column_name", F.lower("spelling").alias("merged")).agg(
         F.sum("n").alias("n"),
@@ -75,14 +77,17 @@ def canonical_case_from(
     join keeps the row count. Spark chooses the join by size: the dictionary
     is broadcast when small; else rows with a hot value are split.
     """
+    # Names that no column of the caller has.
+    unused = max([len(name) for name in df.columns], default=0) * "_"
+    key, listed = f"{unused}_key", f"{unused}_listed"
     known = (
-        dictionary.groupBy(case_key(quoted(spelling)).alias("case_key"))
-        .agg(F.min(quoted(spelling)).alias("listed_spelling"))
-        .where("case_key IS NOT NULL")
+        dictionary.groupBy(case_key(quoted(spelling)).alias(key))
+        .agg(F.min(quoted(spelling)).alias(listed))
+        .where(F.col(key).isNotNull())
     )
     value = quoted(column)
     return (
-        df.join(known, case_key(value) == F.col("case_key"), "left")
-        .withColumn(column, F.coalesce("listed_spelling", value))
-        .drop("case_key", "listed_spelling")
+        df.join(known, case_key(value) == F.col(key), "left")
+        .withColumn(column, F.coalesce(F.col(listed), value))
+        .drop(key, listed)
     )

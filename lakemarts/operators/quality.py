@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemarts.functions.text import quoted
@@ -27,8 +27,10 @@ from lakemarts.schemas import (
 Tables = Mapping[str, DataFrame]
 
 
-def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    """UNION ALL by column name (O1)."""
+def union_all(frames: Sequence[DataFrame], schema: str = "") -> DataFrame:
+    """UNION ALL by column name (O1); of no frames, an empty one of ``schema``."""
+    if not frames:
+        return SparkSession.active().createDataFrame([], schema)
     return reduce(DataFrame.unionByName, frames)
 
 
@@ -43,7 +45,8 @@ def row_counts(tables: Tables) -> DataFrame:
                 F.lit(name).alias("table_name"), "record_count"
             )
             for name, df in tables.items()
-        ]
+        ],
+        "table_name string, record_count bigint",
     )
 
 
@@ -101,7 +104,9 @@ def audit_rows(tables: Tables, *kinds: str) -> DataFrame:
         }
         if rules:
             counts.append(_violation_counts(name, df, rules))
-    return union_all(counts)
+    return union_all(
+        counts, "rule string, table_name string, column_name string, violations bigint"
+    )
 
 
 def check_violations(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -158,7 +163,8 @@ def audit_unique(tables: Tables) -> DataFrame:
             )
             for name, df in tables.items()
             for key in TABLES[name].unique_keys
-        ]
+        ],
+        "table_name string, column_name string, repeated_keys bigint, surplus_rows bigint",
     )
 
 
@@ -193,6 +199,10 @@ def audit_orphans(tables: Tables) -> DataFrame:
 
 
 def _audit_references(tables: Tables, references_of) -> DataFrame:
+    for name in tables:
+        absent = [ref.parent for ref in references_of(TABLES[name]) if ref.parent not in tables]
+        if absent:
+            raise ValueError(f"the references of {name} need the tables {absent}")
     return union_all(
         [
             orphan_keys(df, ref, tables[ref.parent])
@@ -209,7 +219,9 @@ def _audit_references(tables: Tables, references_of) -> DataFrame:
             )
             for name, df in tables.items()
             for ref in references_of(TABLES[name])
-        ]
+        ],
+        "table_name string, column_name string, parent_table string,"
+        " orphan_keys bigint, orphan_rows bigint",
     )
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from lakemarts.functions.banking import money_or_zero, month_of
 
+# The grains and column names that reports are bound to.
 HEALTH_GRAIN = (
     "customer_uuid",
     "city",
@@ -88,8 +89,8 @@ def mart_financial_health(
     )
 
 
-def mart_transactions(transactions: DataFrame) -> DataFrame:
-    """Count, total and mean amount per month and category (M2)."""
+def transaction_totals(transactions: DataFrame) -> DataFrame:
+    """The columns of :func:`mart_transactions`, and ``priced_count``: rows with an amount."""
     return (
         transactions.withColumn("transaction_month", month_of(F.col("transaction_timestamp")))
         .groupBy(*TRANSACTION_GRAIN)
@@ -97,10 +98,21 @@ def mart_transactions(transactions: DataFrame) -> DataFrame:
             F.count("transaction_id").alias("total_transaction_count"),
             F.round(F.sum("amount"), 2).alias("total_transaction_amount"),
             F.round(F.avg("amount"), 2).alias("avg_transaction_amount"),
+            F.count("amount").alias("priced_count"),
         )
     )
 
 
+def transactions_of(totals: DataFrame) -> DataFrame:
+    """The mart M2 out of :func:`transaction_totals`."""
+    return totals.drop("priced_count")
+
+
+def mart_transactions(transactions: DataFrame) -> DataFrame:
+    """Count, total and mean amount per month and category (M2)."""
+    return transactions_of(transaction_totals(transactions))
+
+
 def loan_totals(loan_applications: DataFrame, loan_repayments: DataFrame) -> DataFrame:
     """Both loan marts in one row per group: one join and one pass over each table.
 
@@ -170,15 +182,27 @@ def mart_loans_exact(loan_applications: DataFrame, loan_repayments: DataFrame) -
     return loans_exact_of(loan_totals(loan_applications, loan_repayments))
 
 
-def mart_fraud(fraud_alerts: DataFrame) -> DataFrame:
-    """Alerts and risk scores per alert type and status (M4)."""
+def fraud_totals(fraud_alerts: DataFrame) -> DataFrame:
+    """The columns of :func:`mart_fraud`, and the number and sum of the scores."""
     return fraud_alerts.groupBy(*FRAUD_GRAIN).agg(
         F.count("alert_id").alias("total_alerts_raised"),
         F.round(F.avg("risk_score"), 2).alias("avg_risk_score"),
         F.max("risk_score").alias("max_risk_score"),
+        F.count("risk_score").alias("scored_count"),
+        F.sum("risk_score").alias("risk_score_total"),
     )
 
 
+def fraud_of(totals: DataFrame) -> DataFrame:
+    """The mart M4 out of :func:`fraud_totals`."""
+    return totals.drop("scored_count", "risk_score_total")
+
+
+def mart_fraud(fraud_alerts: DataFrame) -> DataFrame:
+    """Alerts and risk scores per alert type and status (M4)."""
+    return fraud_of(fraud_totals(fraud_alerts))
+
+
 def _repeated(totals: DataFrame, column: str, times: Column) -> Column:
     """The total in ``column`` added ``times`` times, in its own type."""
     return (F.col(column) * times.cast("decimal(12,0)")).cast(totals.schema[column].dataType)

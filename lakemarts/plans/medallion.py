@@ -17,19 +17,27 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemarts.operators.cleaning import clean_columns, clean_table
+from lakemarts.operators.cleaning import clean_columns, clean_names, clean_table
 from lakemarts.operators.dedup import dedup_by_key, is_integer_key
 from lakemarts.operators.quality import (
     apply_defaults,
     audit_fk,
+    audit_length,
+    audit_orphans,
     audit_rows,
     audit_unique,
     row_counts,
     union_all,
 )
-from lakemarts.plans import marts
+from lakemarts.plans import marts, pages
 from lakemarts.schemas import TABLES, TableSpec
-from lakemarts.settings import GOLD_DATABASE, LakeSettings
+from lakemarts.settings import (
+    GOLD_DATABASE,
+    STAGE_DATABASE,
+    STAGE_TABLES,
+    LakeSettings,
+    require_ansi,
+)
 from lakemarts.sources.catalog import attach_table, create_database, save_table
 from lakemarts.sources.readers import conform, read_table
 
@@ -51,28 +59,52 @@ MART_PLANS: Mapping[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
 }
 
 
+# Stage tables: plan, Silver inputs, and the marts cut from each.
+STAGE_PLANS: Mapping[str, tuple[Callable[..., DataFrame], tuple[str, ...], Mapping]] = {
+    "loan_totals": (
+        marts.loan_totals,
+        ("loan_applications", "loan_repayments"),
+        {"loans": marts.loans_of, "loans_exact": marts.loans_exact_of},
+    ),
+    "transaction_totals": (
+        marts.transaction_totals,
+        ("transactions",),
+        {"transactions": marts.transactions_of},
+    ),
+    "fraud_totals": (marts.fraud_totals, ("fraud_alerts",), {"fraud": marts.fraud_of}),
+}
+
+
 def land_bronze(
     spark: SparkSession,
     sources: Mapping[str, DataFrame],
     settings: LakeSettings,
     run_time: datetime,
 ) -> None:
-    """Source tables written to Bronze in their declared types."""
+    """Source tables written to Bronze, declared columns in their types.
+
+    Names are cleaned before anything else, so that a default fills only a column that
+    is absent. Columns beyond the declared are kept. A value that does not fit its
+    type fails the job; a session in which it would become null is refused.
+    """
+    require_ansi(spark)
     _create_databases(spark, settings, "bronze")
 
     def land(name: str) -> None:
         spec = TABLES[name]
-        rows = conform(apply_defaults(sources[name], spec, run_time), spec)
+        named = clean_names(sources[name])
+        rows = conform(apply_defaults(named, spec, run_time), spec)
         save_table(rows, settings.bronze_table(spec.domain, name), settings)
 
     _run_each(spark, land, list(sources), settings)
 
 
+def bronze_table(spark: SparkSession, settings: LakeSettings, name: str) -> DataFrame:
+    return read_table(spark, settings.bronze_table(TABLES[name].domain, name))
+
+
 def bronze_tables(spark: SparkSession, settings: LakeSettings) -> dict[str, DataFrame]:
-    return {
-        name: read_table(spark, settings.bronze_table(spec.domain, name))
-        for name, spec in TABLES.items()
-    }
+    return {name: bronze_table(spark, settings, name) for name in TABLES}
 
 
 def silver_tables(spark: SparkSession, settings: LakeSettings) -> dict[str, DataFrame]:
@@ -90,8 +122,10 @@ def attach_lake(spark: SparkSession, settings: LakeSettings) -> list[str]:
     """Tables of all layers found under ``location``, made known to this session."""
     for layer in ("bronze", "silver"):
         _create_databases(spark, settings, layer)
-    create_database(spark, settings.database(GOLD_DATABASE), settings)
+    for database in (GOLD_DATABASE, STAGE_DATABASE):
+        create_database(spark, settings.database(database), settings)
     names = [settings.gold_table(mart) for mart in MART_PLANS]
+    names += [settings.stage_table(stage) for stage in STAGE_TABLES]
     for name, spec in TABLES.items():
         names.append(settings.bronze_table(spec.domain, name))
         names.append(settings.silver_table(spec.domain, name))
@@ -125,31 +159,45 @@ def silver_rows(bronze: DataFrame, spec: TableSpec, settings: LakeSettings) -> D
 def build_gold(spark: SparkSession, settings: LakeSettings) -> None:
     """The marts, computed from the written Silver tables and saved.
 
-    A strict run audits Silver first and raises :class:`AuditFailed`.
+    A strict run audits Silver and Bronze first and raises :class:`AuditFailed`.
     """
+    require_ansi(spark)
     if settings.strict:
-        require_clean(silver_tables(spark, settings))
-    create_database(spark, settings.database(GOLD_DATABASE), settings)
-
-    def save(mart: str, df: DataFrame) -> DataFrame:
-        save_table(df, settings.gold_table(mart), settings)
-        return read_table(spark, settings.gold_table(mart))
-
-    def build(mart: str) -> None:
-        if mart == "loan_totals":
-            # Both loan marts are cut from one small written table.
-            loans, repayments = MART_PLANS["loans"][1]
-            totals = save(mart, marts.loan_totals(silver(loans), silver(repayments)))
-            save("loans", marts.loans_of(totals))
-            save("loans_exact", marts.loans_exact_of(totals))
+        require_clean(silver_tables(spark, settings), bronze_tables(spark, settings))
+    for database in (GOLD_DATABASE, STAGE_DATABASE):
+        create_database(spark, settings.database(database), settings)
+
+    def build(name: str) -> None:
+        if name in STAGE_PLANS:
+            # Marts and pages are cut from one small written table.
+            plan, inputs, cuts = STAGE_PLANS[name]
+            save_table(plan(*map(silver, inputs)), settings.stage_table(name), settings)
+            totals = read_table(spark, settings.stage_table(name))
+            for mart, cut in cuts.items():
+                save_table(cut(totals), settings.gold_table(mart), settings)
         else:
-            plan, inputs = MART_PLANS[mart]
-            save(mart, plan(*[silver(name) for name in inputs]))
+            plan, inputs = MART_PLANS[name]
+            save_table(plan(*map(silver, inputs)), settings.gold_table(name), settings)
 
     def silver(name: str) -> DataFrame:
         return read_table(spark, settings.silver_table(TABLES[name].domain, name))
 
-    _run_each(spark, build, ["loan_totals", "financial_health", "transactions", "fraud"], settings)
+    _run_each(spark, build, ["financial_health", *STAGE_PLANS], settings)
+
+
+def gold_pages(spark: SparkSession, settings: LakeSettings) -> dict[str, DataFrame]:
+    """The dashboard pages over the written Gold tables."""
+    gold = gold_tables(spark, settings)
+
+    def stage(name: str) -> DataFrame:
+        return read_table(spark, settings.stage_table(name))
+
+    return {
+        "overview": pages.page_overview(gold["financial_health"]),
+        "transactions": pages.page_transactions(stage("transaction_totals")),
+        "loans": pages.page_loans(gold["loans_exact"]),
+        "fraud": pages.page_fraud(stage("fraud_totals")),
+    }
 
 
 def refresh_lakehouse(spark: SparkSession, settings: LakeSettings) -> DataFrame:
@@ -169,21 +217,29 @@ def refresh_lakehouse(spark: SparkSession, settings: LakeSettings) -> DataFrame:
     ).select("layer", "table_name", "record_count")
 
 
-def broken_rules(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Declared rules with violations: ``rule, table_name, column_name, violations``."""
+def broken_rules(
+    tables: Mapping[str, DataFrame], bronze: Mapping[str, DataFrame] | None = None
+) -> DataFrame:
+    """Declared rules with violations: ``rule, table_name, column_name, violations``.
+
+    Lengths are counted on ``bronze``, where a personal value is not yet a digest.
+    """
     found = [audit_rows(tables, "not null", "range")]
+    if bronze is not None:
+        found.append(audit_length(bronze).withColumn("rule", F.lit("length")))
     found.append(
         audit_unique(tables)
         .withColumn("rule", F.lit("unique"))
         .withColumnRenamed("surplus_rows", "violations")
         .drop("repeated_keys")
     )
-    found.append(
-        audit_fk(tables)
-        .withColumn("rule", F.lit("foreign key"))
-        .withColumnRenamed("orphan_rows", "violations")
-        .drop("orphan_keys", "parent_table")
-    )
+    for rule, audit in (("foreign key", audit_fk), ("orphan", audit_orphans)):
+        found.append(
+            audit(tables)
+            .withColumn("rule", F.lit(rule))
+            .withColumnRenamed("orphan_rows", "violations")
+            .drop("orphan_keys", "parent_table")
+        )
     return (
         union_all(found)
         .where("violations > 0")
@@ -191,9 +247,11 @@ def broken_rules(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def require_clean(tables: Mapping[str, DataFrame]) -> None:
+def require_clean(
+    tables: Mapping[str, DataFrame], bronze: Mapping[str, DataFrame] | None = None
+) -> None:
     # One row per declared rule at most, so this result is small.
-    broken = broken_rules(tables).orderBy("rule", "table_name", "column_name").collect()
+    broken = broken_rules(tables, bronze).orderBy("rule", "table_name", "column_name").collect()
     if broken:
         lines = [f"{b.rule}: {b.table_name}.{b.column_name} ({b.violations} rows)" for b in broken]
         raise AuditFailed("declared rules are broken: " + "; ".join(lines))

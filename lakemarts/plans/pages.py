@@ -1,7 +1,8 @@
 """Reads over the marts, one per dashboard page.
 
 The marts are already aggregated, so each page is one small group-by. Means are
-re-weighted from totals and counts; a mean of means is never taken.
+taken from totals and the counts of the values in them, which the stage tables of
+the marts carry; a mean of means is never taken.
 """
 
 from __future__ import annotations
@@ -23,16 +24,20 @@ def page_overview(financial_health: DataFrame) -> DataFrame:
     )
 
 
-def page_transactions(transactions: DataFrame) -> DataFrame:
-    """Volume, value and completed share per month."""
+def page_transactions(transaction_totals: DataFrame) -> DataFrame:
+    """Volume, value and completed share per month.
+
+    The mean amount is that of the transactions with an amount, as in the mart.
+    """
     counted = F.col("total_transaction_count")
     completed = F.sum(F.when(F.col("status") == COMPLETED, counted).otherwise(0))
     amount = F.sum("total_transaction_amount").cast("decimal(28,2)")
     number = F.sum(counted)
-    return transactions.groupBy("transaction_month").agg(
+    priced = F.nullif(F.sum("priced_count"), F.lit(0)).cast("decimal(20,0)")
+    return transaction_totals.groupBy("transaction_month").agg(
         number.alias("transaction_count"),
         amount.alias("transaction_amount"),
-        F.round(amount / F.nullif(number, F.lit(0)).cast("decimal(12,0)"), 2)
+        F.round(amount.cast("decimal(30,2)") / priced, 2)
         .cast("decimal(28,2)")
         .alias("amount_per_transaction"),
         completed.alias("completed_count"),
@@ -59,22 +64,17 @@ def page_loans(loans_exact: DataFrame) -> DataFrame:
     )
 
 
-def page_fraud(fraud: DataFrame) -> DataFrame:
+def page_fraud(fraud_totals: DataFrame) -> DataFrame:
     """Alerts, resolved alerts and risk per alert type.
 
-    The mean risk is weighted by the number of alerts.
+    The mean risk is that of all scores; alerts without one do not weigh in.
     """
     raised = F.col("total_alerts_raised")
-    weighted = F.col("avg_risk_score").cast("decimal(5,2)") * raised.cast("decimal(12,0)")
-    scored = F.sum(F.when(F.col("avg_risk_score").isNotNull(), raised).otherwise(0))
-    return fraud.groupBy("alert_type").agg(
+    scored = F.nullif(F.sum("scored_count"), F.lit(0)).cast("decimal(20,0)")
+    return fraud_totals.groupBy("alert_type").agg(
         F.sum(raised).alias("alerts"),
         F.sum(F.when(F.col("status") == RESOLVED, raised).otherwise(0)).alias("resolved_alerts"),
-        F.round(
-            F.sum(weighted).cast("decimal(20,2)")
-            / F.nullif(scored, F.lit(0)).cast("decimal(12,0)"),
-            2,
-        )
+        F.round(F.sum("risk_score_total").cast("decimal(20,0)") / scored, 2)
         .cast("decimal(20,2)")
         .alias("avg_risk_score"),
         F.max("max_risk_score").alias("max_risk_score"),

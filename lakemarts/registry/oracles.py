@@ -53,6 +53,15 @@ def over_silver(query: str, *views: str) -> str:
     return "WITH " + ", ".join(silver_cte(view) for view in views) + "\n" + query
 
 
+def _over_cleaned(query: str) -> str:
+    """Over the cleaned columns of all tables, copies of rows left in."""
+    views = [
+        f"{bronze_cte(view)}, cl_{view} AS (SELECT {cleaned_columns(view)} FROM bz_{view})"
+        for view in TABLES
+    ]
+    return "WITH " + ", ".join(views) + "\n" + query
+
+
 def strings_of(view: str) -> list[str]:
     return [f.name for f in TABLES[view].schema.fields if f.dataType.typeName() == "string"]
 
@@ -194,6 +203,26 @@ def reference_counts(kind: str) -> str:
     )
 
 
+def _violations(rule: str, column: str, query: str) -> str:
+    return f"SELECT '{rule}' AS rule, table_name, column_name, {column} AS violations FROM ({query})"
+
+
+def broken_rules() -> str:
+    found = " UNION ALL ".join(
+        [
+            _violations("not null", "violations", rule_counts("sv_", NOT_NULL)),
+            _violations("range", "violations", rule_counts("sv_", CHECKS)),
+            _violations("length", "violations", rule_counts("bz_", LENGTHS)),
+            _violations("unique", "surplus_rows", UNIQUE.replace("bz_", "sv_")),
+            *[
+                _violations(rule, "orphan_rows", reference_counts(kind).replace("bz_", "sv_"))
+                for rule, kind in (("foreign key", "foreign_keys"), ("orphan", "soft_keys"))
+            ],
+        ]
+    )
+    return f"SELECT * FROM ({found}) WHERE violations > 0"
+
+
 # --- profile and case repair --------------------------------------------------
 
 
@@ -250,6 +279,12 @@ ORACLES: dict[str, str] = {
         ),
         *_ALL,
     ),
+    "bronze_load_messy": over_bronze(
+        "SELECT * EXCLUDE (status, opened_date), 'Active' AS status,"
+        f" DATE '{RUN_TIME.date()}' AS opened_date,"
+        " '  branch ' || CAST(account_id % 7 AS VARCHAR) AS branch_note FROM bz_accounts",
+        "accounts",
+    ),
     "save_roundtrip": over_silver("SELECT * FROM sv_credit_cards", "credit_cards"),
     "lakehouse_refresh": over_silver(
         f"SELECT 'bronze' AS layer, * FROM ({counts('bz_')}) UNION ALL"
@@ -296,6 +331,10 @@ ORACLES: dict[str, str] = {
         "customers",
     ),
     "dedup_by_key": over_silver("SELECT * FROM sv_transactions", "transactions"),
+    **{
+        f"dedup_by_key_{case}": over_silver("SELECT * FROM sv_accounts", "accounts")
+        for case in ("unique", "replay", "blocks")
+    },
     **{f"silver_{t}": over_silver(f"SELECT * FROM sv_{t}", t) for t in TABLES},
     "month_trunc": over_bronze(
         "SELECT transaction_id, account_id, CAST(date_trunc('month', transaction_timestamp)"
@@ -369,7 +408,8 @@ ORACLES: dict[str, str] = {
     "row_counts_sorted": over_bronze(
         f"SELECT * FROM ({counts('bz_')}) ORDER BY record_count DESC, table_name", *_ALL
     ),
-    "audit_not_null": over_silver(rule_counts("sv_", NOT_NULL), *_ALL),
+    "audit_not_null": _over_cleaned(rule_counts("cl_", NOT_NULL)),
+    "broken_rules": over_silver(broken_rules(), *_ALL),
     "audit_unique": over_bronze(UNIQUE, *_ALL),
     "audit_fk": over_bronze(reference_counts("foreign_keys"), *_ALL),
     "audit_check": over_bronze(rule_counts("bz_", CHECKS), *_ALL),
@@ -441,15 +481,15 @@ ORACLES: dict[str, str] = {
         " FROM MART GROUP BY ALL",
         "mart_financial_health",
     ),
-    "page_transactions": over_mart(
+    "page_transactions": over_silver(
         "SELECT transaction_month, n AS transaction_count, v AS transaction_amount,"
-        f" {mean_rounded_once('v', 'n', 'DECIMAL(28,2)')} AS amount_per_transaction,"
+        f" {mean_rounded_once('v', 'k', 'DECIMAL(28,2)')} AS amount_per_transaction,"
         " ok AS completed_count, CAST(ok AS DOUBLE) / CAST(n AS DOUBLE) AS completed_share"
-        " FROM (SELECT transaction_month, CAST(sum(total_transaction_count) AS BIGINT) AS n,"
-        " CAST(sum(total_transaction_amount) AS DECIMAL(28,2)) AS v,"
-        " CAST(sum(CASE WHEN status = 'Completed' THEN total_transaction_count ELSE 0 END)"
-        " AS BIGINT) AS ok FROM MART GROUP BY ALL)",
-        "mart_transactions",
+        " FROM (SELECT date_trunc('month', transaction_timestamp)::TIMESTAMP AS transaction_month,"
+        " count(transaction_id) AS n, count(amount) AS k, CAST(sum(amount) AS DECIMAL(28,2)) AS v,"
+        " count(CASE WHEN status = 'Completed' THEN transaction_id END) AS ok"
+        " FROM sv_transactions GROUP BY ALL)",
+        "transactions",
     ),
     "page_loans": over_mart(
         "SELECT loan_status, CAST(sum(total_loans_count) AS BIGINT) AS loans, "
@@ -466,13 +506,13 @@ ORACLES: dict[str, str] = {
         + " FROM MART GROUP BY ALL",
         "mart_loans_exact",
     ),
-    "page_fraud": over_mart(
+    "page_fraud": over_silver(
         "SELECT alert_type, n AS alerts, ok AS resolved_alerts,"
-        f" {mean_rounded_once('w', 'n', 'DECIMAL(20,2)')} AS avg_risk_score, hi AS max_risk_score"
-        " FROM (SELECT alert_type, CAST(sum(total_alerts_raised) AS BIGINT) AS n,"
-        " CAST(sum(CASE WHEN status = 'Resolved' THEN total_alerts_raised ELSE 0 END) AS BIGINT)"
-        " AS ok, sum(CAST(avg_risk_score AS DECIMAL(5,2)) * total_alerts_raised) AS w,"
-        " max(max_risk_score) AS hi FROM MART GROUP BY ALL)",
-        "mart_fraud",
+        f" {mean_rounded_once('w', 'k', 'DECIMAL(20,2)')} AS avg_risk_score, hi AS max_risk_score"
+        " FROM (SELECT alert_type, count(alert_id) AS n, count(risk_score) AS k,"
+        " count(CASE WHEN status = 'Resolved' THEN alert_id END) AS ok,"
+        " CAST(sum(risk_score) AS DECIMAL(18,0)) AS w, max(risk_score) AS hi"
+        " FROM sv_fraud_alerts GROUP BY ALL)",
+        "fraud_alerts",
     ),
 }

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from datetime import datetime
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemarts.functions.banking import capped, masked_card, money_or_zero, month_of, risk_band
@@ -22,7 +22,7 @@ from lakemarts.plans import marts, medallion, pages
 from lakemarts.schemas import TABLES
 from lakemarts.settings import LakeSettings
 from lakemarts.sources.bank_views import SPENDING_SECTORS, bank_table, bank_tables, given_table
-from lakemarts.sources.catalog import create_database, save_table, shared_folder
+from lakemarts.sources.catalog import create_database, save_table
 from lakemarts.sources.readers import read_table, sample_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,11 +43,11 @@ def _mart(spark: SparkSession, data_dir: str, mart: str) -> DataFrame:
     return plan(*[silver(spark, data_dir, name) for name in inputs])
 
 
-def _new_lake(spark: SparkSession) -> LakeSettings:
-    return LakeSettings(
-        database_prefix=f"lakemarts_{uuid.uuid4().hex[:12]}_",
-        location=shared_folder(spark, "lakemarts"),
-    )
+def _new_lake(spark: SparkSession, purpose: str) -> LakeSettings:
+    """A lake in the session's warehouse; the one of the last call is dropped."""
+    for database in spark.catalog.listDatabases(f"lakemarts_{purpose}_*"):
+        spark.sql(f"DROP SCHEMA {database.name} CASCADE")
+    return LakeSettings(database_prefix=f"lakemarts_{purpose}_{uuid.uuid4().hex[:12]}_")
 
 
 # --- sources and sinks --------------------------------------------------------
@@ -55,7 +55,7 @@ def _new_lake(spark: SparkSession) -> LakeSettings:
 
 def bronze_load(spark: SparkSession, data_dir: str) -> DataFrame:
     """All eight tables landed and read back: rows and sum of keys per table."""
-    lake = _new_lake(spark)
+    lake = _new_lake(spark, "bronze_load")
     medallion.land_bronze(spark, bank_tables(spark, data_dir), lake, RUN_TIME)
     return quality.union_all(
         [
@@ -68,9 +68,20 @@ def bronze_load(spark: SparkSession, data_dir: str) -> DataFrame:
     )
 
 
+def bronze_load_messy(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Accounts landed from padded upper-case names, with a column more and two fewer."""
+    lake = _new_lake(spark, "bronze_load_messy")
+    accounts = bank_table(spark, data_dir, "accounts").drop("status", "opened_date")
+    note = F.concat(F.lit("  branch "), (F.col("account_id") % 7).cast("string"))
+    noted = accounts.withColumn("branch_note", note)
+    messy = noted.toDF(*[f" {name.upper()} " for name in noted.columns])
+    medallion.land_bronze(spark, {"accounts": messy}, lake, RUN_TIME)
+    return medallion.bronze_table(spark, lake, "accounts")
+
+
 def save_roundtrip(spark: SparkSession, data_dir: str) -> DataFrame:
     """A Silver table saved to the catalog and read back."""
-    lake = _new_lake(spark)
+    lake = _new_lake(spark, "save_roundtrip")
     database = lake.database("scratch")
     create_database(spark, database, lake)
     save_table(silver(spark, data_dir, "credit_cards"), f"{database}.cards", lake)
@@ -79,7 +90,7 @@ def save_roundtrip(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def lakehouse_refresh(spark: SparkSession, data_dir: str) -> DataFrame:
     """Bronze landed, then Silver and Gold rebuilt: rows per table."""
-    lake = _new_lake(spark)
+    lake = _new_lake(spark, "lakehouse_refresh")
     medallion.land_bronze(spark, bank_tables(spark, data_dir), lake, RUN_TIME)
     return medallion.refresh_lakehouse(spark, lake)
 
@@ -126,6 +137,33 @@ def dedup_repeated_keys(spark: SparkSession, data_dir: str) -> DataFrame:
     return dedup_by_key(transactions, "transaction_id", cleaning.clean_columns)
 
 
+def _replayed_accounts(spark: SparkSession, data_dir: str, replayed: Column) -> DataFrame:
+    """Accounts and, once more with other padding, those of a replayed batch."""
+    accounts = bank_table(spark, data_dir, "accounts")
+    padded = F.concat(F.lit(" "), F.col("account_type"))
+    return accounts.unionByName(accounts.where(replayed).withColumn("account_type", padded))
+
+
+def dedup_unique_keys(spark: SparkSession, data_dir: str) -> DataFrame:
+    """No key repeats: no row is shuffled."""
+    accounts = bank_table(spark, data_dir, "accounts")
+    return dedup_by_key(accounts, "account_id", cleaning.clean_columns)
+
+
+def dedup_few_keys(spark: SparkSession, data_dir: str) -> DataFrame:
+    """One account in a hundred replayed: only rows of these keys are shuffled."""
+    accounts = _replayed_accounts(spark, data_dir, F.col("account_id") % 100 == 0)
+    return dedup_by_key(accounts, "account_id", cleaning.clean_columns)
+
+
+def dedup_key_blocks(spark: SparkSession, data_dir: str) -> DataFrame:
+    """A run of neighbouring accounts replayed, told apart by blocks of 256 keys."""
+    accounts = _replayed_accounts(spark, data_dir, F.col("account_id").between(256, 511))
+    return dedup_by_key(
+        accounts, "account_id", cleaning.clean_columns, broadcast_keys=4, block_bits=8
+    )
+
+
 # --- functions, joins and aggregates ------------------------------------------
 
 
@@ -243,7 +281,10 @@ def page_overview(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def page_transactions(spark: SparkSession, data_dir: str) -> DataFrame:
-    return pages.page_transactions(mart_transactions(spark, data_dir))
+    page = pages.page_transactions(
+        marts.transaction_totals(silver(spark, data_dir, "transactions"))
+    )
+    return page.withColumn("transaction_month", F.col("transaction_month").cast("timestamp_ntz"))
 
 
 def page_loans(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -251,7 +292,7 @@ def page_loans(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def page_fraud(spark: SparkSession, data_dir: str) -> DataFrame:
-    return pages.page_fraud(_mart(spark, data_dir, "fraud"))
+    return pages.page_fraud(marts.fraud_totals(silver(spark, data_dir, "fraud_alerts")))
 
 
 # --- audits and rules ---------------------------------------------------------
@@ -262,8 +303,16 @@ def _on_bronze(audit: Callable[[quality.Tables], DataFrame]) -> Query:
 
 
 def audit_not_null(spark: SparkSession, data_dir: str) -> DataFrame:
-    """On Silver, where a blank in a required column has become null."""
-    return quality.audit_not_null(silvers(spark, data_dir))
+    """On cleaned Bronze rows, where a blank in a required column has become null."""
+    cleaned = {
+        name: cleaning.clean_columns(df) for name, df in bank_tables(spark, data_dir).items()
+    }
+    return quality.audit_not_null(cleaned)
+
+
+def broken_rules(spark: SparkSession, data_dir: str) -> DataFrame:
+    """All declared rules of a run, lengths on Bronze and the others on Silver."""
+    return medallion.broken_rules(silvers(spark, data_dir), bank_tables(spark, data_dir))
 
 
 def apply_defaults(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -337,6 +386,7 @@ def alert_rate(spark: SparkSession, data_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "bronze_load": bronze_load,
+    "bronze_load_messy": bronze_load_messy,
     "save_roundtrip": save_roundtrip,
     "lakehouse_refresh": lakehouse_refresh,
     "sample_rows": sample_cards,
@@ -347,6 +397,9 @@ QUERIES: dict[str, Query] = {
     "blank_to_null": blank_to_null,
     "dedup_rows": dedup_rows,
     "dedup_by_key": dedup_repeated_keys,
+    "dedup_by_key_unique": dedup_unique_keys,
+    "dedup_by_key_replay": dedup_few_keys,
+    "dedup_by_key_blocks": dedup_key_blocks,
     **{f"silver_{name}": partial(silver, name=name) for name in TABLES},
     "month_trunc": month_trunc,
     "round_half_up": round_half_up,
@@ -368,6 +421,7 @@ QUERIES: dict[str, Query] = {
     "row_counts": _on_bronze(quality.row_counts),
     "row_counts_sorted": _on_bronze(quality.row_counts_sorted),
     "audit_not_null": audit_not_null,
+    "broken_rules": broken_rules,
     "audit_unique": _on_bronze(quality.audit_unique),
     "audit_fk": _on_bronze(quality.audit_fk),
     "audit_check": _on_bronze(quality.audit_check),

@@ -279,10 +279,3 @@ _SPECS = (
 )
 
 TABLES: Mapping[str, TableSpec] = MappingProxyType({spec.name: spec for spec in _SPECS})
-
-
-def table_spec(name: str) -> TableSpec:
-    try:
-        return TABLES[name]
-    except KeyError:
-        raise ValueError(f"unknown table {name!r}; known: {', '.join(TABLES)}") from None

@@ -15,14 +15,22 @@ GOLD_TABLES = {
     "transactions": "gold_fact_transactions_analytics",
     "loans": "gold_fact_loans_and_credit",
     "loans_exact": "gold_fact_loans_and_credit_exact",
-    "loan_totals": "gold_stage_loan_totals",
     "fraud": "gold_fact_fraud_risk",
 }
+#: Small tables that marts and pages are cut from; no report reads them.
+STAGE_DATABASE = "gold_stage"
+STAGE_TABLES = {
+    "loan_totals": "stage_loan_totals",
+    "transaction_totals": "stage_transaction_totals",
+    "fraud_totals": "stage_fraud_totals",
+}
 
 #: Session settings for a cluster run. Adaptive execution merges small shuffle
 #: partitions and splits skewed ones, but cannot split an evenly large one, so
 #: the initial count has to suit the data: see :func:`shuffle_partitions`.
 CLUSTER_CONF = {
+    # A value that does not fit fails the job; without this it becomes null.
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
@@ -33,12 +41,29 @@ CLUSTER_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
-PARTITION_BYTES = 256 * 1024 * 1024
+#: Sizes of a shuffle partition, and how many of them before they grow.
+LEAST_PARTITION_BYTES = 256 * 1024**2
+MOST_PARTITION_BYTES = 2 * 1024**3
+MANY_PARTITIONS = 4096
 
 
 def shuffle_partitions(shuffled_bytes: int, least: int = 200) -> int:
-    """Initial shuffle partitions that keep each at about 256 MB."""
-    return max(least, -(-shuffled_bytes // PARTITION_BYTES))
+    """Initial shuffle partitions for a shuffle of this size.
+
+    Each holds 256 MB up to 1 TB in all. Beyond that partitions grow to 2 GB before
+    their number does, since blocks and their bookkeeping grow with its square.
+    """
+    size = shuffled_bytes // MANY_PARTITIONS
+    size = min(max(size, LEAST_PARTITION_BYTES), MOST_PARTITION_BYTES)
+    return max(least, -(-shuffled_bytes // size))
+
+
+def require_ansi(spark: SparkSession) -> None:
+    """Raises unless values that do not fit their type fail the job."""
+    if spark.conf.get("spark.sql.ansi.enabled") != "true":
+        raise ValueError(
+            "spark.sql.ansi.enabled is off: values that do not fit would become null unnoticed"
+        )
 
 
 @dataclass(frozen=True)
@@ -76,6 +101,9 @@ class LakeSettings:
     def gold_table(self, mart: str) -> str:
         return f"{self.database(GOLD_DATABASE)}.{GOLD_TABLES[mart]}"
 
+    def stage_table(self, stage: str) -> str:
+        return f"{self.database(STAGE_DATABASE)}.{STAGE_TABLES[stage]}"
+
 
 def cluster_session(app: str, shuffled_bytes: int | None = None) -> SparkSession:
     """A session with :data:`CLUSTER_CONF`; master and resources come from submit."""

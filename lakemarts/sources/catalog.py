@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -14,12 +13,10 @@ from lakemarts.settings import LakeSettings
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name under the checkpoint folder that the cluster names.
 
-    Only where the session names none, as in a local test, a temporary folder of
-    this machine is used.
+    Where the session names none, the warehouse folder is used, which all executors
+    share as well.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="lakemarts-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -44,8 +41,10 @@ def attach_table(spark: SparkSession, name: str, settings: LakeSettings) -> bool
     path = table_path(name, settings)
     try:
         schema = spark.read.format(settings.table_format).load(path).schema
-    except AnalysisException:
-        return False
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
     spark.catalog.createTable(name, path=path, source=settings.table_format, schema=schema)
     return True
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lakemarts.functions.text import quoted
 from lakemarts.schemas import TableSpec
@@ -22,13 +23,27 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_csv(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
-    """CSV files with a header, in the declared types.
+def read_csv(
+    spark: SparkSession, path: str, spec: TableSpec, multi_line: bool = False
+) -> DataFrame:
+    """CSV files with one header, declared columns in their declared types.
 
-    The header has to name the declared columns; a bad value fails the read.
+    Columns may be absent, padded or in another case; others than the declared are
+    text. A bad value fails the read. ``multi_line`` allows line breaks in quoted text,
+    and then a file cannot be split between tasks.
     """
+    declared = {field.name: field.dataType for field in spec.schema.fields}
+    header = spark.read.csv(path, header=True, multiLine=multi_line).columns
+    schema = StructType(
+        [StructField(name, declared.get(name.strip().lower(), StringType())) for name in header]
+    )
     return spark.read.csv(
-        path, schema=spec.schema, header=True, enforceSchema=False, mode="FAILFAST"
+        path,
+        schema=schema,
+        header=True,
+        enforceSchema=False,
+        mode="FAILFAST",
+        multiLine=multi_line,
     )
 
 
@@ -73,16 +88,17 @@ def read_jdbc(
 
 
 def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """The declared columns in declared order and type.
+    """The declared columns in declared order and type, then all others as they are.
 
     A missing column fails here, by name; a value that does not fit its type
-    fails the job.
+    fails the job under ANSI mode, see :func:`lakemarts.settings.require_ansi`.
     """
     missing = [name for name in spec.columns if name not in df.columns]
     if missing:
         raise ValueError(f"table {spec.name} lacks the columns {missing}")
     return df.select(
-        *[quoted(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields]
+        *[quoted(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields],
+        *[quoted(name) for name in df.columns if name not in spec.columns],
     )
 
 

@@ -3,15 +3,17 @@ from __future__ import annotations
 from dataclasses import replace
 from datetime import datetime
 from decimal import Decimal
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from lakemarts import jobs
 from lakemarts.plans import medallion
 from lakemarts.registry.queries import QUERIES
 from lakemarts.schemas import TABLES
-from lakemarts.settings import LakeSettings, shuffle_partitions
+from lakemarts.settings import CLUSTER_CONF, LakeSettings, shuffle_partitions
 from lakemarts.sources import readers
 from lakemarts.sources.bank_views import bank_tables
 from lakemarts.sources.catalog import create_database, save_table, shared_folder
@@ -134,7 +136,76 @@ def test_shared_folder_follows_the_session(spark):
 
 def test_shuffle_partitions_grow_with_the_data():
     assert shuffle_partitions(10) == 200
-    assert shuffle_partitions(100 * 1024**4) == 409_600
+    assert shuffle_partitions(10 * 1024**3) == 200
+    assert shuffle_partitions(1024**4) == 4096
+    assert shuffle_partitions(4 * 1024**4) == 4096
+    assert shuffle_partitions(100 * 1024**4) == 51_200
+
+
+def test_landing_keeps_what_it_does_not_know(spark, tmp_path):
+    settings = LakeSettings(database_prefix="messy_", location=str(tmp_path))
+    accounts = table(
+        spark, "accounts", dict(account_id=1, account_uuid="u", account_type="x", status="Frozen")
+    )
+    extra = accounts.withColumn("note", F.lit("  kept "))
+    messy = extra.withColumnsRenamed({"status": " status", "currency": "CURRENCY"})
+    medallion.land_bronze(spark, {"accounts": messy}, settings, RUN_TIME)
+    landed = medallion.bronze_table(spark, settings, "accounts")
+    assert landed.columns == [*TABLES["accounts"].columns, "note"]
+    assert landed.first().status == "Frozen"
+    silver = medallion.silver_rows(landed, TABLES["accounts"], settings)
+    assert silver.first().note == "kept"
+    with pytest.raises(ValueError, match="collide"):
+        clash = extra.toDF(*extra.columns[:-1], " STATUS ")
+        medallion.land_bronze(spark, {"accounts": clash}, settings, RUN_TIME)
+
+
+def test_landing_refuses_a_session_that_hides_bad_values(spark):
+    quiet = spark.newSession()
+    quiet.conf.set("spark.sql.ansi.enabled", "false")
+    with pytest.raises(ValueError, match="ansi"):
+        medallion.land_bronze(quiet, {}, LakeSettings(), RUN_TIME)
+    with pytest.raises(ValueError, match="ansi"):
+        medallion.build_gold(quiet, LakeSettings())
+    assert CLUSTER_CONF["spark.sql.ansi.enabled"] == "true"
+
+
+def test_csv_may_lack_columns_and_hold_more(spark, tmp_path):
+    (tmp_path / "accounts.csv").write_text(
+        'account_id, ACCOUNT_UUID,customer_uuid,account_type,remark\n1,u,c,"a\nb",r\n'
+    )
+    spec = TABLES["accounts"]
+    read = readers.read_csv(spark, str(tmp_path / "accounts.csv"), spec, multi_line=True)
+    assert [t for _, t in read.dtypes] == ["int", "string", "string", "string", "string"]
+    assert tuple(read.first()) == (1, "u", "c", "a\nb", "r")
+
+
+def test_a_half_written_table_is_an_error(spark, tmp_path):
+    settings = LakeSettings(database_prefix="half_", location=str(tmp_path))
+    (tmp_path / "half_credit_loans_bronze" / "credit_cards").mkdir(parents=True)
+    with pytest.raises(AnalysisException):
+        medallion.attach_lake(spark, settings)
+
+
+def test_pages_come_from_written_gold(spark, lake):
+    for name, page in medallion.gold_pages(spark, lake).items():
+        expected = QUERIES[f"page_{name}"](spark, DATA_DIR)
+        if name == "transactions":
+            expected = expected.drop("transaction_month")
+            page = page.drop("transaction_month")
+        assert rows(page) == rows(expected)
+
+
+def test_without_a_checkpoint_folder_the_warehouse_is_used():
+    named = {"spark.sql.warehouse.dir": "/shared/warehouse/"}
+    session = SimpleNamespace(conf=named)
+    assert shared_folder(session, "w").startswith("/shared/warehouse/w-")
+
+
+def test_queries_leave_one_lake_behind(spark):
+    for _ in range(2):
+        assert QUERIES["save_roundtrip"](spark, DATA_DIR).count() > 0
+    assert len(spark.catalog.listDatabases("lakemarts_save_roundtrip_*")) == 1
 
 
 # --- readers ------------------------------------------------------------------
@@ -164,7 +235,7 @@ def test_conform_orders_and_casts(spark):
         readers.conform(loose, spec)
     cards = table(spark, "credit_cards", dict(card_id=1, apr=Decimal("1.00")))
     wide = cards.selectExpr("'extra' AS extra", *reversed(cards.columns))
-    assert readers.conform(wide, spec).dtypes == cards.dtypes
+    assert readers.conform(wide, spec).dtypes == [*cards.dtypes, ("extra", "string")]
 
 
 def test_jdbc_read_is_cut_by_the_key():
@@ -201,8 +272,25 @@ def test_steps_from_the_command_line(spark, tmp_path):
     reports = jobs.run(spark, jobs.parse(["refresh", "audit", *common]))
     assert reports["refresh"].where("layer = 'gold'").count() == len(medallion.MART_PLANS)
     assert "unique" in {row.rule for row in reports["audit"].collect()}
+    pages = jobs.run(spark, jobs.parse(["pages", *common]))
+    assert set(pages) == {f"page {name}" for name in ("overview", "transactions", "loans", "fraud")}
+    assert all(page.count() for page in pages.values())
     with pytest.raises(SystemExit):
-        jobs.run(spark, jobs.parse(["land"]))
+        jobs.run(spark, jobs.parse(["land", *common]))
+
+
+def test_secrets_come_from_the_environment(monkeypatch):
+    monkeypatch.setenv("BANK_SALT", "s3cret")
+    assert jobs.settings_of(jobs.parse(["silver", "--salt-env", "BANK_SALT"])).salt == "s3cret"
+    with pytest.raises(SystemExit, match="NO_SUCH"):
+        jobs.settings_of(jobs.parse(["silver", "--salt-env", "NO_SUCH"]))
+
+
+def test_shuffles_are_sized_by_the_input(spark):
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    jobs.size_shuffles(spark, bank_tables(spark, DATA_DIR))
+    assert spark.conf.get(name) == before
 
 
 def test_tables_of_an_earlier_session_are_found(spark, tmp_path):

@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import datetime
 from decimal import Decimal
 
-from lakemarts.plans import pages
+from lakemarts.plans import marts, pages
 
 D = Decimal
 
@@ -28,19 +28,19 @@ def test_overview(spark):
     ]
 
 
-def test_transactions_are_weighted_by_count(spark):
+def test_transaction_mean_leaves_out_missing_amounts(spark):
     may, june = datetime(2024, 5, 1), datetime(2024, 6, 1)
-    mart = spark.createDataFrame(
+    totals = spark.createDataFrame(
         [
-            (may, "Completed", 3, D("30.00"), D("10.00")),
-            (may, "Failed", 1, D("100.00"), D("100.00")),
-            (june, "Failed", 2, None, None),
+            (may, "Completed", 3, D("30.00"), 2),
+            (may, "Failed", 1, D("100.00"), 1),
+            (june, "Failed", 2, None, 0),
         ],
         "transaction_month timestamp, status string, total_transaction_count bigint,"
-        "total_transaction_amount decimal(23,2), avg_transaction_amount decimal(13,2)",
+        "total_transaction_amount decimal(23,2), priced_count bigint",
     )
-    assert rows(pages.page_transactions(mart)) == [
-        (may, 4, D("130.00"), D("32.50"), 3, 0.75),
+    assert rows(pages.page_transactions(totals)) == [
+        (may, 4, D("130.00"), D("43.33"), 3, 0.75),
         (june, 2, None, None, 0, 0.0),
     ]
 
@@ -68,14 +68,14 @@ def test_loans(spark):
     ]
 
 
-def test_fraud_mean_is_weighted(spark):
-    mart = spark.createDataFrame(
-        [
-            ("Velocity", "Resolved", 1, 90.0, 95),
-            ("Velocity", "Under Review", 3, 60.5, 99),
-            ("Velocity", None, 5, None, None),
-        ],
-        "alert_type string, status string, total_alerts_raised bigint, avg_risk_score double,"
-        "max_risk_score int",
+def test_fraud_mean_is_that_of_all_scores(spark):
+    alerts = spark.createDataFrame(
+        [(1, "v", "Resolved", 90), (2, "v", "Open", 60), (3, "v", "Open", 61), (4, "v", "Open", None)]
+        + [(5, "none", None, None)],
+        "alert_id int, alert_type string, status string, risk_score int",
     )
-    assert rows(pages.page_fraud(mart)) == [("Velocity", 9, 1, D("67.88"), 99)]
+    # 211 / 3; the mean of the rounded group means 90 and 60.5, by alerts, is 67.88.
+    assert rows(pages.page_fraud(marts.fraud_totals(alerts))) == [
+        ("none", 1, 0, None, None),
+        ("v", 4, 1, D("70.33"), 90),
+    ]

@@ -3,6 +3,7 @@ from __future__ import annotations
 from datetime import date, datetime
 from decimal import Decimal
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -103,6 +104,16 @@ def test_defaults_fill_absent_columns_only(spark):
     assert dict(fee.dtypes)["late_fee_applied"] == "decimal(8,2)"
 
 
+def test_audits_of_some_tables(spark):
+    customers = table(spark, "customers", dict(customer_id=1, customer_uuid="a"))
+    assert quality.audit_check({"customers": customers}).count() == 0
+    assert quality.audit_fk({"customers": customers}).count() == 0
+    assert quality.audit_unique({}).columns[-1] == "surplus_rows"
+    assert quality.row_counts({}).count() == 0
+    with pytest.raises(ValueError, match="customers"):
+        quality.audit_fk({"accounts": table(spark, "accounts")})
+
+
 def test_row_counts(spark):
     tables = {"b": spark.range(2), "a": spark.range(5), "c": spark.range(0)}
     assert [tuple(r) for r in quality.row_counts_sorted(tables).collect()] == [
