@@ -81,7 +81,8 @@ def configurations(sizes: list[int], demand: list[int], capacity: int) -> list[t
         for index in range(count - 1, -1, -1):
             column[index] = taken[index, room]
             room -= int(column[index]) * sizes[index]
-        level, step = inverse @ need, inverse @ column
+        # Not as matrix products: for these sizes threads of a BLAS cost more than they save.
+        level, step = np.einsum("ij,jk->ki", inverse, np.stack([need, column], axis=1))
         ratio = np.full(count, np.inf)
         ratio[step > 1e-9] = np.maximum(level[step > 1e-9], 0) / step[step > 1e-9]
         leaves = int(ratio.argmin())

@@ -191,7 +191,7 @@ def fit_machine(
     for index, (slot, weight) in enumerate(features):
         place = np.minimum(np.searchsorted(slots, slot), len(slots) - 1)
         place = np.where(slots[place] == slot, place, len(slots))
-        kernel[index] = weight @ basis[place]
+        kernel[index] = np.einsum("i,ij->j", weight, basis[place])
     values, vectors = np.linalg.eigh(kernel[chosen])
     kept = values > 1e-8 * values.max()
     to_features = vectors[:, kept] / np.sqrt(values[kept])
