@@ -24,6 +24,8 @@ HEADLINE = (
     "silver_transactions",
     "silver_loan_repayments",
     "dedup_by_key",
+    "dedup_by_key_unique",
+    "dedup_by_key_replay",
     "mart_financial_health",
     "mart_transactions",
     "mart_loans",
