@@ -31,6 +31,15 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _is_forest_of_stars(edges: DataFrame) -> bool:
+    """Whether every ``u`` has one ``v``, and no ``v`` is a ``u`` itself."""
+    nodes = edges.groupBy("u").agg(F.count("*").alias("n"))
+    if not nodes.filter("n > 1").isEmpty():
+        return False
+    inner = edges.select(F.col("v").alias("u")).distinct()
+    return inner.join(nodes, "u", "left_semi").isEmpty()
+
+
 def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
     """``node`` and ``component`` (least node reachable) of every node with an edge.
 
@@ -45,14 +54,7 @@ def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
         .filter("u > v")
         .distinct()
     )
-    mark = None
-    while True:
+    while not _is_forest_of_stars(current):
         current = written(_small_star(_large_star(current)))
-        found = current.agg(
-            F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")
-        ).first()
-        if mark == found:
-            break
-        mark = found
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)

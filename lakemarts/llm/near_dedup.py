@@ -32,7 +32,7 @@ ROWS = 6
 #: to join what is still apart.
 FIRST_BANDS = 6
 #: Further hubs tried in a bucket before the rest of its pairs is made in blocks.
-HUB_ROUNDS = 3
+HUB_ROUNDS = 1
 BLOCK = 256
 
 
@@ -124,6 +124,27 @@ def _band_rows(batches, shingle: int, bands: int, per_band: int):
             )
 
 
+def _in_shared_buckets(batches, known: np.ndarray):
+    """The buckets of each text that other texts may share, one row each."""
+    for batch in batches:
+        lists = batch.column("buckets")
+        bands = lists.value_lengths().to_numpy()
+        bucket = lists.flatten().to_numpy()
+        at = np.flatnonzero(might_hold(known, bucket))
+        row = np.repeat(np.arange(batch.num_rows), bands)
+        band = np.arange(len(bucket)) - np.repeat(np.cumsum(bands) - bands, bands)
+        taken = pa.array(row[at])
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("uid").take(taken),
+                batch.column("weight").take(taken),
+                pa.array(band[at].astype(np.int32)),
+                pa.array(bucket[at]),
+            ],
+            ["uid", "weight", "band", "bucket"],
+        )
+
+
 def _shingle_rows(batches, known: np.ndarray, shingle: int):
     for batch in batches:
         hit = might_hold(known, batch.column("uid").to_numpy())
@@ -190,17 +211,21 @@ def near_links(
             "uid bigint, weight bigint, buckets array<bigint>",
         ).dropDuplicates(["uid"])
     )
-    buckets = signed.select("uid", "weight", F.posexplode("buckets").alias("band", "bucket"))
-    hubs = buckets.groupBy("bucket").agg(
-        F.min(F.struct("uid", "weight")).alias("hub"), F.max("uid").alias("last")
+    # Only a bucket with several texts matters; most texts have none.
+    shared = (
+        signed.select(F.explode("buckets").alias("bucket"))
+        .groupBy("bucket")
+        .agg(F.count("*").alias("n"))
+        .filter("n > 1")
+        .select("bucket")
     )
-    # Written first: the join can then split a bucket that very many texts share.
-    shared = written(
-        hubs.filter("last > hub.uid").select(
-            "bucket", F.col("hub.uid").alias("hub"), F.col("hub.weight").alias("hub_weight")
+    several = membership_filter(shared, "bucket")
+    members = written(
+        signed.mapInArrow(
+            lambda batches: _in_shared_buckets(batches, several.value),
+            "uid bigint, weight bigint, band int, bucket bigint",
         )
     )
-    members = written(buckets.join(shared, "bucket"))
     named = members.select("uid").distinct()
     known = membership_filter(named, "uid")
     units = written(
@@ -211,41 +236,22 @@ def near_links(
         .join(named, "uid", "left_semi")
         .dropDuplicates(["uid"])
     )
-    pairs = (
-        members.filter((F.col("uid") > F.col("hub")) & (F.col("band") < FIRST_BANDS))
-        .filter(_sizes_allow("weight", "hub_weight", similarity))
-        .select(F.col("hub").alias("a"), F.col("uid").alias("b"))
-        .distinct()
-    )
+    first = members.filter(F.col("band") < FIRST_BANDS)
+    pairs = _with_hubs(first.withColumn("comp", F.col("uid")), similarity)
     compared = written(_verified(pairs, units, similarity))
     links = compared.filter("near").select("a", "b")
     apart = _apart(members, links)
     for _ in range(hub_rounds):
-        hubs = written(
-            apart.groupBy("bucket")
-            .agg(F.min(F.struct("comp", "uid", "weight")).alias("hub"))
-            .select(
-                "bucket",
-                F.col("hub.comp").alias("least"),
-                F.col("hub.uid").alias("hub"),
-                F.col("hub.weight").alias("hub_weight"),
-            )
-        )
-        pairs = (
-            apart.join(hubs, "bucket")
-            .filter("comp != least")
-            .filter(_sizes_allow("weight", "hub_weight", similarity))
-            .select(F.least("hub", "uid").alias("a"), F.greatest("hub", "uid").alias("b"))
-            .distinct()
-            .join(compared.select("a", "b"), ["a", "b"], "left_anti")
+        pairs = _with_hubs(apart, similarity).join(
+            compared.select("a", "b"), ["a", "b"], "left_anti"
         )
         fresh = written(_verified(pairs, units, similarity))
         if fresh.isEmpty():
             break
         compared = written(compared.union(fresh))
         links = compared.filter("near").select("a", "b")
-        apart = _apart(members, links)
-    return written(links.union(_rest(apart, compared, units, similarity)))
+        apart = _apart(apart, links)
+    return written(links.union(_rest(apart, signed, units, similarity)))
 
 
 def _sizes_allow(one: str, other: str, similarity: float) -> Column:
@@ -253,49 +259,127 @@ def _sizes_allow(one: str, other: str, similarity: float) -> Column:
     return F.least(one, other) >= F.greatest(one, other) * (similarity - 1e-9)
 
 
+def _with_hubs(members: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a < b) of each bucket's hub, of its least component, with those of others."""
+    # Written before the join, which can then split a bucket that very many texts share.
+    hubs = written(
+        members.groupBy("bucket")
+        .agg(F.min(F.struct("comp", "uid", "weight")).alias("hub"), F.max("comp").alias("last"))
+        .filter("hub.comp < last")
+        .select(
+            "bucket",
+            F.col("hub.comp").alias("least"),
+            F.col("hub.uid").alias("hub"),
+            F.col("hub.weight").alias("hub_weight"),
+        )
+    )
+    return (
+        members.join(hubs, "bucket")
+        .filter("comp != least")
+        .filter(_sizes_allow("weight", "hub_weight", similarity))
+        .select(F.least("hub", "uid").alias("a"), F.greatest("hub", "uid").alias("b"))
+        .distinct()
+    )
+
+
 def _apart(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Members of buckets that hold more than one component, one per component and text."""
+    """Members of the buckets that hold more than one component, with their component."""
     parts = connected_components(links, "a", "b")
-    placed = written(
-        members.join(parts, members["uid"] == parts["node"], "left").select(
-            "bucket", "uid", "weight", F.coalesce("component", "uid").alias("comp")
-        )
+    placed = members.join(parts, members["uid"] == parts["node"], "left").select(
+        "bucket", "uid", "weight", F.coalesce("component", "uid").alias("comp")
+    )
+    several = written(
+        placed.groupBy("bucket")
+        .agg(F.min("comp").alias("c"), F.max("comp").alias("d"))
+        .filter("c < d")
+        .select("bucket")
     )
-    several = placed.groupBy("bucket").agg(F.min("comp").alias("c"), F.max("comp").alias("d"))
-    return placed.join(several.filter("c < d").select("bucket"), "bucket", "left_semi")
+    return written(placed.join(several, "bucket", "left_semi"))
 
 
 def _rest(
-    apart: DataFrame, compared: DataFrame, units: DataFrame, similarity: float
+    apart: DataFrame, signed: DataFrame, units: DataFrame, similarity: float
 ) -> DataFrame:
     """Links among all pairs of a bucket that lie in different components.
 
-    Members are dealt to blocks, and each pair of blocks meets in a task of its own.
+    Members are dealt to blocks, and each pair of blocks meets in a task of its own, with
+    the shingles of its members; only links leave it.
     """
-    sizes = apart.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    sizes = written(
+        apart.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    )
     dealt = apart.join(sizes, "bucket").withColumn(
-        "block", F.expr("pmod(xxhash64(uid), blocks)").cast("int")
+        "block", F.expr("cast(pmod(xxhash64(uid), blocks) as int)")
     )
-    others = F.sequence(F.lit(0), F.col("blocks") - 1)
-    left = dealt.select(
-        "bucket", "uid", "weight", "comp", F.col("block").alias("i"), F.explode(others).alias("j")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    groups = dealt.withColumn("other", other).select(
+        "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        "block", "uid", "weight", "comp",
     )
-    right = dealt.select(
-        "bucket",
-        F.col("uid").alias("uid2"),
-        F.col("weight").alias("weight2"),
-        F.col("comp").alias("comp2"),
-        F.explode(others).alias("i"), F.col("block").alias("j"),
+    payload = units.join(signed.select("uid", "buckets"), "uid").select(
+        "uid", "buckets", F.array_sort("units").alias("units")
     )
-    pairs = (
-        left.join(right, ["bucket", "i", "j"])
-        .filter("uid < uid2 and comp != comp2")
-        .filter(_sizes_allow("weight", "weight2", similarity))
-        .select(F.col("uid").alias("a"), F.col("uid2").alias("b"))
+    return (
+        groups.join(payload, "uid")
+        .repartition("bucket", "i", "j")
+        .sortWithinPartitions("bucket", "i", "j", "uid")
+        .mapInArrow(lambda batches: _linked_in_blocks(batches, similarity), "a bigint, b bigint")
         .distinct()
-        .join(compared.select("a", "b"), ["a", "b"], "left_anti")
     )
-    return _verified(written(pairs), units, similarity).filter("near").select("a", "b")
+
+
+def _linked_in_blocks(batches, similarity: float):
+    """Near pairs of different components in each group of sorted rows."""
+    held: list[pa.RecordBatch] = []
+    names = ("bucket", "i", "j")
+
+    def work(table: pa.Table):
+        columns = {name: table.column(name).to_numpy() for name in (*names, "block", "uid", "weight", "comp")}
+        buckets = table.column("buckets").combine_chunks()
+        keys = buckets.flatten().to_numpy().reshape(len(table), -1) if len(table) else None
+        lists = [one.values.to_numpy() for one in table.column("units").combine_chunks()]
+        change = np.ones(len(table), bool)
+        change[1:] = np.any([columns[name][1:] != columns[name][:-1] for name in names], axis=0)
+        number, weight, comp = np.cumsum(change), columns["weight"], columns["comp"]
+        alone = columns["i"] == columns["j"]
+        found = []
+        for apart in range(1, len(table)):
+            left = np.flatnonzero(number[apart:] == number[:-apart])
+            if not len(left):
+                break
+            right = left + apart
+            fits = (columns["block"][left] != columns["block"][right]) | alone[left]
+            fits &= comp[left] != comp[right]
+            low, high = np.minimum(weight[left], weight[right]), np.maximum(weight[left], weight[right])
+            fits &= low >= high * (similarity - 1e-9)
+            left, right = left[fits], right[fits]
+            # A pair counts in the first bucket that both share.
+            shares = keys[left] == keys[right]
+            fits = keys[left, shares.argmax(axis=1)] == columns["bucket"][left]
+            for a, b in zip(left[fits].tolist(), right[fits].tolist()):
+                one, two = lists[a], lists[b]
+                place = np.searchsorted(two, one)
+                place[place == len(two)] = 0
+                common = int((two[place] == one).sum())
+                if common >= similarity * (len(one) + len(two) - common) - 1e-9:
+                    found.append((columns["uid"][a], columns["uid"][b]))
+        pairs = np.array(found, np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        table = pa.Table.from_batches(held)
+        row = batch.num_rows - 1
+        same = np.all(
+            [table.column(name).to_numpy() == batch.column(name)[row].as_py() for name in names], axis=0
+        )
+        cut = int(np.argmax(same))
+        yield work(table.slice(0, cut))
+        held = table.slice(cut).to_batches()
+    if held:
+        yield work(pa.Table.from_batches(held))
 
 
 def near_duplicates(
