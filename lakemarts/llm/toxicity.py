@@ -298,13 +298,16 @@ def train_toxicity(
     lists = sample.mapInArrow(
         _word_rows, "number bigint, toxic int, words array<struct<word: string, before: string>>"
     )
-    words = written(lists.select("number", "toxic", F.inline("words")))
+    words = lists.select(
+        "number", "toxic", F.inline("words")
+    ).withColumn("before", F.hash("before"))
     # A toxic word counts once for each toxic text, and for each word it follows: copies
     # of one text repeat both, while an insult turns up in many places.
     toxic_only = {name: F.when(F.col("toxic") == 1, F.col(name)) for name in ("before", "number")}
     counted = written(
         words.groupBy("word").agg(
-            F.least(*[F.count_distinct(name) for name in toxic_only.values()]).alias("n1"),
+            # Sets as large as the training texts at most.
+            F.least(*[F.size(F.collect_set(name)) for name in toxic_only.values()]).alias("n1"),
             F.count_if(F.col("toxic") == 0).alias("n0"),
         )
     )
