@@ -4,16 +4,19 @@ Patterns find assignments to password-like names, access keys and long hexadecim
 runs. Beyond these, every long run of key characters is read in the narrowest encoding
 that fits it, and three tests ask whether it looks drawn at random from that alphabet:
 a chi-squared test of uniform symbols, a runs test of ups and downs around the middle,
-and the serial correlation of neighbours. Ordinary words of similar length, counted
-over the whole corpus, tell how often such a score comes up by chance. The false
-discovery rate is then controlled within each class of length.
+and the serial correlation of neighbours. Ordinary words of the corpus, joined until
+they are as long as a class asks, tell how often such a score comes up by chance; so
+every class has a yardstick, also where no word is that long. The false discovery
+rate is then controlled within each class of length.
 """
 
 from __future__ import annotations
 
 import math
+import random
 import re
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +44,17 @@ FALSE_DISCOVERIES = 0.01
 STEPS = 20
 #: Upper bounds of the length classes.
 LENGTHS = (24, 32, 48, 64, 128)
+#: Joined words per class of length, in expectation; larger corpora have one of some class for each text.
+CHANCE_WORDS = 1000
+#: Beyond the best of them their scores are taken to thin out by e each so many steps, or more slowly.
+LEAST_TAIL = 5
 
-_LOWER_WORD = re.compile(r"[a-z]+\Z")
+_KEY = "A-Za-z0-9+/_=-"
+#: Words and short numbers that stand alone.
+_ORDINARY = re.compile(rf"(?<![{_KEY}])(?:[A-Za-z]?[a-z]+|[A-Z]{{2,8}}|[0-9]{{1,4}})(?![{_KEY}])")
+#: For texts that have none.
+_PLAIN_WORDS = tuple("the of and to in is that it for was on are with from have this which people number water".split())
+_POOL = 40
 
 
 @dataclass(frozen=True)
@@ -123,8 +135,9 @@ def battery(token: str) -> tuple[float, float, float]:
 def randomness(token: str) -> float:
     """Evidence for a random token: bits of its encoding less what the tests hold against it.
 
-    Each symbol adds the bits by which its alphabet exceeds that of words; each test
-    takes off its surprise. Only tokens that mix kinds of characters can score high.
+    Changes between digits and letters and from small letters to capitals count for it, and
+    each test takes off its surprise. Separators are read over, and a capital before small
+    letters is how words begin. Only tokens that mix kinds of characters can score high.
     """
     encoding = encoding_of(token)
     kinds = sum(
@@ -132,7 +145,8 @@ def randomness(token: str) -> float:
     )
     if kinds < 2 and encoding.name not in ("hex", "upper_hex"):
         return -1.0
-    switches = sum(_kind(a) != _kind(b) for a, b in zip(token, token[1:]))
+    order = [kind for kind in map(_kind, token) if kind < 3]
+    switches = sum(a != b and (a, b) != (1, 2) for a, b in zip(order, order[1:]))
     surprise = -sum(math.log(max(p, 1e-12)) for p in battery(token))
     return 10.0 * switches / (len(token) - 1) - surprise / math.sqrt(len(token))
 
@@ -162,7 +176,29 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
-def _scanned(batches):
+def chance_words(text: str, n: int, seed: int) -> list[str]:
+    """``n`` joins of the text's ordinary words, of all classes of length in turn."""
+    rng = random.Random(seed)
+    at = rng.randrange(len(text)) if text else 0
+    pool = [found.group() for found in islice(_ORDINARY.finditer(text, at), _POOL)]
+    if len(pool) < _POOL:
+        pool += [found.group() for found in islice(_ORDINARY.finditer(text), _POOL - len(pool))]
+    pool = pool or _PLAIN_WORDS
+    lows, highs = (LEAST_RANDOM, *(bound + 1 for bound in LENGTHS)), (*LENGTHS, 2 * LENGTHS[-1])
+    out, first = [], rng.randrange(len(lows))
+    for number in range(n):
+        size = (first + number) % len(lows)
+        length, style = rng.randint(lows[size], highs[size]), rng.randrange(5)
+        parts, so_far, between = [], 0, ("", "", "-", "_", "/")[style]
+        while so_far < length + len(between):
+            word = rng.choice(pool)
+            parts.append(word.capitalize() if style == 0 else word)
+            so_far += len(word) + len(between)
+        out.append(between.join(parts)[:length])
+    return out
+
+
+def _scanned(batches, by_chance: int):
     kind = pa.struct(
         [("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]
     )
@@ -171,21 +207,27 @@ def _scanned(batches):
     )
     for batch in batches:
         base, others = [], []
-        for text in batch.column("text").to_pylist():
+        for text, text_hash in zip(batch.column("text").to_pylist(), batch.column("text_hash").to_pylist()):
             spans = base_spans(text)
             base.append([{"start": a, "kind": k, "end": b} for a, k, b in spans])
             own = []
             for found in CANDIDATE.finditer(text):
                 a, b, token = found.start(), found.end(), found.group()
-                word = bool(_LOWER_WORD.match(token.lower())) or not any(c in _DIGITS for c in token)
-                if not word and any(x < b and a < y for x, _, y in spans):
+                if any(x < b and a < y for x, _, y in spans):
                     continue
                 own.append(
                     {
                         "start": a, "end": b, "size": length_class(b - a),
-                        "score": math.floor(STEPS * (randomness(token))), "word": word,
+                        "score": math.floor(STEPS * randomness(token)), "word": False,
                     }
                 )
+            own += [
+                {
+                    "start": 0, "end": 0, "size": length_class(len(word)),
+                    "score": math.floor(STEPS * randomness(word)), "word": True,
+                }
+                for word in chance_words(text, by_chance, text_hash)
+            ]
             others.append(own)
         yield pa.RecordBatch.from_arrays(
             [
@@ -198,22 +240,42 @@ def _scanned(batches):
         )
 
 
+def _tail(words: list[tuple[int, int]]) -> tuple[int, float]:
+    """The best score, and by how much the best hundredth of the words exceeds its least.
+
+    ``words`` has (score, words), best first.
+    """
+    if not words:
+        return 0, float(LEAST_TAIL)
+    enough, n, total = max(10, sum(count for _, count in words) / 100), 0, 0
+    for score, count in words:
+        n += count
+        total += count * score
+        if n >= enough:
+            break
+    return words[0][0], max(float(LEAST_TAIL), total / n - score)
+
+
 def score_limits(counts: list[tuple[int, int, int, int]], rate: float = FALSE_DISCOVERIES) -> dict[int, int]:
     """Least score reported in each class of length.
 
     ``counts`` has (class, score, words, others). The words say how often a word reaches a
     score; the share of others that words would explain there must not exceed ``rate``.
+    Beyond the best word the chance falls off exponentially, by the words' own tail.
     """
     limits = {}
     for size in {row[0] for row in counts}:
         own = sorted((row for row in counts if row[0] == size), key=lambda row: -row[1])
         words, others = sum(row[2] for row in own), sum(row[3] for row in own)
+        best, tail = _tail([(row[1], row[2]) for row in own if row[2]])
         above_words = above_others = 0
         for _, score, n_words, n_others in own:
             above_words += n_words
             above_others += n_others
-            by_chance = (above_words + 1) / (words + 1) * others
-            if score >= 0 and above_others and by_chance / above_others <= rate:
+            chance = (above_words + 1) / (words + 1)
+            if words and not above_words:
+                chance *= math.exp((best - score) / tail)
+            if score >= 0 and above_others and chance * others / above_others <= rate:
                 limits[size] = score
     return limits
 
@@ -229,12 +291,16 @@ def find_secrets(
 
     Both are arrays of (start, kind, end): code points, end exclusive, by start and then
     kind (a number in :data:`KINDS`). ``spans`` holds the base spans and the random ones that
-    overlap none. Null text counts as empty and has none.
+    overlap none. Null text counts as empty and has none. Runs of fewer than
+    :data:`LEAST_RANDOM` characters, and those of one kind (digits, capitals or small letters
+    alone), are never reported as random.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
+    texts = keyed_texts(docs, id_col, text_col)
+    by_chance = -(-CHANCE_WORDS * (len(LENGTHS) + 1) // max(texts.count(), 1))
     found = written(
-        keyed_texts(docs, id_col, text_col).mapInArrow(
-            _scanned,
+        texts.mapInArrow(
+            lambda batches: _scanned(batches, by_chance),
             f"doc_id {id_type}, text_hash bigint, base array<struct<start: int, kind: int, end: int>>, "
             "candidates array<struct<start: int, end: int, size: int, score: int, word: boolean>>",
         )

@@ -179,6 +179,28 @@ def test_random_strings_stand_out(spark):
     assert all((s["start"], s["kind"], s["end"]) == (3, 3, 33) for r in found for s in r["spans"])
 
 
+@pytest.mark.parametrize("length", [22, 28, 40, 60, 100, 200])
+def test_keys_stand_out_without_long_words(spark, length):
+    """Texts of short words only, few keys of one class, one of them without digits."""
+    rng = random.Random(length)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    rows = [(i, " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 8))) for _ in range(30))) for i in range(60)]
+    rows += [(100 + i, "some-ordinary-words-joined-" + "-and-others" * (length // 11)) for i in range(5)]
+    keys = ["".join(rng.choice(letters + "0123456789") for _ in range(length)) for _ in range(11)]
+    keys.append("".join(rng.choice(letters) for _ in range(length)))
+    rows += [(1000 + i, f"id {key} end") for i, key in enumerate(keys)]
+    found = find_secrets(spark.createDataFrame(rows, DOC)).filter("size(spans) > 0").collect()
+    reported = {r["doc_id"] for r in found}
+    assert reported <= set(range(1000, 1012)) and len(reported) >= (9 if length < 25 else 11)
+    assert all((s["start"], s["kind"], s["end"]) == (3, 3, 3 + length) for r in found for s in r["spans"])
+
+
+def test_limits_beyond_the_best_word():
+    # Nothing reaches step 40 but keys, however few the words or keys; no word at all says nothing.
+    assert score_limits([(0, 10, 990, 300), (0, 20, 10, 0), (0, 60, 0, 1)]) == {0: 60}
+    assert score_limits([(0, 60, 0, 50)]) == {}
+
+
 def test_limits_hold_the_rate():
     # 1000 words; 5 reach score 3. 100 others, 50 of them there.
     assert score_limits([(0, 1, 995, 50), (0, 3, 5, 50)], rate=0.02) == {0: 3}
