@@ -230,3 +230,17 @@ def test_passages(spark):
     assert (found[3]["start"], found[3]["end"]) == (0, 79) and found[3]["identity"] > 0.95
     assert found[8]["doc_id0"] == 8
     assert repeated_passages(spark.createDataFrame([], DOC)).count() == 0
+
+
+def test_passages_whose_parts_stood_elsewhere(spark):
+    """The parts of a passage are in earlier documents, the whole in one later than those."""
+    rng = random.Random(10)
+    rows, want = [], {}
+    for case, parts in enumerate([(30, 30), (40, 40), (30, 30, 30), (25, 25), (45, 20)] * 4):
+        pieces = [sentence(rng, n) for n in parts]
+        base = 100 * case
+        rows += [(base + i, f"{sentence(rng, 40)} {piece} {sentence(rng, 40)}") for i, piece in enumerate(pieces)]
+        rows += [(base + i, f"{sentence(rng, 15)} {' '.join(pieces)} {sentence(rng, 25)}") for i in (50, 51)]
+        want[base + 51] = (15, 15 + sum(parts), base + 50)
+    found = repeated_passages(spark.createDataFrame(rows, DOC)).collect()
+    assert {row["doc_id"]: (row["start"], row["end"], row["doc_id0"]) for row in found} == want
