@@ -49,6 +49,16 @@ class Plan:
     sequences: int
 
 
+def _closer_inverse(inverse: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """One Newton step, which squares the error of a nearly right inverse.
+
+    Only ``einsum`` on arrays of this size: threads of a BLAS cost more than they save,
+    and can block for ever in a driver that has started a JVM.
+    """
+    wrong = np.eye(len(basis)) - np.einsum("ij,jk->ik", basis, inverse)
+    return inverse + np.einsum("ij,jk->ik", inverse, wrong)
+
+
 def configurations(sizes: list[int], demand: list[int], capacity: int) -> list[tuple[list[int], float]]:
     """Best mix of configurations for few sizes: (pieces of each size, how often).
 
@@ -58,9 +68,10 @@ def configurations(sizes: list[int], demand: list[int], capacity: int) -> list[t
     count = len(sizes)
     basis = np.diag([float(capacity // size) for size in sizes])
     need = np.array(demand, float)
+    inverse = np.diag(1.0 / np.diag(basis))
     for turn in range(20 * count):
-        if turn % 50 == 0:
-            inverse = np.linalg.inv(basis)
+        if turn % 50 == 49:
+            inverse = _closer_inverse(inverse, basis)
         prices = inverse.sum(axis=0)
         best, taken = np.zeros(capacity + 1), np.zeros((count, capacity + 1), np.int64)
         for index, (size, price) in enumerate(zip(sizes, prices)):
@@ -74,14 +85,13 @@ def configurations(sizes: list[int], demand: list[int], capacity: int) -> list[t
                 target[better] = worth[better]
                 taken[index, copies * size :][better] = copies
         # The optimum is at least value / best: stop when no more can be gained.
-        value = float(prices @ need)
+        value = float((prices * need).sum())
         if value - value / max(best[capacity], 1.0) < max(0.5, 1e-4 * value):
             break
         column, room = np.zeros(count), capacity
         for index in range(count - 1, -1, -1):
             column[index] = taken[index, room]
             room -= int(column[index]) * sizes[index]
-        # Not as matrix products: for these sizes threads of a BLAS cost more than they save.
         level, step = np.einsum("ij,jk->ki", inverse, np.stack([need, column], axis=1))
         ratio = np.full(count, np.inf)
         ratio[step > 1e-9] = np.maximum(level[step > 1e-9], 0) / step[step > 1e-9]
@@ -90,7 +100,7 @@ def configurations(sizes: list[int], demand: list[int], capacity: int) -> list[t
         pivot = inverse[leaves] / step[leaves]
         inverse -= np.outer(step, pivot)
         inverse[leaves] = pivot
-    level = np.linalg.solve(basis, need)
+    level = np.einsum("ij,j->i", _closer_inverse(inverse, basis), need)
     return [
         ([int(round(n)) for n in basis[:, index]], float(level[index])) for index in range(count)
     ]

@@ -3,13 +3,15 @@
 The vocabulary file is that of the ``tokenizers`` library. Where its ids follow the
 order of its merges, as in byte-level vocabularies, ordinary text is encoded by
 ``tiktoken`` from the same file, which gives the same ids several times faster.
-Texts that hold an added token, and other vocabularies, go to ``tokenizers``.
+Texts that hold an added token or a very long run without a break, and other vocabularies,
+go to ``tokenizers``. There is no limit to the length of a text.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -19,6 +21,11 @@ BYTE_LEVEL_PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 
+#: Longest run of white space or of other characters that ``tiktoken`` gets: its
+#: pattern keeps a place to return to for each space of a run, and has a limit for them.
+LONGEST_RUN = 50_000
+_RUN = re.compile(r"\s+|\S+")
+
 
 def _byte_of_symbol() -> dict[str, int]:
     """Byte-level vocabularies write each byte as one printable character."""
@@ -76,9 +83,16 @@ class Encoder:
         )
         return lambda text: coding.encode_to_numpy(text, disallowed_special=())
 
+    def _needs_library(self, text: str) -> bool:
+        if self._plain is None or any(token in text for token in self._added):
+            return True
+        return len(text) > LONGEST_RUN and any(
+            run.end() - run.start() > LONGEST_RUN for run in _RUN.finditer(text)
+        )
+
     def ids(self, text: str) -> np.ndarray:
         """Ids of the text as little-endian unsigned 32-bit numbers."""
-        if self._plain is None or any(token in text for token in self._added):
+        if self._needs_library(text):
             coded = self._tokenizer.encode(text, add_special_tokens=False)
             return np.array(coded.ids, "<u4")
         return self._plain(text).astype("<u4", copy=False)
@@ -87,7 +101,7 @@ class Encoder:
         """First and last character of each token, in code points."""
         if not text:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        if self._plain is None or any(token in text for token in self._added):
+        if self._needs_library(text):
             spans = self._tokenizer.encode(text, add_special_tokens=False).offsets
             first, end = np.array(spans, np.int64).reshape(-1, 2).T
             return first, np.maximum(end - 1, first)

@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lakemarts.llm.decontaminate import contamination, decontaminated
@@ -56,6 +57,24 @@ def test_ids_and_offsets_are_those_of_the_library(reference_tokenizer):
         assert list(zip(first.tolist(), (last + 1).tolist())) == coded.offsets
 
 
+@pytest.mark.parametrize("unit", [" ", "\n", "\t", "\u00a0", "a", "!"])
+def test_very_long_runs_have_the_ids_of_the_library(reference_tokenizer, unit):
+    text = "start " + unit * 2_000_000 + "end of it"
+    coded = reference_tokenizer.encode(text, add_special_tokens=False)
+    coder = encoder(vocabulary())
+    assert coder.ids(text).tolist() == coded.ids
+    first, last = coder.characters(text)
+    assert list(zip(first.tolist(), (last + 1).tolist())) == coded.offsets
+
+
+def test_very_long_runs_are_packed_and_counted(spark):
+    rows = [(1, " " * 2_000_000), (2, "a" * 2_000_000), (3, "\n" * 1_100_000 + "x"), (4, "x")]
+    docs = spark.createDataFrame(rows, DOC)
+    lengths = {r["doc_id"]: r["n"] for r in pack(docs).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()}
+    counts = section_token_counts(docs).groupBy("doc_id").agg(F.sum("n_tokens").alias("n"))
+    assert lengths == {r["doc_id"]: r["n"] + 1 for r in counts.collect()} and lengths[1] == 2_000_001
+
+
 def test_lines_and_given_sections(spark):
     for text in odd_texts(200):
         starts, ends = line_sections(text)
