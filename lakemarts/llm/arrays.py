@@ -84,6 +84,7 @@ class Words:
     starts: np.ndarray  # of each word in data
     ends: np.ndarray
     word_offsets: np.ndarray  # of each row among the words
+    inside: np.ndarray  # which bytes of data belong to words
 
     @property
     def rows(self) -> int:
@@ -103,6 +104,14 @@ class Words:
     def hashes(self) -> np.ndarray:
         return run_hashes(self.data, self.starts, self.ends)
 
+    def numbered(self) -> tuple[np.ndarray, pa.Array]:
+        """A number for each word, equal for equal words only, and the word of each number."""
+        offsets = np.append(0, np.cumsum(self.ends - self.starts))
+        values = pa.LargeStringArray.from_buffers(
+            len(self.starts), pa.py_buffer(offsets), pa.py_buffer(self.data[self.inside])
+        ).dictionary_encode()
+        return values.indices.to_numpy().astype(np.int64), values.dictionary
+
     def text(self, first: int, n: int) -> str:
         """``n`` words from word ``first`` on, with single spaces."""
         raw = self.data.data
@@ -121,13 +130,16 @@ def row_slices(offsets: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[i
         first = last
 
 
-def words_of(column: pa.Array) -> Iterator[Words]:
-    """Slices of the column, each with the words of its texts."""
+def words_of(column: pa.Array, word_bytes: np.ndarray = WORD_BYTES) -> Iterator[Words]:
+    """Slices of the column, each with the words of its texts.
+
+    A word is a maximal run of the bytes that ``word_bytes`` marks.
+    """
     raw, offsets = text_bytes(column)
     for first, last in row_slices(offsets):
         own = offsets[first : last + 1] - offsets[first]
         data = LOWER[raw[offsets[first] : offsets[last]]]
-        inside = WORD_BYTES[data]
+        inside = word_bytes[data]
         begins, stops = inside.copy(), inside.copy()
         begins[1:] &= ~inside[:-1]
         stops[:-1] &= ~inside[1:]
@@ -138,7 +150,7 @@ def words_of(column: pa.Array) -> Iterator[Words]:
         stops[at] = inside[at]
         starts = np.flatnonzero(begins)
         yield Words(
-            first, data, own, starts, np.flatnonzero(stops) + 1, np.searchsorted(starts, own)
+            first, data, own, starts, np.flatnonzero(stops) + 1, np.searchsorted(starts, own), inside
         )
 
 

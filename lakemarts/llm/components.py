@@ -55,6 +55,6 @@ def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
         .distinct()
     )
     while not _is_forest_of_stars(current):
-        current = written(_small_star(_large_star(current)))
+        current = written(_small_star(_large_star(current)), replaces=current)
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)

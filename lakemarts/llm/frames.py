@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 from operator import and_
+from weakref import WeakKeyDictionary
 
 import numpy as np
 from pyspark import Broadcast
@@ -24,15 +26,35 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def written(frame: DataFrame) -> DataFrame:
-    """The rows, computed once and kept in the shared folder.
+#: Folder of each written table that may still be discarded.
+_FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
-    Losing an executor then loses nothing, and what follows does not compute them again.
+
+def written(frame: DataFrame, replaces: DataFrame | None = None) -> DataFrame:
+    """The rows, computed once and kept as Parquet in the shared folder.
+
+    Losing an executor then loses nothing, what follows does not compute them again, and
+    a reader takes only the columns it needs. ``replaces`` is an earlier written table
+    that is not needed any more: its files go. What is left lies in the shared folder
+    under the application's id, and may be deleted when the application has ended.
     """
-    context = frame.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(frame.sparkSession))
-    return frame.checkpoint()
+    spark = frame.sparkSession
+    folder = f"{shared_folder(spark)}/lakemarts-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    frame.write.parquet(folder)
+    rows = spark.read.schema(frame.schema).parquet(folder)
+    _FOLDERS[rows] = folder
+    if replaces is not None:
+        discard(replaces)
+    return rows
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of written tables; nothing may read them afterwards."""
+    for rows in tables:
+        folder = _FOLDERS.pop(rows, None)
+        if folder is not None:
+            path = rows.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(rows.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def left_join_null_safe(left: DataFrame, right: DataFrame, *names: str) -> DataFrame:

@@ -67,7 +67,78 @@ SELECT d.doc_id, CAST(length(coalesce(t.text, '')) AS BIGINT) AS n_chars_left, s
 FROM documents d LEFT JOIN texts t USING (doc_id)
 """
 
+OP12 = r"""
+WITH RECURSIVE fields AS (
+  SELECT *, coalesce(CAST(strlen(CAST(doc_id AS VARCHAR)) AS VARCHAR) || ':' || CAST(doc_id AS VARCHAR), '-')
+    || coalesce(CAST(strlen(source) AS VARCHAR) || ':' || source, '-')
+    || coalesce(CAST(strlen(lang) AS VARCHAR) || ':' || lang, '-')
+    || coalesce(CAST(strlen(CAST(n_chars AS VARCHAR)) AS VARCHAR) || ':' || CAST(n_chars AS VARCHAR), '-') AS head,
+    list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+      lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+        lambda x, i: xor(x // 2, (x % 2) * CAST(3988292384 AS BIGINT)))) % 2 = 1 AS even_crc
+  FROM documents
+),
+changed AS (SELECT *, CASE WHEN even_crc THEN replace(text, chr(10), '') ELSE text END AS other FROM fields),
+leaves AS (
+  SELECT doc_id, source, sha256(head || coalesce(CAST(strlen(text) AS VARCHAR) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(CAST(strlen(other) AS VARCHAR) || ':' || other, '-')) AS changed_leaf
+  FROM changed
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS n
+  FROM leaves
+),
+nodes AS (
+  SELECT 0 AS level, source, i, n, leaf AS digest FROM placed
+  UNION ALL
+  SELECT level + 1, source, i // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY i))
+  FROM nodes WHERE n > 1 GROUP BY level, source, n, i // 3
+),
+subroots AS (SELECT source, digest AS subroot FROM nodes WHERE n = 1),
+ranked AS (SELECT source, subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS s, count(*) OVER () AS m FROM subroots),
+tops AS (
+  SELECT 0 AS level, s, m, subroot AS digest FROM ranked
+  UNION ALL
+  SELECT level + 1, s // 3, (m + 2) // 3, sha256(string_agg(digest, '' ORDER BY s)) FROM tops WHERE m > 1 GROUP BY level, m, s // 3
+),
+root AS (SELECT digest AS root FROM tops WHERE m = 1),
+around AS (
+  SELECT p.source, p.i AS leaf_i, k.level, k.i // 3 AS run, p.i // CAST(3 ** k.level AS BIGINT) AS own, k.i, k.digest
+  FROM placed p JOIN nodes k ON k.source IS NOT DISTINCT FROM p.source AND k.n > 1
+    AND k.i // 3 = p.i // CAST(3 ** (k.level + 1) AS BIGINT) AND k.i <> p.i // CAST(3 ** k.level AS BIGINT)
+  UNION ALL
+  SELECT p.source, p.i, 100 + k.level, k.s // 3, r.s // CAST(3 ** k.level AS BIGINT), k.s, k.digest
+  FROM placed p JOIN ranked r ON r.source IS NOT DISTINCT FROM p.source
+    JOIN tops k ON k.m > 1 AND k.s // 3 = r.s // CAST(3 ** (k.level + 1) AS BIGINT) AND k.s <> r.s // CAST(3 ** k.level AS BIGINT)
+),
+steps AS (
+  SELECT p.source, p.i, k.level FROM placed p
+    JOIN (SELECT DISTINCT source, level FROM nodes WHERE n > 1) k ON k.source IS NOT DISTINCT FROM p.source
+  UNION ALL
+  SELECT p.source, p.i, 100 + k.level FROM placed p, (SELECT DISTINCT level FROM tops WHERE m > 1) k
+),
+sides AS (
+  SELECT t.source, t.i, t.level, coalesce(string_agg(a.digest, '' ORDER BY a.i) FILTER (a.i < a.own), '') AS l,
+    coalesce(string_agg(a.digest, '' ORDER BY a.i) FILTER (a.i > a.own), '') AS r
+  FROM steps t LEFT JOIN around a ON a.source IS NOT DISTINCT FROM t.source AND a.leaf_i = t.i AND a.level = t.level
+  GROUP BY t.source, t.i, t.level
+),
+listed AS (SELECT source, i, list(l ORDER BY level) AS ls, list(r ORDER BY level) AS rs FROM sides GROUP BY source, i),
+climbed AS (
+  SELECT p.source, p.i, 0 AS k, p.changed_leaf AS digest, coalesce(ls, []) AS ls, coalesce(rs, []) AS rs
+  FROM placed p LEFT JOIN listed t ON t.source IS NOT DISTINCT FROM p.source AND t.i = p.i
+  UNION ALL
+  SELECT source, i, k + 1, sha256(ls[k + 1] || digest || rs[k + 1]), ls, rs FROM climbed WHERE k < len(ls)
+)
+SELECT p.doc_id, p.leaf, b.subroot, root.root,
+  sha256(list_reduce(list_prepend('', list_transform(range(len(c.ls)), lambda j: c.ls[j + 1] || c.rs[j + 1])), lambda x, y: x || y)) AS proof_sha256,
+  c.digest AS folded_root, c.digest = root.root AS verified
+FROM placed p JOIN subroots b ON b.source IS NOT DISTINCT FROM p.source
+JOIN climbed c ON c.source IS NOT DISTINCT FROM p.source AND c.i = p.i AND c.k = len(c.ls), root
+"""
+
 LLM_ORACLES = {
     "op1_decontamination": OP1,
     "op2_line_dedup": OP2,
+    "op12_merkle_manifest": OP12,
 }

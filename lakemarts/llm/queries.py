@@ -10,6 +10,7 @@ from lakemarts.llm.embedding_dedup import near_vectors
 from lakemarts.llm.frames import table
 from lakemarts.llm.language_id import documents_with_language, pages_with_language
 from lakemarts.llm.line_dedup import without_repeated_lines
+from lakemarts.llm.merkle import hashed, manifest, tampered
 from lakemarts.llm.near_dedup import near_duplicates
 from lakemarts.llm.packing import pack
 from lakemarts.llm.passages import repeated_passages
@@ -102,6 +103,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    proven = manifest(docs, changed={"text": tampered(docs["doc_id"], docs["text"])})
+    return proven.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        hashed(F.col("siblings")).alias("proof_sha256"),
+        "folded_root",
+        "verified",
+    )
+
+
 LLM_QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_line_dedup": op2_line_dedup,
@@ -113,5 +128,6 @@ LLM_QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_language_id": op9_language_id,
     "op10_toxicity": op10_toxicity,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "page_language": page_language,
 }
