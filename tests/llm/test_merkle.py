@@ -99,6 +99,7 @@ def test_few_levels_are_stored(spark):
     """Four levels of 900 leaves are regenerated; a stored table follows for the rest."""
     from lakemarts.llm.merkle import positioned, stored_tree
 
-    leaves = spark.range(900).select(F.lit("=a").alias("key"), "id", F.sha2(F.col("id").cast("binary"), 256).alias("digest"))
+    digest = F.sha2(F.col("id").cast("string"), 256).alias("digest")
+    leaves = spark.range(900).select(F.lit("=a").alias("key"), "id", digest)
     stored = stored_tree(positioned(leaves, ["id"]), ["id"])
     assert [table.select(F.explode("nodes")).count() for table in stored] == [900, 12]
