@@ -67,6 +67,49 @@ SELECT d.doc_id, CAST(length(coalesce(t.text, '')) AS BIGINT) AS n_chars_left, s
 FROM documents d LEFT JOIN texts t USING (doc_id)
 """
 
+_TERMS = (
+    "regexp_extract_all(translate(coalesce(text, ''), '" + _UPPER + "', '" + _LOWER + "'), "
+    r"'[^\x00-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+OP11 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_TERMS} AS ws FROM documents
+),
+found AS (SELECT id, lang, source, unnest(ws) AS term FROM d),
+kept AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS c FROM found GROUP BY lang, term HAVING count(DISTINCT id) >= 3),
+langs AS (SELECT lang, count(*) AS v, sum(c) AS n FROM kept GROUP BY lang),
+counts AS (
+  SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS c FROM found JOIN kept USING (lang, term) GROUP BY lang, source, term
+),
+groups AS (SELECT DISTINCT lang, source FROM d),
+sizes AS (
+  SELECT lang, source, coalesce(sum(c), 0) AS n FROM groups LEFT JOIN counts USING (lang, source) GROUP BY lang, source
+),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(o.c, 0) AS c,
+    1 + CAST(1000000000 AS HUGEINT) * (coalesce(o.c, 0) + 1) // (g.n + l.v) AS p,
+    1 + CAST(1000000000 AS HUGEINT) * (k.c + 1) // (l.n + l.v) AS q
+  FROM sizes g JOIN kept k ON k.lang = g.lang JOIN langs l ON l.lang = g.lang
+  LEFT JOIN counts o ON o.lang = g.lang AND o.source = g.source AND o.term = k.term
+),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source
+  GROUP BY a.lang, a.source, b.source
+),
+rows AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM groups a JOIN groups b ON b.lang = a.lang AND b.source <> a.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM shares WHERE c > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+  CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM rows QUALIFY part = 'pair' OR rank <= 200
+"""
+
 OP12 = r"""
 WITH RECURSIVE fields AS (
   SELECT *, coalesce(CAST(strlen(CAST(doc_id AS VARCHAR)) AS VARCHAR) || ':' || CAST(doc_id AS VARCHAR), '-')
@@ -140,5 +183,6 @@ JOIN climbed c ON c.source IS NOT DISTINCT FROM p.source AND c.i = p.i AND c.k =
 LLM_ORACLES = {
     "op1_decontamination": OP1,
     "op2_line_dedup": OP2,
+    "op11_source_divergence": OP11,
     "op12_merkle_manifest": OP12,
 }

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemarts.llm.decontaminate import contamination
+from lakemarts.llm.divergence import source_divergence
 from lakemarts.llm.embedding_dedup import near_vectors
 from lakemarts.llm.frames import table
 from lakemarts.llm.language_id import documents_with_language, pages_with_language
@@ -103,6 +104,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     proven = manifest(docs, changed={"text": tampered(docs["doc_id"], docs["text"])})
@@ -128,6 +133,7 @@ LLM_QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_language_id": op9_language_id,
     "op10_toxicity": op10_toxicity,
+    "op11_source_divergence": op11_source_divergence,
     "op12_merkle_manifest": op12_merkle_manifest,
     "page_language": page_language,
 }
