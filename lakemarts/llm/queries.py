@@ -10,6 +10,8 @@ from lakemarts.llm.divergence import source_divergence
 from lakemarts.llm.embedding_dedup import near_vectors
 from lakemarts.llm.frames import table
 from lakemarts.llm.language_id import documents_with_language, pages_with_language
+from lakemarts.llm.language_model import held_out as held_out_of_model
+from lakemarts.llm.language_model import score_texts, train_language_model
 from lakemarts.llm.line_dedup import without_repeated_lines
 from lakemarts.llm.merkle import hashed, manifest, tampered
 from lakemarts.llm.near_dedup import near_duplicates
@@ -122,6 +124,22 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = held_out_of_model(F.col("doc_id"))
+    model = train_language_model(docs.filter(~out).select("text"))
+    scored = score_texts(docs, model)
+    return scored.select(
+        "doc_id",
+        out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("bigint").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 LLM_QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_line_dedup": op2_line_dedup,
@@ -135,5 +153,6 @@ LLM_QUERIES = {
     "op10_toxicity": op10_toxicity,
     "op11_source_divergence": op11_source_divergence,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_language_model": op13_language_model,
     "page_language": page_language,
 }
