@@ -32,10 +32,6 @@ TOP_TERMS = 200
 #: Counts by source that are compared in one task, at least, and pairs of sources there.
 BLOCK_COUNTS = 1 << 16
 BLOCK_PAIRS = 1 << 22
-#: Bits of the filter of surviving prefixes per prefix, and at most: 32 MB. A fuller filter
-#: lets more terms through to the next count, which then rejects them.
-BITS_PER_PREFIX = 12
-MOST_FILTER_BITS = 28
 
 # Fixed value: the bytes of a term.
 TERM_BYTES = np.zeros(256, bool)
@@ -170,11 +166,10 @@ def term_counts(
         )
         levels.append(level.filter("term is not null").drop("prefix"))
         left = level.filter("term is null").select("prefix")
-        n = left.count()
-        if not n:
+        if left.isEmpty():
             break
-        bits = min(max(int(n * BITS_PER_PREFIX).bit_length(), 16), MOST_FILTER_BITS)
-        known = membership_filter(left, "prefix", bits)
+        # What a full filter lets through, the next count rejects.
+        known = membership_filter(left, "prefix", sized=True)
         length *= 2
     found = levels[0]
     for more in levels[1:]:

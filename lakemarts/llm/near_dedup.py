@@ -13,14 +13,18 @@ is then computed from all their shingles.
 
 from __future__ import annotations
 
+import math
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemarts.llm.arrays import Words, gram_hashes, list_array, mix, words_of
 from lakemarts.llm.components import connected_components
-from lakemarts.llm.frames import membership_filter, might_hold, written
+from lakemarts.llm.frames import discard, membership_filter, might_hold, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -31,9 +35,14 @@ ROWS = 6
 #: Bands whose buckets are compared with their hubs first; the others then only need
 #: to join what is still apart.
 FIRST_BANDS = 6
-#: Further hubs tried in a bucket before the rest of its pairs is made in blocks.
+#: Further hubs tried in a bucket before the rest of its pairs is looked at in blocks.
 HUB_ROUNDS = 1
+#: Members of a block, and pairs that are verified together.
 BLOCK = 256
+CELL_PAIRS = 4096
+#: In blocks, texts whose signatures agree less are passed over: with a similarity at the
+#: limit that is so many standard deviations away, a chance of 1e-9.
+DEVIATIONS = 6.0
 
 
 def _shingles(words: Words, shingle: int) -> tuple[np.ndarray, np.ndarray]:
@@ -119,8 +128,10 @@ def _band_rows(batches, shingle: int, bands: int, per_band: int):
                     list_array(
                         pa.array(keys[some].view(np.int64).ravel()), np.full(len(some), bands)
                     ),
+                    # A byte of each coordinate tells how far two texts agree.
+                    pa.array([line.tobytes() for line in signature[some].astype(np.uint8)], pa.binary()),
                 ],
-                ["uid", "weight", "buckets"],
+                ["uid", "weight", "buckets", "sketch"],
             )
 
 
@@ -145,6 +156,11 @@ def _in_shared_buckets(batches, known: np.ndarray):
         )
 
 
+def _sorted_in_rows(row: np.ndarray, units: np.ndarray) -> np.ndarray:
+    units = units.view(np.int64)
+    return units[np.lexsort((units, row))]
+
+
 def _shingle_rows(batches, known: np.ndarray, shingle: int):
     for batch in batches:
         hit = might_hold(known, batch.column("uid").to_numpy())
@@ -155,7 +171,7 @@ def _shingle_rows(batches, known: np.ndarray, shingle: int):
                 [
                     batch.column("uid").slice(words.first_row, words.rows),
                     list_array(
-                        pa.array(_units(row, gram).view(np.int64)),
+                        pa.array(_sorted_in_rows(row, _units(row, gram))),
                         np.bincount(row, minlength=words.rows),
                     ),
                 ],
@@ -163,29 +179,51 @@ def _shingle_rows(batches, known: np.ndarray, shingle: int):
             )
 
 
-def _similar(batches, similarity: float):
-    """Pairs of unit lists whose Jaccard similarity reaches the limit."""
-    for batch in batches:
-        left, right = batch.column("left_units"), batch.column("right_units")
-        near = []
-        for one, two in zip(left, right):
-            a, b = one.values.to_numpy(), two.values.to_numpy()
-            common = len(np.intersect1d(a, b, assume_unique=True))
-            near.append(common >= similarity * (len(a) + len(b) - common) - 1e-9)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("a"), batch.column("b"), pa.array(near, pa.bool_())], ["a", "b", "near"]
-        )
+def _similar(rows: pa.Table, similarity: float) -> pa.Table:
+    """``near`` of the pairs of a cell; rows without ``b`` are the shingles of ``a``."""
+    lists = rows.filter(pc.is_null(rows["b"]))
+    pairs = rows.filter(pc.is_valid(rows["b"]))
+    units = dict(zip(lists["a"].to_pylist(), lists["units"].combine_chunks()))
+    near = []
+    for a, b in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist()):
+        one, two = units[a].values.to_numpy(), units[b].values.to_numpy()
+        place = np.searchsorted(two, one)
+        place[place == len(two)] = 0
+        common = int((two[place] == one).sum())
+        near.append(common >= similarity * (len(one) + len(two) - common) - 1e-9)
+    return pa.table({"a": pairs["a"], "b": pairs["b"], "near": pa.array(near, pa.bool_())})
 
 
 def _verified(pairs: DataFrame, units: DataFrame, similarity: float) -> DataFrame:
-    """``a``, ``b`` and whether they are ``near``, from all shingles of both."""
-    left = units.select(F.col("uid").alias("a"), F.col("units").alias("left_units"))
-    right = units.select(F.col("uid").alias("b"), F.col("units").alias("right_units"))
-    return (
-        pairs.join(right, "b")
-        .join(left, "a")
-        .mapInArrow(lambda batches: _similar(batches, similarity), "a bigint, b bigint, near boolean")
+    """``a``, ``b`` and whether they are ``near``, from all shingles of both.
+
+    Pairs are dealt to the cells of a grid by both their texts, so many pairs among few
+    texts need each text a few times only; cells with many pairs are split further.
+    """
+    pairs = written(pairs)
+    grid = max(math.isqrt(pairs.count() // CELL_PAIRS), 1)
+    placed = pairs.withColumn("i", F.pmod(F.xxhash64("a"), F.lit(grid))).withColumn(
+        "j", F.pmod(F.xxhash64("b"), F.lit(grid))
     )
+    splits = placed.groupBy("i", "j").agg(F.ceil(F.count("*") / CELL_PAIRS).alias("splits"))
+    cell = ["i", "j", "k"]
+    dealt = written(
+        placed.join(splits, ["i", "j"]).select(
+            "i", "j", F.pmod(F.xxhash64("a", "b"), F.col("splits")).alias("k"), "a", "b"
+        )
+    )
+    needed = dealt.select(*cell, F.explode(F.array("a", "b")).alias("uid")).distinct()
+    lists = needed.join(units, "uid").select(
+        *cell, F.col("uid").alias("a"), F.lit(None).cast("bigint").alias("b"), "units"
+    )
+    found = written(
+        dealt.withColumn("units", F.lit(None).cast("array<bigint>"))
+        .unionByName(lists)
+        .groupBy(*cell)
+        .applyInArrow(lambda rows: _similar(rows, similarity), "a bigint, b bigint, near boolean")
+    )
+    discard(pairs, dealt)
+    return found
 
 
 def near_links(
@@ -201,33 +239,37 @@ def near_links(
 
     In each bucket of the first bands the least uid is compared with all others. Then,
     in all buckets, members still apart are compared with a hub of the least component,
-    for a few rounds; whatever pairs of different components remain in a bucket are
-    all compared, in blocks. So a bucket of n copies costs n comparisons, and no pair
-    that could join two components is left out.
+    for a few rounds. Then blocks of members meet with a sketch of their signatures: first
+    a forest of the pairs that agree most is compared, and after that all pairs that are
+    still apart. So a bucket of n copies costs n comparisons, and no pair that could join
+    two components is left out.
     """
     signed = written(
         texts.mapInArrow(
             lambda batches: _band_rows(batches, shingle, bands, rows),
-            "uid bigint, weight bigint, buckets array<bigint>",
+            "uid bigint, weight bigint, buckets array<bigint>, sketch binary",
         ).dropDuplicates(["uid"])
     )
     # Only a bucket with several texts matters; most texts have none.
-    shared = (
+    shared = written(
         signed.select(F.explode("buckets").alias("bucket"))
         .groupBy("bucket")
         .agg(F.count("*").alias("n"))
         .filter("n > 1")
         .select("bucket")
     )
-    several = membership_filter(shared, "bucket")
+    several = membership_filter(shared, "bucket", sized=True)
     members = written(
-        signed.mapInArrow(
+        signed.select("uid", "weight", "buckets")
+        .mapInArrow(
             lambda batches: _in_shared_buckets(batches, several.value),
             "uid bigint, weight bigint, band int, bucket bigint",
         )
+        .join(shared, "bucket", "left_semi")
+        .select("uid", "weight", "band", "bucket")
     )
-    named = members.select("uid").distinct()
-    known = membership_filter(named, "uid")
+    named = written(members.select("uid").distinct())
+    known = membership_filter(named, "uid", sized=True)
     units = written(
         texts.mapInArrow(
             lambda batches: _shingle_rows(batches, known.value, shingle),
@@ -237,21 +279,31 @@ def near_links(
         .dropDuplicates(["uid"])
     )
     first = members.filter(F.col("band") < FIRST_BANDS)
-    pairs = _with_hubs(first.withColumn("comp", F.col("uid")), similarity)
-    compared = written(_verified(pairs, units, similarity))
-    links = compared.filter("near").select("a", "b")
-    apart = _apart(members, links)
-    for _ in range(hub_rounds):
-        pairs = _with_hubs(apart, similarity).join(
-            compared.select("a", "b"), ["a", "b"], "left_anti"
-        )
-        fresh = written(_verified(pairs, units, similarity))
-        if fresh.isEmpty():
+    compared = _verified(_with_hubs(first.withColumn("comp", F.col("uid")), similarity), units, similarity)
+    apart = _apart(members, compared)
+    least = _least_agreeing(similarity, bands * rows)
+
+    def with_hubs(members: DataFrame) -> DataFrame:
+        return _with_hubs(members, similarity)
+
+    def in_blocks(members: DataFrame, forest: bool) -> DataFrame:
+        return _in_blocks(members, signed, similarity, least, forest)
+
+    # The last step leaves nothing: it looks at all pairs of a bucket still apart.
+    steps = [with_hubs] * hub_rounds + [partial(in_blocks, forest=True), partial(in_blocks, forest=False)]
+    for step in steps:
+        if apart.isEmpty():
             break
-        compared = written(compared.union(fresh))
-        links = compared.filter("near").select("a", "b")
-        apart = _apart(apart, links)
-    return written(links.union(_rest(apart, signed, units, similarity)))
+        fresh = _verified(
+            step(apart).join(compared.select("a", "b"), ["a", "b"], "left_anti"), units, similarity
+        )
+        compared = written(compared.union(fresh), replaces=compared)
+        discard(fresh)
+        if step is not steps[-1]:
+            apart = _apart(apart, compared)
+    links = written(compared.filter("near").select("a", "b"))
+    discard(signed, shared, members, named, units, compared)
+    return links
 
 
 def _sizes_allow(one: str, other: str, similarity: float) -> Column:
@@ -282,104 +334,125 @@ def _with_hubs(members: DataFrame, similarity: float) -> DataFrame:
     )
 
 
-def _apart(members: DataFrame, links: DataFrame) -> DataFrame:
+def _apart(members: DataFrame, compared: DataFrame) -> DataFrame:
     """Members of the buckets that hold more than one component, with their component."""
-    parts = connected_components(links, "a", "b")
+    links = compared.filter("near").select("a", "b")
+    parts = written(connected_components(links, "a", "b"))
     placed = members.join(parts, members["uid"] == parts["node"], "left").select(
         "bucket", "uid", "weight", F.coalesce("component", "uid").alias("comp")
     )
-    several = written(
+    several = (
         placed.groupBy("bucket")
         .agg(F.min("comp").alias("c"), F.max("comp").alias("d"))
         .filter("c < d")
         .select("bucket")
     )
-    return written(placed.join(several, "bucket", "left_semi"))
+    found = written(placed.join(several, "bucket", "left_semi"))
+    discard(parts)
+    return found
+
 
+def _least_agreeing(similarity: float, size: int) -> int:
+    """Coordinates of a signature that two similar texts agree in, but for a chance of 1e-9."""
+    return math.floor(size * similarity - DEVIATIONS * math.sqrt(size * similarity * (1 - similarity)))
 
-def _rest(
-    apart: DataFrame, signed: DataFrame, units: DataFrame, similarity: float
+
+def _in_blocks(
+    apart: DataFrame, signed: DataFrame, similarity: float, least: int, forest: bool
 ) -> DataFrame:
-    """Links among all pairs of a bucket that lie in different components.
+    """Pairs of a bucket in different components whose sketches agree; or a forest of them.
 
-    Members are dealt to blocks, and each pair of blocks meets in a task of its own, with
-    the shingles of its members; only links leave it.
+    Members are dealt to blocks, and each pair of blocks meets in a task of its own.
     """
-    sizes = written(
-        apart.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    )
+    sizes = apart.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     dealt = apart.join(sizes, "bucket").withColumn(
         "block", F.expr("cast(pmod(xxhash64(uid), blocks) as int)")
     )
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    groups = dealt.withColumn("other", other).select(
-        "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        "block", "uid", "weight", "comp",
-    )
-    payload = units.join(signed.select("uid", "buckets"), "uid").select(
-        "uid", "buckets", F.array_sort("units").alias("units")
-    )
     return (
-        groups.join(payload, "uid")
+        dealt.withColumn("other", other)
+        .select(
+            "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+            "block", "uid", "weight", "comp",
+        )
+        .join(signed.select("uid", "sketch"), "uid")
         .repartition("bucket", "i", "j")
         .sortWithinPartitions("bucket", "i", "j", "uid")
-        .mapInArrow(lambda batches: _linked_in_blocks(batches, similarity), "a bigint, b bigint")
+        .mapInArrow(
+            lambda batches: _agreeing(batches, similarity, least, forest), "a bigint, b bigint"
+        )
         .distinct()
     )
 
 
-def _linked_in_blocks(batches, similarity: float):
-    """Near pairs of different components in each group of sorted rows."""
-    held: list[pa.RecordBatch] = []
+def _agreeing(batches, similarity: float, least: int, forest: bool):
+    """Agreeing pairs of different components in each group of sorted rows."""
     names = ("bucket", "i", "j")
 
-    def work(table: pa.Table):
+    def pairs_of(rows: dict[str, np.ndarray], sketch: np.ndarray) -> list[tuple[int, int]]:
+        uid, weight, comp, block = (rows[name] for name in ("uid", "weight", "comp", "block"))
+        found = []
+        for one in range(len(uid) - 1):
+            others = np.arange(one + 1, len(uid))
+            fits = comp[others] != comp[one]
+            if rows["i"][0] != rows["j"][0]:
+                fits &= block[others] != block[one]
+            low, high = np.minimum(weight[others], weight[one]), np.maximum(weight[others], weight[one])
+            others = others[fits & (low >= high * (similarity - 1e-9))]
+            agree = (sketch[others] == sketch[one]).sum(axis=1)
+            close = agree >= least
+            found += [(-int(n), one, int(b)) for n, b in zip(agree[close], others[close])]
+        if forest:
+            found = _forest(sorted(found), comp)
+        return [(int(min(uid[a], uid[b])), int(max(uid[a], uid[b]))) for _, a, b in found]
+
+    for table in _whole_groups(batches, names):
         columns = {name: table.column(name).to_numpy() for name in (*names, "block", "uid", "weight", "comp")}
-        buckets = table.column("buckets").combine_chunks()
-        keys = buckets.flatten().to_numpy().reshape(len(table), -1) if len(table) else None
-        lists = [one.values.to_numpy() for one in table.column("units").combine_chunks()]
-        change = np.ones(len(table), bool)
-        change[1:] = np.any([columns[name][1:] != columns[name][:-1] for name in names], axis=0)
-        number, weight, comp = np.cumsum(change), columns["weight"], columns["comp"]
-        alone = columns["i"] == columns["j"]
+        sketch = np.stack([np.frombuffer(one.as_buffer(), np.uint8) for one in table.column("sketch")])
+        change = np.any([columns[name][1:] != columns[name][:-1] for name in names], axis=0)
+        bounds = [0, *(np.flatnonzero(change) + 1).tolist(), len(table)]
         found = []
-        for apart in range(1, len(table)):
-            left = np.flatnonzero(number[apart:] == number[:-apart])
-            if not len(left):
-                break
-            right = left + apart
-            fits = (columns["block"][left] != columns["block"][right]) | alone[left]
-            fits &= comp[left] != comp[right]
-            low, high = np.minimum(weight[left], weight[right]), np.maximum(weight[left], weight[right])
-            fits &= low >= high * (similarity - 1e-9)
-            left, right = left[fits], right[fits]
-            # A pair counts in the first bucket that both share.
-            shares = keys[left] == keys[right]
-            fits = keys[left, shares.argmax(axis=1)] == columns["bucket"][left]
-            for a, b in zip(left[fits].tolist(), right[fits].tolist()):
-                one, two = lists[a], lists[b]
-                place = np.searchsorted(two, one)
-                place[place == len(two)] = 0
-                common = int((two[place] == one).sum())
-                if common >= similarity * (len(one) + len(two) - common) - 1e-9:
-                    found.append((columns["uid"][a], columns["uid"][b]))
+        for a, b in zip(bounds, bounds[1:]):
+            found += pairs_of({name: values[a:b] for name, values in columns.items()}, sketch[a:b])
         pairs = np.array(found, np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+
+def _forest(found: list[tuple[int, int, int]], comp: np.ndarray) -> list[tuple[int, int, int]]:
+    """The pairs, taken in their order, that join components not joined before."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.get(x, x) != x:
+            parent[x] = parent.get(parent[x], parent[x])
+            x = parent[x]
+        return x
 
+    taken = []
+    for agree, a, b in found:
+        one, two = root(int(comp[a])), root(int(comp[b]))
+        if one != two:
+            parent[one] = two
+            taken.append((agree, a, b))
+    return taken
+
+
+def _whole_groups(batches, names: tuple[str, ...]):
+    """Tables of sorted rows that split no group of equal ``names``."""
+    held: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
             continue
         held.append(batch)
+        last = [batch.column(name)[batch.num_rows - 1].as_py() for name in names]
         table = pa.Table.from_batches(held)
-        row = batch.num_rows - 1
-        same = np.all(
-            [table.column(name).to_numpy() == batch.column(name)[row].as_py() for name in names], axis=0
-        )
+        same = np.all([table.column(name).to_numpy() == value for name, value in zip(names, last)], axis=0)
         cut = int(np.argmax(same))
-        yield work(table.slice(0, cut))
-        held = table.slice(cut).to_batches()
+        if cut:
+            yield table.slice(0, cut)
+            held = table.slice(cut).to_batches()
     if held:
-        yield work(pa.Table.from_batches(held))
+        yield pa.Table.from_batches(held)
 
 
 def near_duplicates(
