@@ -180,6 +180,33 @@ def minimizers(grams: np.ndarray, grams_left: np.ndarray, window: int) -> np.nda
     return chosen
 
 
+#: Rows that :func:`added_rows` holds before it adds up equal ones.
+HELD_ROWS = 1 << 20
+
+
+def added_rows(
+    batches: Iterator[pa.RecordBatch], keys: list[str], values: list[str]
+) -> Iterator[pa.RecordBatch]:
+    """Rows of equal keys added up, as far as a bounded number of rows reaches."""
+
+    def added(rows: list[pa.RecordBatch]) -> pa.Table:
+        sums = pa.Table.from_batches(rows).group_by(keys).aggregate([(name, "sum") for name in values])
+        return sums.rename_columns([*keys, *values])
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(part.num_rows for part in held) > HELD_ROWS:
+            rows = added(held)
+            held = rows.to_batches()
+            # Where few keys repeat, holding them on does not pay.
+            if rows.num_rows > HELD_ROWS // 2:
+                yield from held
+                held = []
+    if held:
+        yield from added(held).to_batches()
+
+
 def list_array(values: pa.Array, counts: np.ndarray) -> pa.ListArray:
     """``values`` cut into consecutive lists of the given lengths."""
     offsets = np.zeros(len(counts) + 1, np.int32)

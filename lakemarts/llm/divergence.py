@@ -20,15 +20,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakemarts.llm.arrays import mix, run_hashes, words_of
+from lakemarts.llm.arrays import added_rows, mix, run_hashes, words_of
 from lakemarts.llm.frames import membership_filter, might_hold, written
 
 #: A kept term stands in so many documents of its language.
 LEAST_DOCUMENTS = 3
 #: Bytes of the first level's prefixes; each further level doubles them.
 FIRST_PREFIX = 6
-#: Rows that a task combines before it hands them on.
-COMBINED_ROWS = 1 << 20
 SCALE = 1_000_000_000
 TOP_TERMS = 200
 #: Counts by source that are compared in one task, at least, and pairs of sources there.
@@ -51,28 +49,6 @@ def _prefix_hashes(terms: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray
     return run_hashes(raw, offsets[:-1], offsets[:-1] + np.minimum(sizes, length)), sizes
 
 
-def _combined(batches):
-    """Rows of equal keys added up, over many slices of texts."""
-    keys = ["lang", "source", "term", "prefix"]
-    held: list[pa.RecordBatch] = []
-
-    def added(rows: pa.Table) -> pa.Table:
-        sums = rows.group_by(keys).aggregate([("documents", "sum"), ("occurrences", "sum")])
-        return sums.rename_columns([*keys, "documents", "occurrences"])
-
-    for batch in batches:
-        held.append(batch)
-        if sum(part.num_rows for part in held) > COMBINED_ROWS:
-            rows = added(pa.Table.from_batches(held))
-            held = rows.to_batches()
-            # Where few keys repeat, holding them on does not pay.
-            if rows.num_rows > COMBINED_ROWS // 2:
-                yield from held
-                held = []
-    if held:
-        yield from added(pa.Table.from_batches(held)).to_batches()
-
-
 def _counted(batches, length: int, known: np.ndarray | None):
     """Counts of one level, combined over each slice of texts.
 
@@ -179,7 +155,10 @@ def term_counts(
     while True:
 
         def scan(batches, length=length, known=known):
-            return _combined(_counted(batches, length, None if known is None else known.value))
+            counted = _counted(batches, length, None if known is None else known.value)
+            return added_rows(
+                counted, ["lang", "source", "term", "prefix"], ["documents", "occurrences"]
+            )
 
         level = written(
             texts.mapInArrow(scan, _COUNTS)
