@@ -37,6 +37,14 @@ def parse(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--full-dedup", action="store_true", help="compare whole rows only")
     parser.add_argument("--strict", action="store_true", help="stop on broken rules")
     parser.add_argument("--parallel-tables", type=int, default=4)
+    parser.add_argument(
+        "--bucket",
+        nargs=3,
+        action="append",
+        default=[],
+        metavar=("TABLE", "COLUMN", "NUMBER"),
+        help="write a Silver table in buckets of a column without hot keys",
+    )
     parser.add_argument("--shuffled-gb", type=int, help="size of the largest shuffle")
     parser.add_argument("--source-format", choices=("parquet", "csv", "jdbc"), default="parquet")
     parser.add_argument(
@@ -71,6 +79,9 @@ def settings_of(args: argparse.Namespace) -> LakeSettings:
         dedup_by_key=not args.full_dedup,
         strict=args.strict,
         parallel_tables=args.parallel_tables,
+        buckets={name: (column, int(number)) for name, column, number in args.bucket},
+        # Without a size given, each write is sized by what it reads.
+        size_shuffles=args.shuffled_gb is None,
     )
 
 
@@ -91,12 +102,9 @@ def size_shuffles(spark: SparkSession, tables: Mapping[str, DataFrame]) -> None:
 
     At least as many as the session has; columns unpack to about three times their files.
     """
-    sizes = [0]
-    for df in tables.values():
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        sizes += [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    largest = max([0, *map(readers.input_bytes, tables.values())])
     at_least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    number = shuffle_partitions(3 * max(sizes), at_least)
+    number = shuffle_partitions(3 * largest, at_least)
     spark.conf.set("spark.sql.shuffle.partitions", str(number))
 
 
@@ -105,8 +113,6 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFrame]:
     settings = settings_of(args)
     if settings.location:
         medallion.attach_lake(spark, settings)
-    if args.shuffled_gb is None and "land" not in args.steps and {"silver", "refresh"} & {*args.steps}:
-        size_shuffles(spark, medallion.bronze_tables(spark, settings))
     reports = {}
     for step in args.steps:
         if step == "land":
@@ -124,9 +130,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFrame]:
         elif step == "refresh":
             reports[step] = medallion.refresh_lakehouse(spark, settings)
         elif step == "audit":
-            reports[step] = medallion.broken_rules(
-                medallion.silver_tables(spark, settings), medallion.bronze_tables(spark, settings)
-            )
+            reports[step] = medallion.lake_broken_rules(spark, settings)
         else:
             pages = medallion.gold_pages(spark, settings)
             reports |= {f"page {name}": page for name, page in pages.items()}

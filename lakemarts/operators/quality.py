@@ -2,8 +2,9 @@
 
 The lake enforces no keys, references, ranges or lengths, so they are counted.
 All audits are driven by the table specs. Row rules of one table are counted in
-a single scan; key rules read only the key column and aggregate it before
-the shuffle, so that a key held by a third of all rows is no hot spot.
+a single scan, or without one while the table is written; key rules read only the key
+columns and aggregate them before the shuffle, so that a key held by a third of all rows
+is no hot spot.
 """
 
 from __future__ import annotations
@@ -12,8 +13,9 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from lakemarts.functions.text import quoted
 from lakemarts.schemas import (
@@ -97,16 +99,43 @@ def audit_rows(tables: Tables, *kinds: str) -> DataFrame:
     """
     counts = []
     for name, df in tables.items():
-        rules = {
-            (kind, column): broken
-            for kind in kinds
-            for column, broken in ROW_RULES[kind](TABLES[name]).items()
-        }
+        rules = _rules_of(name, kinds)
         if rules:
             counts.append(_violation_counts(name, df, rules))
-    return union_all(
-        counts, "rule string, table_name string, column_name string, violations bigint"
-    )
+    return union_all(counts, METRICS_SCHEMA)
+
+
+class RowMetrics:
+    """Row rules and the row count of a table, counted while its rows are written.
+
+    ``rows`` has to be what is written, with nothing shuffled in between: then each row is
+    counted in the task that writes it, and a task that ran twice counts once.
+    """
+
+    def __init__(self, name: str, df: DataFrame, *kinds: str):
+        self._name = name
+        self._rules = _rules_of(name, kinds)
+        self._observation = Observation()
+        counts = [F.count_if(broken).alias("/".join(rule)) for rule, broken in self._rules.items()]
+        self.rows = df.observe(self._observation, F.count(F.lit(1)).alias("rows"), *counts)
+
+    def found(self) -> list[tuple[str, str, str, int]]:
+        """After the write: (rule, table, column, violations), and the rows as rule ``rows``."""
+        counts = self._observation.get
+        return [("rows", self._name, "", counts["rows"])] + [
+            (kind, self._name, column, counts[f"{kind}/{column}"]) for kind, column in self._rules
+        ]
+
+
+METRICS_SCHEMA = "rule string, table_name string, column_name string, violations bigint"
+
+
+def _rules_of(name: str, kinds: Sequence[str]) -> dict[tuple[str, str], Column]:
+    return {
+        (kind, column): broken
+        for kind in kinds
+        for column, broken in ROW_RULES[kind](TABLES[name]).items()
+    }
 
 
 def check_violations(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -146,28 +175,45 @@ def unique_violations(df: DataFrame, key: str) -> DataFrame:
 def audit_unique(tables: Tables) -> DataFrame:
     """PRIMARY KEY and UNIQUE (Q3).
 
-    ``table_name, column_name, repeated_keys, surplus_rows``.
+    ``table_name, column_name, repeated_keys, surplus_rows``. Each table is scanned once:
+    its keys become rows of (column, value) and are counted together.
     """
     return union_all(
-        [
-            unique_violations(df, key)
-            .agg(
-                F.count(F.lit(1)).alias("repeated_keys"),
-                F.coalesce(F.sum(F.col("key_rows") - 1), F.lit(0)).alias("surplus_rows"),
-            )
-            .select(
-                F.lit(name).alias("table_name"),
-                F.lit(key).alias("column_name"),
-                "repeated_keys",
-                "surplus_rows",
-            )
-            for name, df in tables.items()
-            for key in TABLES[name].unique_keys
-        ],
+        [_repeated_keys(name, df, TABLES[name].unique_keys) for name, df in tables.items()],
         "table_name string, column_name string, repeated_keys bigint, surplus_rows bigint",
     )
 
 
+def _repeated_keys(name: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    def cell(key: str) -> Column:
+        # Whole numbers stay numbers, which shuffle shorter than their text.
+        whole = isinstance(df.schema[key].dataType, IntegralType)
+        return F.struct(
+            F.lit(key).alias("column_name"),
+            (quoted(key) if whole else F.lit(None)).cast("bigint").alias("number"),
+            (F.lit(None) if whole else quoted(key)).cast("string").alias("text"),
+        )
+
+    counted = (
+        df.select(F.inline(F.array(*[cell(key) for key in keys])))
+        .where("number IS NOT NULL OR text IS NOT NULL")
+        .groupBy("column_name", "number", "text")
+        .agg(F.count(F.lit(1)).alias("key_rows"))
+        .where("key_rows > 1")
+        .groupBy("column_name")
+        .agg(F.count(F.lit(1)).alias("repeated_keys"), F.sum(F.col("key_rows") - 1).alias("surplus_rows"))
+    )
+    # Keys without repeats have a row of zeros.
+    named = F.explode(F.array(*[F.lit(key) for key in keys])).alias("column_name")
+    declared = df.sparkSession.range(1).select(named)
+    return declared.join(F.broadcast(counted), "column_name", "left").select(
+        F.lit(name).alias("table_name"),
+        "column_name",
+        F.coalesce("repeated_keys", F.lit(0)).alias("repeated_keys"),
+        F.coalesce("surplus_rows", F.lit(0)).alias("surplus_rows"),
+    )
+
+
 # --- references ---------------------------------------------------------------
 
 
@@ -185,44 +231,86 @@ def orphan_keys(child: DataFrame, reference: ForeignKey, parent: DataFrame) -> D
     return used.join(known, "key_value", "left_anti")
 
 
+#: Kinds of references: enforced within a domain, and across domains.
+REFERENCES = {"foreign key": lambda spec: spec.foreign_keys, "orphan": lambda spec: spec.soft_keys}
+_REFERENCE_SCHEMA = (
+    "rule string, table_name string, column_name string, parent_table string,"
+    " orphan_keys bigint, orphan_rows bigint"
+)
+
+
 def audit_fk(tables: Tables) -> DataFrame:
     """FOREIGN KEY within a domain (Q4).
 
     ``table_name, column_name, parent_table, orphan_keys, orphan_rows``.
     """
-    return _audit_references(tables, lambda spec: spec.foreign_keys)
+    return audit_references(tables, "foreign key").drop("rule")
 
 
 def audit_orphans(tables: Tables) -> DataFrame:
     """References across domains (Q8), same columns as :func:`audit_fk`."""
-    return _audit_references(tables, lambda spec: spec.soft_keys)
+    return audit_references(tables, "orphan").drop("rule")
+
 
+def audit_references(tables: Tables, *kinds: str) -> DataFrame:
+    """References of several kinds: the columns of :func:`audit_fk` and their ``rule``.
 
-def _audit_references(tables: Tables, references_of) -> DataFrame:
-    for name in tables:
-        absent = [ref.parent for ref in references_of(TABLES[name]) if ref.parent not in tables]
-        if absent:
-            raise ValueError(f"the references of {name} need the tables {absent}")
+    One pass per parent key: the keys of the parent and of all its children are tagged,
+    put together and counted by key, so all references to one parent cost one shuffle of
+    a row per key and task, however many tables refer to it.
+    """
+    children: dict[tuple[str, str], list[tuple[str, str, str]]] = {}
+    for kind in kinds:
+        for name in tables:
+            for ref in REFERENCES[kind](TABLES[name]):
+                if ref.parent not in tables:
+                    raise ValueError(f"the references of {name} need the table {ref.parent}")
+                parent = children.setdefault((ref.parent, ref.parent_column), [])
+                parent.append((kind, name, ref.column))
     return union_all(
-        [
-            orphan_keys(df, ref, tables[ref.parent])
-            .agg(
-                F.count(F.lit(1)).alias("orphan_keys"),
-                F.coalesce(F.sum("key_rows"), F.lit(0)).alias("orphan_rows"),
-            )
-            .select(
-                F.lit(name).alias("table_name"),
-                F.lit(ref.column).alias("column_name"),
-                F.lit(ref.parent).alias("parent_table"),
-                "orphan_keys",
-                "orphan_rows",
-            )
-            for name, df in tables.items()
-            for ref in references_of(TABLES[name])
-        ],
-        "table_name string, column_name string, parent_table string,"
-        " orphan_keys bigint, orphan_rows bigint",
+        [_orphans_of(tables, *parent, refs) for parent, refs in children.items()], _REFERENCE_SCHEMA
+    )
+
+
+def _orphans_of(
+    tables: Tables, parent: str, parent_column: str, references: Sequence[tuple[str, str, str]]
+) -> DataFrame:
+    """Orphans of all references to one parent key."""
+    kind = tables[parent].schema[parent_column].dataType
+
+    def keys(name: str, column: str, tag: int) -> DataFrame:
+        key = quoted(column)
+        rows = tables[name].where(key.isNotNull())
+        return rows.select(key.cast(kind).alias("key_value"), F.lit(tag).alias("tag"))
+
+    tagged = [keys(parent, parent_column, -1)]
+    tagged += [keys(name, column, tag) for tag, (_, name, column) in enumerate(references)]
+    rows = [f"rows_{tag}" for tag in range(len(references))]
+    per_key = (
+        union_all(tagged)
+        .groupBy("key_value")
+        .agg(
+            F.max(F.col("tag") == -1).alias("known"),
+            *[F.count_if(F.col("tag") == tag).alias(name) for tag, name in enumerate(rows)],
+        )
+        .where("NOT known")
+    )
+    totals = per_key.agg(
+        *[F.count_if(F.col(name) > 0).alias(f"keys_{tag}") for tag, name in enumerate(rows)],
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in rows],
     )
+    found = [
+        F.struct(
+            F.lit(rule).alias("rule"),
+            F.lit(name).alias("table_name"),
+            F.lit(column).alias("column_name"),
+            F.lit(parent).alias("parent_table"),
+            F.col(f"keys_{tag}").alias("orphan_keys"),
+            F.col(f"rows_{tag}").alias("orphan_rows"),
+        )
+        for tag, (rule, name, column) in enumerate(references)
+    ]
+    return totals.select(F.inline(F.array(*found)))
 
 
 # --- defaults -----------------------------------------------------------------

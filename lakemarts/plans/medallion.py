@@ -1,15 +1,18 @@
 """Bronze to Silver to Gold over catalog tables.
 
-Each table is one lazy plan and one write. Tables of a layer do not depend on
-each other, so a few are written at a time: the tail of one job fills with
-tasks of the next. Gold reads the written Silver tables, not their plans, so a
-lost executor costs no more than the tasks it ran.
+Each table is one lazy plan and one write, and starts as soon as the tables it reads are
+written, a few at a time: the tail of one job fills with tasks of the next. Gold reads the
+written Silver tables, not their plans, so a lost executor costs no more than the tasks it
+ran. Each write has as many shuffle partitions as its own input needs.
+
+Row counts and the rules on single rows are counted while the rows are written, and kept
+with the table; a strict run and the report of a refresh read them from there.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from datetime import datetime
 from functools import partial
 
@@ -20,10 +23,11 @@ from pyspark.sql import functions as F
 from lakemarts.operators.cleaning import clean_columns, clean_names, clean_table
 from lakemarts.operators.dedup import dedup_by_key, is_integer_key
 from lakemarts.operators.quality import (
+    METRICS_SCHEMA,
+    RowMetrics,
     apply_defaults,
-    audit_fk,
     audit_length,
-    audit_orphans,
+    audit_references,
     audit_rows,
     audit_unique,
     row_counts,
@@ -37,9 +41,15 @@ from lakemarts.settings import (
     STAGE_TABLES,
     LakeSettings,
     require_ansi,
+    sized_session,
 )
-from lakemarts.sources.catalog import attach_table, create_database, save_table
-from lakemarts.sources.readers import conform, read_table
+from lakemarts.sources.catalog import attach_table, create_database, save_table, table_facts
+from lakemarts.sources.readers import conform, input_bytes, read_table
+
+
+#: Rules on single rows that are counted while a layer is written: lengths where personal
+#: values are not yet digests, the others where blanks have become nulls.
+WRITE_RULES = {"bronze": ("length",), "silver": ("not null", "range")}
 
 
 class AuditFailed(ValueError):
@@ -94,9 +104,39 @@ def land_bronze(
         spec = TABLES[name]
         named = clean_names(sources[name])
         rows = conform(apply_defaults(named, spec, run_time), spec)
-        save_table(rows, settings.bronze_table(spec.domain, name), settings)
+        _save_layer(rows, "bronze", name, settings)
+
+    _run_graph(spark, {name: (partial(land, name), ()) for name in sources}, settings)
+
+
+def _save_layer(rows: DataFrame, layer: str, name: str, settings: LakeSettings) -> None:
+    """A Bronze or Silver table saved, with what was counted while it was written."""
+    metrics = RowMetrics(name, rows, *WRITE_RULES[layer])
+    table = _layer_table(layer, name, settings)
+    buckets = settings.buckets.get(name) if layer == "silver" else None
+    save_table(metrics.rows, table, settings, buckets=buckets, facts=metrics.found)
+
+
+def _layer_table(layer: str, name: str, settings: LakeSettings) -> str:
+    if layer == "gold":
+        return settings.gold_table(name)
+    named = settings.bronze_table if layer == "bronze" else settings.silver_table
+    return named(TABLES[name].domain, name)
+
+
+def _save_gold(rows: DataFrame, table: str, settings: LakeSettings) -> None:
+    metrics = RowMetrics(table, rows)
+    save_table(metrics.rows, table, settings, facts=metrics.found)
 
-    _run_each(spark, land, list(sources), settings)
+
+def _sized_reader(
+    spark: SparkSession, settings: LakeSettings, names: list[str]
+) -> Callable[[str], DataFrame]:
+    """Reads tables in a session whose shuffles suit the largest of them."""
+    if settings.size_shuffles:
+        largest = max(input_bytes(read_table(spark, name)) for name in names)
+        spark = sized_session(spark, largest)
+    return partial(read_table, spark)
 
 
 def bronze_table(spark: SparkSession, settings: LakeSettings, name: str) -> DataFrame:
@@ -135,15 +175,16 @@ def attach_lake(spark: SparkSession, settings: LakeSettings) -> list[str]:
 def build_silver(spark: SparkSession, settings: LakeSettings) -> None:
     """Every Bronze table cleaned and saved."""
     _create_databases(spark, settings, "silver")
+    _run_graph(spark, _silver_jobs(spark, settings), settings)
+
 
+def _silver_jobs(spark: SparkSession, settings: LakeSettings) -> dict:
     def refine(name: str) -> None:
-        spec = TABLES[name]
-        bronze = read_table(spark, settings.bronze_table(spec.domain, name))
-        save_table(
-            silver_rows(bronze, spec, settings), settings.silver_table(spec.domain, name), settings
-        )
+        bronze = settings.bronze_table(TABLES[name].domain, name)
+        read = _sized_reader(spark, settings, [bronze])
+        _save_layer(silver_rows(read(bronze), TABLES[name], settings), "silver", name, settings)
 
-    _run_each(spark, refine, list(TABLES), settings)
+    return {f"silver {name}": (partial(refine, name), ()) for name in TABLES}
 
 
 def silver_rows(bronze: DataFrame, spec: TableSpec, settings: LakeSettings) -> DataFrame:
@@ -163,26 +204,43 @@ def build_gold(spark: SparkSession, settings: LakeSettings) -> None:
     """
     require_ansi(spark)
     if settings.strict:
-        require_clean(silver_tables(spark, settings), bronze_tables(spark, settings))
+        require_clean_lake(spark, settings)
+    _create_gold(spark, settings)
+    jobs = {name: (job, ()) for name, (job, _) in _gold_jobs(spark, settings).items()}
+    _run_graph(spark, jobs, settings)
+
+
+def _create_gold(spark: SparkSession, settings: LakeSettings) -> None:
     for database in (GOLD_DATABASE, STAGE_DATABASE):
         create_database(spark, settings.database(database), settings)
 
-    def build(name: str) -> None:
-        if name in STAGE_PLANS:
-            # Marts and pages are cut from one small written table.
-            plan, inputs, cuts = STAGE_PLANS[name]
-            save_table(plan(*map(silver, inputs)), settings.stage_table(name), settings)
-            totals = read_table(spark, settings.stage_table(name))
-            for mart, cut in cuts.items():
-                save_table(cut(totals), settings.gold_table(mart), settings)
-        else:
-            plan, inputs = MART_PLANS[name]
-            save_table(plan(*map(silver, inputs)), settings.gold_table(name), settings)
 
-    def silver(name: str) -> DataFrame:
-        return read_table(spark, settings.silver_table(TABLES[name].domain, name))
+def _gold_jobs(spark: SparkSession, settings: LakeSettings) -> dict:
+    """Each mart or stage table, and the Silver tables it needs."""
+
+    def inputs(names: tuple[str, ...]) -> list[DataFrame]:
+        tables = [_layer_table("silver", name, settings) for name in names]
+        return [*map(_sized_reader(spark, settings, tables), tables)]
+
+    def build_stage(name: str) -> None:
+        # Marts and pages are cut from one small written table.
+        plan, needed, cuts = STAGE_PLANS[name]
+        save_table(plan(*inputs(needed)), settings.stage_table(name), settings)
+        totals = read_table(spark, settings.stage_table(name))
+        for mart, cut in cuts.items():
+            _save_gold(cut(totals), settings.gold_table(mart), settings)
+
+    def build_mart(name: str) -> None:
+        plan, needed = MART_PLANS[name]
+        _save_gold(plan(*inputs(needed)), settings.gold_table(name), settings)
+
+    def needs(names: tuple[str, ...]) -> tuple[str, ...]:
+        return tuple(f"silver {name}" for name in names)
 
-    _run_each(spark, build, ["financial_health", *STAGE_PLANS], settings)
+    jobs = {"financial_health": (partial(build_mart, "financial_health"), needs(MART_PLANS["financial_health"][1]))}
+    return jobs | {
+        name: (partial(build_stage, name), needs(needed)) for name, (_, needed, _) in STAGE_PLANS.items()
+    }
 
 
 def gold_pages(spark: SparkSession, settings: LakeSettings) -> dict[str, DataFrame]:
@@ -203,18 +261,37 @@ def gold_pages(spark: SparkSession, settings: LakeSettings) -> dict[str, DataFra
 def refresh_lakehouse(spark: SparkSession, settings: LakeSettings) -> DataFrame:
     """Silver and Gold rebuilt from Bronze; returns the row count of each table.
 
-    ``layer, table_name, record_count``.
+    ``layer, table_name, record_count``. A mart starts when the Silver tables it reads are
+    written; a strict run audits between the layers.
     """
-    build_silver(spark, settings)
-    build_gold(spark, settings)
-    layers = {
-        "bronze": bronze_tables(spark, settings),
-        "silver": silver_tables(spark, settings),
-        "gold": gold_tables(spark, settings),
-    }
-    return union_all(
-        [row_counts(tables).withColumn("layer", F.lit(layer)) for layer, tables in layers.items()]
-    ).select("layer", "table_name", "record_count")
+    require_ansi(spark)
+    if settings.strict:
+        build_silver(spark, settings)
+        build_gold(spark, settings)
+    else:
+        _create_databases(spark, settings, "silver")
+        _create_gold(spark, settings)
+        _run_graph(spark, _silver_jobs(spark, settings) | _gold_jobs(spark, settings), settings)
+    return lake_counts(spark, settings)
+
+
+def lake_counts(spark: SparkSession, settings: LakeSettings) -> DataFrame:
+    """``layer, table_name, record_count`` of every table (Q1), as counted in its write.
+
+    A table that keeps no counts is read.
+    """
+    known, others = [], []
+    for layer, names in {"bronze": TABLES, "silver": TABLES, "gold": MART_PLANS}.items():
+        for name in names:
+            table = _layer_table(layer, name, settings)
+            facts = table_facts(spark, table, settings)
+            if facts:
+                known += [(layer, name, n) for rule, _, _, n in facts if rule == "rows"]
+            else:
+                counted = row_counts({name: read_table(spark, table)})
+                others.append(counted.select(F.lit(layer).alias("layer"), "*"))
+    kept = spark.createDataFrame(known, "layer string, table_name string, record_count bigint")
+    return union_all([kept, *others])
 
 
 def broken_rules(
@@ -227,19 +304,43 @@ def broken_rules(
     found = [audit_rows(tables, "not null", "range")]
     if bronze is not None:
         found.append(audit_length(bronze).withColumn("rule", F.lit("length")))
-    found.append(
-        audit_unique(tables)
-        .withColumn("rule", F.lit("unique"))
-        .withColumnRenamed("surplus_rows", "violations")
-        .drop("repeated_keys")
-    )
-    for rule, audit in (("foreign key", audit_fk), ("orphan", audit_orphans)):
-        found.append(
-            audit(tables)
-            .withColumn("rule", F.lit(rule))
-            .withColumnRenamed("orphan_rows", "violations")
-            .drop("orphan_keys", "parent_table")
-        )
+    return _broken([*found, *_key_rules(tables)])
+
+
+def lake_broken_rules(spark: SparkSession, settings: LakeSettings) -> DataFrame:
+    """:func:`broken_rules` of the written lake.
+
+    Rules on single rows come from the counts kept with the tables, so that only keys and
+    references are read; a table that keeps no counts is read for its rules too.
+    """
+    known, found = [], []
+    for layer, tables in (("bronze", bronze_tables), ("silver", silver_tables)):
+        for name, rows in tables(spark, settings).items():
+            facts = table_facts(spark, _layer_table(layer, name, settings), settings)
+            if facts:
+                known += [tuple(fact) for fact in facts if fact[0] in WRITE_RULES[layer]]
+            else:
+                found.append(audit_rows({name: rows}, *WRITE_RULES[layer]))
+    found.append(spark.createDataFrame(known, METRICS_SCHEMA))
+    if settings.size_shuffles:
+        names = [_layer_table("silver", name, settings) for name in TABLES]
+        read = _sized_reader(spark, settings, names)
+        silver = {name: read(table) for name, table in zip(TABLES, names)}
+    else:
+        silver = silver_tables(spark, settings)
+    return _broken([*found, *_key_rules(silver)])
+
+
+def _key_rules(tables: Mapping[str, DataFrame]) -> list[DataFrame]:
+    unique = audit_unique(tables).withColumn("rule", F.lit("unique"))
+    references = audit_references(tables, "foreign key", "orphan")
+    return [
+        unique.withColumnRenamed("surplus_rows", "violations").drop("repeated_keys"),
+        references.withColumnRenamed("orphan_rows", "violations").drop("orphan_keys", "parent_table"),
+    ]
+
+
+def _broken(found: list[DataFrame]) -> DataFrame:
     return (
         union_all(found)
         .where("violations > 0")
@@ -250,8 +351,16 @@ def broken_rules(
 def require_clean(
     tables: Mapping[str, DataFrame], bronze: Mapping[str, DataFrame] | None = None
 ) -> None:
+    _raise_broken(broken_rules(tables, bronze))
+
+
+def require_clean_lake(spark: SparkSession, settings: LakeSettings) -> None:
+    _raise_broken(lake_broken_rules(spark, settings))
+
+
+def _raise_broken(rules: DataFrame) -> None:
     # One row per declared rule at most, so this result is small.
-    broken = broken_rules(tables, bronze).orderBy("rule", "table_name", "column_name").collect()
+    broken = rules.orderBy("rule", "table_name", "column_name").collect()
     if broken:
         lines = [f"{b.rule}: {b.table_name}.{b.column_name} ({b.violations} rows)" for b in broken]
         raise AuditFailed("declared rules are broken: " + "; ".join(lines))
@@ -262,11 +371,21 @@ def _create_databases(spark: SparkSession, settings: LakeSettings, layer: str) -
         create_database(spark, settings.database(domain, layer), settings)
 
 
-def _run_each(
-    spark: SparkSession, job: Callable[[str], None], names: list[str], settings: LakeSettings
+def _run_graph(
+    spark: SparkSession,
+    jobs: Mapping[str, tuple[Callable[[], None], tuple[str, ...]]],
+    settings: LakeSettings,
 ) -> None:
+    """Jobs by name, each with the names of those it needs, a few at a time."""
     in_session = inheritable_thread_target(spark)
+    waiting, done = dict(jobs), set()
+    running: dict[Future, str] = {}
     with ThreadPoolExecutor(max_workers=settings.parallel_tables) as pool:
-        running = [pool.submit(in_session(job), name) for name in names]
-    for table in running:
-        table.result()
+        while waiting or running:
+            for name in [name for name, (_, needs) in waiting.items() if done.issuperset(needs)]:
+                running[pool.submit(in_session(waiting.pop(name)[0]))] = name
+            if not running:
+                raise ValueError(f"these jobs need what no job makes: {sorted(waiting)}")
+            for finished in wait(running, return_when=FIRST_COMPLETED).done:
+                done.add(running.pop(finished))
+                finished.result()

@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime
 from functools import partial
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,11 +44,21 @@ def _mart(spark: SparkSession, data_dir: str, mart: str) -> DataFrame:
     return plan(*[silver(spark, data_dir, name) for name in inputs])
 
 
+#: Lakes made by each session, by purpose.
+_LAKES: WeakKeyDictionary[SparkSession, dict[str, LakeSettings]] = WeakKeyDictionary()
+
+
 def _new_lake(spark: SparkSession, purpose: str) -> LakeSettings:
-    """A lake in the session's warehouse; the one of the last call is dropped."""
-    for database in spark.catalog.listDatabases(f"lakemarts_{purpose}_*"):
-        spark.sql(f"DROP SCHEMA {database.name} CASCADE")
-    return LakeSettings(database_prefix=f"lakemarts_{purpose}_{uuid.uuid4().hex[:12]}_")
+    """A lake in the session's warehouse; that of this session's last call is dropped.
+
+    Lakes of other purposes and other sessions stay.
+    """
+    lakes = _LAKES.setdefault(spark, {})
+    if purpose in lakes:
+        for database in spark.catalog.listDatabases(f"{lakes[purpose].database_prefix}*"):
+            spark.sql(f"DROP SCHEMA {database.name} CASCADE")
+    lakes[purpose] = LakeSettings(database_prefix=f"lakemarts_{purpose}_{uuid.uuid4().hex[:12]}_")
+    return lakes[purpose]
 
 
 # --- sources and sinks --------------------------------------------------------

@@ -87,6 +87,11 @@ class LakeSettings:
     dedup_by_key: bool = True
     strict: bool = False
     parallel_tables: int = 4
+    #: Silver tables in buckets: (column, number) by table. A column with a hot key, which
+    #: would fill one bucket, does not suit.
+    buckets: Mapping[str, tuple[str, int]] = field(default_factory=dict)
+    #: Whether each write gets as many shuffle partitions as its input needs.
+    size_shuffles: bool = True
 
     def database(self, domain: str, layer: str | None = None) -> str:
         name = self.database_prefix + (f"{domain}_{layer}" if layer else domain)
@@ -105,6 +110,21 @@ class LakeSettings:
         return f"{self.database(STAGE_DATABASE)}.{STAGE_TABLES[stage]}"
 
 
+def sized_session(spark: SparkSession, input_bytes: int) -> SparkSession:
+    """A session like this one, with shuffle partitions for tables of this size in files.
+
+    At least as many as this session has; columns unpack to about three times their files.
+    Tables and views of the catalog are shared, settings are not.
+    """
+    sized = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            sized.conf.set(key, value)
+    at_least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sized.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions(3 * input_bytes, at_least)))
+    return sized
+
+
 def cluster_session(app: str, shuffled_bytes: int | None = None) -> SparkSession:
     """A session with :data:`CLUSTER_CONF`; master and resources come from submit."""
     builder = SparkSession.builder.appName(app)

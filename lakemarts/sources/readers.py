@@ -14,7 +14,8 @@ FETCH_SIZE = 10_000
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
-    """A catalog table."""
+    """A catalog table (S1), as it is now: another session may have refreshed it."""
+    spark.catalog.refreshTable(name)
     return spark.read.table(name)
 
 
@@ -102,6 +103,12 @@ def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Size of the largest source of ``df``, by its files; 0 where it is not known."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return max([0, *[int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]])
+
+
 def sample_rows(df: DataFrame, n: int, *order_by: str) -> DataFrame:
     """The first ``n`` rows in the given order."""
     return df.orderBy(*[F.col(name) for name in order_by]).limit(n)
