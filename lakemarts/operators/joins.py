@@ -3,10 +3,9 @@
 Spark can split a hot key only on the row-keeping side of an outer join, so one
 customer owning a third of all accounts would end up in a single task when the
 accounts stand on the right. Here the right side is completed first: left keys it
-lacks get one row of nulls. What follows is an inner join, of which adaptive
-execution can split either side. Left rows with a null key match nothing and are
-put aside. Where the right side holds one row per key, as in the marts, a plain
-LEFT join does.
+lacks, the null key among them, get one row of nulls. What follows is an inner join
+in which nulls match, and adaptive execution can split either side of it. Where the
+right side holds one row per key, as in the marts, a plain LEFT join does.
 """
 
 from __future__ import annotations
@@ -30,34 +29,30 @@ def left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 def left_join_chain(left: DataFrame, rights: Sequence[DataFrame], key: str) -> DataFrame:
     """LEFT joins with several tables on the same key.
 
-    A LEFT join keeps the set of left keys, so these are found once, and the plan grows
-    in proportion to the number of tables. All but the last join hand their
-    partitioning on to the next. Spark gives that up to split a hot key only under
+    A LEFT join keeps the set of left keys, so these are found once, the left side is read
+    twice, and the plan grows in proportion to the number of tables. All but the last join
+    hand their partitioning on to the next. Spark gives that up to split a hot key only under
     ``spark.sql.adaptive.forceOptimizeSkewedJoin``, which the cluster settings turn on.
     """
-    keys = left.where(quoted(key).isNotNull()).select(quoted(key)).distinct()
-    joined = left.where(quoted(key).isNotNull())
+    ordered = [quoted(key), *[quoted(name) for name in left.columns if name != key]]
+    joined, keys = left.select(ordered), left.select(quoted(key)).distinct()
+    # A name that no column has.
+    names = [name for df in (left, *rights) for name in df.columns]
+    match = max(map(len, names)) * "_" + "_key"
     for right in rights:
-        joined = joined.join(_completed(right, keys, key), key)
-    others = [quoted(name) for name in left.columns if name != key]
-    alone = left.where(quoted(key).isNull()).select(
-        quoted(key), *others, *[value for right in rights for value in _nulls(right, key)]
-    )
-    return joined.union(alone)
+        completed = _completed(right, keys, key, match)
+        joined = joined.join(completed, joined[key].eqNullSafe(completed[match])).drop(match)
+    return joined
 
 
-def _completed(right: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """``right`` and a row of nulls for every key it lacks."""
-    ordered = right.select(
-        quoted(key), *[quoted(name) for name in right.columns if name != key]
+def _completed(right: DataFrame, keys: DataFrame, key: str, match: str) -> DataFrame:
+    """``right`` with its key named ``match``, and a row of nulls for every key it lacks."""
+    fields = [field for field in right.schema.fields if field.name != key]
+    known = right.where(quoted(key).isNotNull()).select(
+        quoted(key).alias(match), *[quoted(field.name) for field in fields]
     )
-    lacking = keys.join(right.select(quoted(key)), key, "left_anti")
-    return ordered.union(lacking.select(quoted(key), *_nulls(right, key)))
-
-
-def _nulls(df: DataFrame, key: str) -> list:
-    return [
-        F.lit(None).cast(field.dataType).alias(field.name)
-        for field in df.schema.fields
-        if field.name != key
-    ]
+    lacking = keys.join(right.select(quoted(key)), key, "left_anti").select(
+        quoted(key).alias(match),
+        *[F.lit(None).cast(field.dataType).alias(field.name) for field in fields],
+    )
+    return known.union(lacking)

@@ -200,18 +200,25 @@ def _repeated_keys(name: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
         .groupBy("column_name", "number", "text")
         .agg(F.count(F.lit(1)).alias("key_rows"))
         .where("key_rows > 1")
-        .groupBy("column_name")
-        .agg(F.count(F.lit(1)).alias("repeated_keys"), F.sum(F.col("key_rows") - 1).alias("surplus_rows"))
     )
-    # Keys without repeats have a row of zeros.
-    named = F.explode(F.array(*[F.lit(key) for key in keys])).alias("column_name")
-    declared = df.sparkSession.range(1).select(named)
-    return declared.join(F.broadcast(counted), "column_name", "left").select(
-        F.lit(name).alias("table_name"),
-        "column_name",
-        F.coalesce("repeated_keys", F.lit(0)).alias("repeated_keys"),
-        F.coalesce("surplus_rows", F.lit(0)).alias("surplus_rows"),
+
+    def surplus(key: str) -> Column:
+        return F.sum(F.when(F.col("column_name") == key, F.col("key_rows") - 1))
+
+    totals = counted.agg(
+        *[F.count_if(F.col("column_name") == key).alias(f"keys_{n}") for n, key in enumerate(keys)],
+        *[F.coalesce(surplus(key), F.lit(0)).alias(f"rows_{n}") for n, key in enumerate(keys)],
     )
+    found = [
+        F.struct(
+            F.lit(name).alias("table_name"),
+            F.lit(key).alias("column_name"),
+            F.col(f"keys_{n}").alias("repeated_keys"),
+            F.col(f"rows_{n}").alias("surplus_rows"),
+        )
+        for n, key in enumerate(keys)
+    ]
+    return totals.select(F.inline(F.array(*found)))
 
 
 # --- references ---------------------------------------------------------------
