@@ -25,8 +25,9 @@ from lakemarts.llm.frames import membership_filter, might_hold, written
 
 #: A kept term stands in so many documents of its language.
 LEAST_DOCUMENTS = 3
-#: Bytes of the first level's prefixes; each further level doubles them.
+#: Bytes of the first level's prefixes, and how much longer those of each further level are.
 FIRST_PREFIX = 6
+GROWTH = 4
 SCALE = 1_000_000_000
 TOP_TERMS = 200
 #: Counts by source that are compared in one task, at least, and pairs of sources there.
@@ -49,18 +50,19 @@ def _prefix_hashes(terms: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray
     return run_hashes(raw, offsets[:-1], offsets[:-1] + np.minimum(sizes, length)), sizes
 
 
-def _counted(batches, length: int, known: np.ndarray | None):
+def _counted(batches, length: int, earlier: int, known: np.ndarray | None):
     """Counts of one level, combined over each slice of texts.
 
-    Terms of up to ``length`` bytes whose previous prefix may be ``known`` make rows by
-    language and source; prefixes of longer ones make rows without these.
+    Terms of up to ``length`` bytes whose prefix of the ``earlier`` level may be ``known``
+    make rows by language and source; prefixes of longer ones make rows without these.
     """
     for batch in batches:
         langs = batch.column("lang").dictionary_encode()
         sources = batch.column("source").dictionary_encode()
         lang_of_row = langs.indices.to_numpy().astype(np.int64)
         source_of_row = sources.indices.to_numpy().astype(np.int64)
-        salts = mix(run_hashes(*_offsets(langs.dictionary)) + np.uint64(length))
+        lang_hashes = run_hashes(*_offsets(langs.dictionary))
+        salts, salts_before = mix(lang_hashes + np.uint64(length)), mix(lang_hashes + np.uint64(earlier))
         for words in words_of(batch.column("text"), TERM_BYTES):
             if not len(words.starts):
                 continue
@@ -72,10 +74,10 @@ def _counted(batches, length: int, known: np.ndarray | None):
             hashes, sizes = _prefix_hashes(terms, length)
             lang = lang_of_row[row]
             if known is not None:
-                before, _ = _prefix_hashes(terms, length // 2)
-                earlier = mix(run_hashes(*_offsets(langs.dictionary)) + np.uint64(length // 2))
-                going = (sizes > length // 2)[term]
-                going[going] = might_hold(known, mix(before[term[going]] ^ earlier[lang[going]]).view(np.int64))
+                before, _ = _prefix_hashes(terms, earlier)
+                going = (sizes > earlier)[term]
+                keys = mix(before[term[going]] ^ salts_before[lang[going]])
+                going[going] = might_hold(known, keys.view(np.int64))
                 row, term, lang, times = row[going], term[going], lang[going], times[going]
             whole = (sizes <= length)[term]
             yield _term_rows(
@@ -151,11 +153,11 @@ def term_counts(
     longest prefix that so many documents share.
     """
     texts = _texts(docs, text_col, lang_col, source_col)
-    length, known, levels = first_prefix, None, []
+    length, earlier, known, levels = first_prefix, 0, None, []
     while True:
 
-        def scan(batches, length=length, known=known):
-            counted = _counted(batches, length, None if known is None else known.value)
+        def scan(batches, length=length, earlier=earlier, known=known):
+            counted = _counted(batches, length, earlier, None if known is None else known.value)
             return added_rows(
                 counted, ["lang", "source", "term", "prefix"], ["documents", "occurrences"]
             )
@@ -173,7 +175,7 @@ def term_counts(
             break
         # What a full filter lets through, the next count rejects.
         known = membership_filter(left, "prefix", sized=True)
-        length *= 2
+        length, earlier = length * GROWTH, length
     found = levels[0]
     for more in levels[1:]:
         found = found.union(more)
