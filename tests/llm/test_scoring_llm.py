@@ -93,6 +93,31 @@ def test_lines_and_given_sections(spark):
     assert section_token_counts(docs.limit(0)).count() == 0
 
 
+def test_nested_sections_by_brute_force(spark, reference_tokenizer):
+    rng = random.Random(12)
+    schema = DOC + ", parts array<struct<start: int, end: int>>, section int, tokens string"
+    rows = [(0, "one two three four five six", [(0, 27), (4, 7)], 1, "x")]
+    rows += [(None, None, [(0, 1)], 1, "x"), (None, "", None, 1, "x")]
+    for i in range(1, 150):
+        text = "".join(rng.choice(["a", " the", "\n", "é漢", "!", " word"]) for _ in range(rng.randint(0, 25)))
+        parts = [sorted(rng.choices(range(len(text) + 3), k=2)) for _ in range(rng.randint(0, 6))]
+        rows.append((i, text, [tuple(part) for part in parts], 1, "x"))
+    rows += [rows[5]] * 3
+    want: Counter = Counter()
+    for doc_id, text, parts, *_ in rows:
+        counts = Counter({(n, *part): [0, 0] for n, part in enumerate(parts or [])})
+        for a, b in reference_tokenizer.encode(text or "", add_special_tokens=False).offsets:
+            over = [(start, -end, n) for n, (start, end) in enumerate(parts or []) if start <= a < end]
+            start, end, n = max(over, default=(None, None, -1))
+            own = counts.setdefault((n, start, None if end is None else -end), [0, 0])
+            own[0] += 1
+            own[1] += n >= 0 and max(b, a + 1) > -end
+        for (n, start, end), (tokens, crossing) in counts.items():
+            want[doc_id, n, start, end, tokens, crossing] += 1
+    found = section_token_counts(spark.createDataFrame(rows, schema), sections_col="parts")
+    assert Counter(map(tuple, found.collect())) == want
+
+
 def check_packing(spark, rows, capacity, reference):
     docs = spark.createDataFrame(rows, DOC + ", piece string, bucket int")
     packed = pack(docs, capacity=capacity).toPandas()
