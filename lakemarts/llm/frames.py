@@ -80,9 +80,9 @@ def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-#: Bits of a membership filter of unknown size: 8 MB. One that is sized by its values has
-#: some twelve bits for each, up to 32 MB. A full one lets more rows through, which the
-#: join behind it then rejects.
+#: Bits of a membership filter: 8 MB. One that is sized by its values has at least some
+#: twelve bits for each, up to 32 MB. A full one lets more rows through, which the join
+#: behind it then rejects.
 FILTER_BITS = 26
 MOST_FILTER_BITS = 28
 BITS_PER_VALUE = 12
@@ -93,7 +93,7 @@ def membership_filter(
 ) -> Broadcast:
     """Bloom filter of a column of 64-bit hashes, for :func:`might_hold`."""
     if sized:
-        bits = min(max((values.count() * BITS_PER_VALUE).bit_length(), 16), MOST_FILTER_BITS)
+        bits = min(max((values.count() * BITS_PER_VALUE).bit_length(), bits), MOST_FILTER_BITS)
     mask = (1 << bits) - 1
     slots = F.array(
         F.col(name).bitwiseAND(mask), F.shiftright(name, 32).bitwiseAND(mask)

@@ -14,7 +14,6 @@ is then computed from all their shingles.
 from __future__ import annotations
 
 import math
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +35,9 @@ ROWS = 6
 #: to join what is still apart.
 FIRST_BANDS = 6
 #: Further hubs tried in a bucket before the rest of its pairs is looked at in blocks.
-HUB_ROUNDS = 1
+HUB_ROUNDS = 0
 #: Members of a block, and pairs that are verified together.
-BLOCK = 256
+BLOCK = 1024
 CELL_PAIRS = 4096
 #: In blocks, texts whose signatures agree less are passed over: with a similarity at the
 #: limit that is so many standard deviations away, a chance of 1e-9.
@@ -198,31 +197,26 @@ def _verified(pairs: DataFrame, units: DataFrame, similarity: float) -> DataFram
     """``a``, ``b`` and whether they are ``near``, from all shingles of both.
 
     Pairs are dealt to the cells of a grid by both their texts, so many pairs among few
-    texts need each text a few times only; cells with many pairs are split further.
+    texts need each text a few times only.
     """
     pairs = written(pairs)
     grid = max(math.isqrt(pairs.count() // CELL_PAIRS), 1)
-    placed = pairs.withColumn("i", F.pmod(F.xxhash64("a"), F.lit(grid))).withColumn(
-        "j", F.pmod(F.xxhash64("b"), F.lit(grid))
-    )
-    splits = placed.groupBy("i", "j").agg(F.ceil(F.count("*") / CELL_PAIRS).alias("splits"))
-    cell = ["i", "j", "k"]
-    dealt = written(
-        placed.join(splits, ["i", "j"]).select(
-            "i", "j", F.pmod(F.xxhash64("a", "b"), F.col("splits")).alias("k"), "a", "b"
-        )
-    )
-    needed = dealt.select(*cell, F.explode(F.array("a", "b")).alias("uid")).distinct()
+    cell = [F.pmod(F.xxhash64("a"), F.lit(grid)).alias("i"), F.pmod(F.xxhash64("b"), F.lit(grid)).alias("j")]
+    fullest = pairs.groupBy(*cell).count().agg(F.max("count")).first()[0] or 0
+    # A text in very many pairs fills its cells: then all are split.
+    split = F.pmod(F.xxhash64("a", "b"), F.lit(fullest // (4 * CELL_PAIRS) + 1)).alias("k")
+    dealt = pairs.select(*cell, split, "a", "b")
+    needed = dealt.select("i", "j", "k", F.explode(F.array("a", "b")).alias("uid")).distinct()
     lists = needed.join(units, "uid").select(
-        *cell, F.col("uid").alias("a"), F.lit(None).cast("bigint").alias("b"), "units"
+        "i", "j", "k", F.col("uid").alias("a"), F.lit(None).cast("bigint").alias("b"), "units"
     )
     found = written(
         dealt.withColumn("units", F.lit(None).cast("array<bigint>"))
         .unionByName(lists)
-        .groupBy(*cell)
+        .groupBy("i", "j", "k")
         .applyInArrow(lambda rows: _similar(rows, similarity), "a bigint, b bigint, near boolean")
     )
-    discard(pairs, dealt)
+    discard(pairs)
     return found
 
 
@@ -286,11 +280,17 @@ def near_links(
     def with_hubs(members: DataFrame) -> DataFrame:
         return _with_hubs(members, similarity)
 
-    def in_blocks(members: DataFrame, forest: bool) -> DataFrame:
-        return _in_blocks(members, signed, similarity, least, forest)
+    def forest(members: DataFrame) -> DataFrame:
+        return _in_blocks(members, signed.select("uid", "sketch"), similarity, least)
+
+    def all_pairs(members: DataFrame) -> DataFrame:
+        # Halves of the hashes: what they call similar is verified like all others.
+        halves = F.transform("units", lambda unit: F.shiftright(unit, 32).cast("int"))
+        known = signed.select("uid", "sketch").join(units.select("uid", halves.alias("halves")), "uid")
+        return _in_blocks(members, known, similarity, least)
 
     # The last step leaves nothing: it looks at all pairs of a bucket still apart.
-    steps = [with_hubs] * hub_rounds + [partial(in_blocks, forest=True), partial(in_blocks, forest=False)]
+    steps = [with_hubs] * hub_rounds + [forest, all_pairs]
     for step in steps:
         if apart.isEmpty():
             break
@@ -357,12 +357,11 @@ def _least_agreeing(similarity: float, size: int) -> int:
     return math.floor(size * similarity - DEVIATIONS * math.sqrt(size * similarity * (1 - similarity)))
 
 
-def _in_blocks(
-    apart: DataFrame, signed: DataFrame, similarity: float, least: int, forest: bool
-) -> DataFrame:
-    """Pairs of a bucket in different components whose sketches agree; or a forest of them.
+def _in_blocks(apart: DataFrame, known: DataFrame, similarity: float, least: int) -> DataFrame:
+    """Pairs of a bucket in different components whose sketches agree.
 
-    Members are dealt to blocks, and each pair of blocks meets in a task of its own.
+    All that are similar by ``halves``, if ``known`` has these; else a forest of those that
+    agree most. Members are dealt to blocks, and each pair of blocks meets in one task.
     """
     sizes = apart.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     dealt = apart.join(sizes, "bucket").withColumn(
@@ -375,21 +374,25 @@ def _in_blocks(
             "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
             "block", "uid", "weight", "comp",
         )
-        .join(signed.select("uid", "sketch"), "uid")
+        .join(known, "uid")
         .repartition("bucket", "i", "j")
         .sortWithinPartitions("bucket", "i", "j", "uid")
-        .mapInArrow(
-            lambda batches: _agreeing(batches, similarity, least, forest), "a bigint, b bigint"
-        )
+        .mapInArrow(lambda batches: _agreeing(batches, similarity, least), "a bigint, b bigint")
         .distinct()
     )
 
 
-def _agreeing(batches, similarity: float, least: int, forest: bool):
+def _agreeing(batches, similarity: float, least: int):
     """Agreeing pairs of different components in each group of sorted rows."""
     names = ("bucket", "i", "j")
 
-    def pairs_of(rows: dict[str, np.ndarray], sketch: np.ndarray) -> list[tuple[int, int]]:
+    def similar(one: np.ndarray, two: np.ndarray) -> bool:
+        place = np.searchsorted(two, one)
+        place[place == len(two)] = 0
+        common = int((two[place] == one).sum())
+        return common >= similarity * (len(one) + len(two) - common) - 1e-9
+
+    def pairs_of(rows: dict[str, np.ndarray], sketch: np.ndarray, halves: list | None) -> list[tuple[int, int]]:
         uid, weight, comp, block = (rows[name] for name in ("uid", "weight", "comp", "block"))
         found = []
         for one in range(len(uid) - 1):
@@ -402,18 +405,24 @@ def _agreeing(batches, similarity: float, least: int, forest: bool):
             agree = (sketch[others] == sketch[one]).sum(axis=1)
             close = agree >= least
             found += [(-int(n), one, int(b)) for n, b in zip(agree[close], others[close])]
-        if forest:
+        if halves is None:
             found = _forest(sorted(found), comp)
+        else:
+            found = [pair for pair in found if similar(halves[pair[1]], halves[pair[2]])]
         return [(int(min(uid[a], uid[b])), int(max(uid[a], uid[b]))) for _, a, b in found]
 
     for table in _whole_groups(batches, names):
         columns = {name: table.column(name).to_numpy() for name in (*names, "block", "uid", "weight", "comp")}
         sketch = np.stack([np.frombuffer(one.as_buffer(), np.uint8) for one in table.column("sketch")])
+        halves = None
+        if "halves" in table.column_names:
+            halves = [one.values.to_numpy() for one in table.column("halves").combine_chunks()]
         change = np.any([columns[name][1:] != columns[name][:-1] for name in names], axis=0)
         bounds = [0, *(np.flatnonzero(change) + 1).tolist(), len(table)]
         found = []
         for a, b in zip(bounds, bounds[1:]):
-            found += pairs_of({name: values[a:b] for name, values in columns.items()}, sketch[a:b])
+            rows = {name: values[a:b] for name, values in columns.items()}
+            found += pairs_of(rows, sketch[a:b], halves and halves[a:b])
         pairs = np.array(found, np.int64).reshape(-1, 2)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
