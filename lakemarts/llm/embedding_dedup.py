@@ -103,7 +103,7 @@ def _links_of_group(group: dict[str, np.ndarray], similarity: float):
             break
         right = left + apart
         meets = (group["block"][left] != group["block"][right]) | group["alone"][left]
-        meets &= (group["size"][left] == group["size"][right])
+        meets &= (group["size"][left] == group["size"][right]) & (group["label"][left] == group["label"][right])
         left, right = left[meets], right[meets]
         # A pair that met in an earlier band has been seen there.
         for first in range(0, keys.shape[1], 8):
@@ -157,6 +157,8 @@ def _linked(batches, bits: int, bands: int, similarity: float):
                 "block": column("block")[rows],
                 "alone": (keys[1] == keys[2])[rows],
                 "size": np.full(len(rows), unit.shape[1]),
+                # Buckets are hashes: two labels may share one.
+                "label": column("label_hash")[rows],
             }
             pairs = list(_links_of_group(group, similarity))
             if not pairs:
@@ -247,7 +249,7 @@ def near_vectors(
         F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
     )
     linked = written(
-        groups.join(classes.select("uid", "vector", "copies"), "uid")
+        groups.join(classes.select("uid", "label_hash", "vector", "copies"), "uid")
         .repartition("bucket", "i", "j")
         .sortWithinPartitions("bucket", "i", "j", "uid")
         .mapInArrow(

@@ -67,6 +67,52 @@ SELECT d.doc_id, CAST(length(coalesce(t.text, '')) AS BIGINT) AS n_chars_left, s
 FROM documents d LEFT JOIN texts t USING (doc_id)
 """
 
+OP4 = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+),
+valid AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0
+    AND len(list_filter(e, lambda x: x IS NOT NULL AND isfinite(x))) = len(e) AND len(list_filter(e, lambda x: x <> 0)) > 0
+),
+links AS (
+  SELECT a.r AS x, b.r AS y, b.vec_id AS other FROM valid a
+  JOIN valid b ON b.label = a.label AND b.r <> a.r AND len(b.e) = len(a.e) AND list_cosine_similarity(a.e, b.e) >= 0.93
+),
+reached AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reached r JOIN links l ON l.x = r.y),
+least AS (SELECT r.x, min(v.vec_id) AS vec_id FROM reached r JOIN v ON v.r = r.y GROUP BY r.x),
+counts AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT v.vec_id, coalesce(n, 0) AS n_links, CAST(least(v.vec_id, coalesce(m.vec_id, v.vec_id)) AS BIGINT) AS component_id,
+  v.vec_id = least(v.vec_id, coalesce(m.vec_id, v.vec_id)) AS kept
+FROM v LEFT JOIN counts ON counts.x = v.r LEFT JOIN least m ON m.x = v.r
+"""
+
+OP5 = f"""
+WITH RECURSIVE classes AS (
+  SELECT coalesce(text, '') AS text, min(doc_id) AS class_id FROM documents GROUP BY coalesce(text, '')
+),
+w AS (SELECT class_id, {_WORDS} AS ws FROM classes),
+grams AS (
+  SELECT class_id, array_to_string(ws[i + 1 : i + least(len(ws), 5)], ' ') AS gram, count(*) AS n
+  FROM (SELECT class_id, ws, unnest(range(greatest(len(ws) - 4, 1))) AS i FROM w WHERE len(ws) > 0)
+  GROUP BY class_id, gram
+),
+sizes AS (SELECT class_id, sum(n) AS n FROM grams GROUP BY class_id),
+shared AS (
+  SELECT a.class_id AS x, b.class_id AS y, sum(least(a.n, b.n)) AS n
+  FROM grams a JOIN grams b ON b.gram = a.gram AND b.class_id <> a.class_id GROUP BY a.class_id, b.class_id
+),
+links AS (
+  SELECT x, y FROM shared JOIN sizes a ON a.class_id = x JOIN sizes b ON b.class_id = y
+  WHERE 5 * shared.n >= 4 * (a.n + b.n - shared.n)
+),
+reached AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reached r JOIN links l ON l.x = r.y),
+least AS (SELECT x, min(y) AS y FROM reached GROUP BY x)
+SELECT d.doc_id, c.class_id, least(c.class_id, coalesce(m.y, c.class_id)) AS component_id,
+  d.doc_id = least(c.class_id, coalesce(m.y, c.class_id)) AS kept
+FROM documents d JOIN classes c ON c.text = coalesce(d.text, '') LEFT JOIN least m ON m.x = c.class_id
+"""
+
 _TERMS = (
     "regexp_extract_all(translate(coalesce(text, ''), '" + _UPPER + "', '" + _LOWER + "'), "
     r"'[^\x00-\x40\x5B-\x60\x7B-\x7F]+')"
@@ -183,6 +229,8 @@ JOIN climbed c ON c.source IS NOT DISTINCT FROM p.source AND c.i = p.i AND c.k =
 LLM_ORACLES = {
     "op1_decontamination": OP1,
     "op2_line_dedup": OP2,
+    "op4_embedding_dedup": OP4,
+    "op5_near_dedup": OP5,
     "op11_source_divergence": OP11,
     "op12_merkle_manifest": OP12,
 }
