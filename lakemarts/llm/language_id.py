@@ -1,10 +1,12 @@
 """Language identification by Bayesian evidence fusion.
 
-Four kinds of evidence are added up for each language: how likely its three-byte
-grams make the text, how often texts in it declare this markup language, how often
-its addresses have this suffix, and how often this host publishes it. The last three
-come from counts over all rows, grouped; a host with few rows is drawn to its domain,
-a domain to its suffix, and a suffix to all rows.
+Three kinds of evidence are added up for each language: how likely its three-byte grams
+make the text, how often texts in it declare this markup language, and how often this
+host publishes it. The last two come from counts over all rows, grouped; a host with few
+rows is drawn to its domain, a domain to its address suffix, and a suffix to all rows, so
+the suffix counts once, in the prior of the host.
+
+The languages are those that rows declare, by count, unless they are given.
 """
 
 from __future__ import annotations
@@ -19,7 +21,9 @@ from pyspark.sql import functions as F
 from lakemarts.llm.arrays import LOWER, row_slices, text_bytes
 from lakemarts.llm.frames import written
 
-LANGUAGES = ("de", "en", "es", "fr")
+#: A language is known if so many rows declare it; at most so many are, the most declared.
+LEAST_DECLARED = 10
+MOST_LANGUAGES = 256
 #: Labelled rows that the text model is fitted on, per language and in expectation.
 TRAINING_ROWS = 4000
 GRAM_BITS = 16
@@ -78,8 +82,15 @@ def _gram_counts(batches):
         )
 
 
+def declared_languages(labels: DataFrame, least: int = LEAST_DECLARED) -> list[str]:
+    """The values of ``label`` that at least so many rows have, sorted."""
+    often = labels.filter("label != ''").groupBy("label").count().filter(F.col("count") >= least)
+    most = often.orderBy(F.desc("count"), "label").limit(MOST_LANGUAGES)
+    return sorted(row["label"] for row in most.collect())
+
+
 def train_text_model(
-    texts: DataFrame, languages: Sequence[str] = LANGUAGES, training_rows: int = TRAINING_ROWS
+    texts: DataFrame, languages: Sequence[str], training_rows: int = TRAINING_ROWS
 ) -> np.ndarray:
     """Log-probability of each gram: a row for each language and a flat one for all others.
 
@@ -149,9 +160,7 @@ def _smoothed(key: str, parent: str | None, classes: int) -> Column:
     ).alias(f"{key}_p")
 
 
-def fuse_languages(
-    rows: DataFrame, model: np.ndarray, languages: Sequence[str] = LANGUAGES
-) -> DataFrame:
+def fuse_languages(rows: DataFrame, model: np.ndarray, languages: Sequence[str]) -> DataFrame:
     """``language``, ``probability`` and ``accepted`` of every row.
 
     ``rows`` has ``text``, ``declared`` (a language tag or null), ``host`` (or null) and any
@@ -191,19 +200,21 @@ def fuse_languages(
     tallies = [F.count_if(F.col("vote") == i).alias(f"n{i}") for i in range(size)]
 
     everything = voted.agg(*tallies).select(_smoothed("all", None, size))
+    # Rows without a host say nothing about hosts.
+    hosted = voted.filter("host != ''")
     suffixes = (
-        voted.groupBy("suffix").agg(*tallies).crossJoin(F.broadcast(everything))  # one row
+        hosted.groupBy("suffix").agg(*tallies).crossJoin(F.broadcast(everything))  # one row
         .select("suffix", _smoothed("suffix", "all", size), "all_p")
     )
     domains = (
-        voted.groupBy("suffix", "domain").agg(*tallies).join(suffixes, "suffix")
+        hosted.groupBy("suffix", "domain").agg(*tallies).join(suffixes, "suffix")
         .select("domain", _smoothed("domain", "suffix", size))
     )
     hosts = written(
-        voted.groupBy("domain", "host").agg(*tallies).join(domains, "domain")
+        hosted.groupBy("domain", "host").agg(*tallies).join(domains, "domain")
         .select("host", _smoothed("host", "domain", size))
     )
-    # P(tag | language) and P(suffix | language) from the same votes.
+    # P(tag | language) from the same votes.
     totals = voted.groupBy("vote").count().collect()  # one row for each class
     per_class = {row["vote"]: row["count"] for row in totals}
     tagged = voted.filter(F.col("declared").isin(*languages)).groupBy("declared", "vote").count()
@@ -216,26 +227,16 @@ def fuse_languages(
         tag_evidence = F.when(
             F.col("declared") == tag, F.array(*[F.lit(float(np.log(p))) for p in chance])
         ).otherwise(tag_evidence)
-    suffix_evidence = written(
-        voted.groupBy("suffix").agg(*tallies).filter("suffix != ''").select(
-            "suffix",
-            F.array(
-                *[F.log((F.col(f"n{i}") + 1.0) / F.lit(float(per_class.get(i, 0) + size))) for i in range(size)]
-            ).alias("suffix_evidence"),
-        )
-    )
     none = F.array(*[F.lit(0.0)] * size)
     joined = (
         scored.join(hosts, "host", "left")
-        .join(suffix_evidence, "suffix", "left")
         .withColumn("tag_evidence", tag_evidence)
-        .withColumn("suffix_evidence", F.coalesce("suffix_evidence", none))
         .withColumn(
             "log_prior",
             F.coalesce(F.transform("host_p", lambda p: F.log(p)), none),
         )
     )
-    evidence = ["text_evidence", "tag_evidence", "suffix_evidence", "log_prior"]
+    evidence = ["text_evidence", "tag_evidence", "log_prior"]
     score = F.array(*[sum((F.col(name)[i] for name in evidence), F.lit(0.0)) for i in range(size)])
     top = F.array_max("score")
     best = F.array_position("score", top).cast("int")
@@ -259,13 +260,15 @@ def documents_with_language(
     text_col: str = "text",
     declared_col: str = "lang",
     host_col: str = "source",
-    languages: Sequence[str] = LANGUAGES,
+    languages: Sequence[str] | None = None,
     training_rows: int = TRAINING_ROWS,
 ) -> DataFrame:
     """``doc_id, text_hash, language, probability, accepted`` of every row of ``docs``.
 
     The declared language both labels the text model's training rows and is evidence;
-    a wrong tag is outvoted by the text. Other columns are ignored.
+    a wrong tag is outvoted by the text. Without ``languages`` those that at least
+    ``LEAST_DECLARED`` rows declare are known. Null ids and repeated rows are kept; null
+    texts count as empty; texts may have any length. Other columns are ignored.
     """
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     rows = docs.select(
@@ -275,10 +278,10 @@ def documents_with_language(
         docs[declared_col].cast("string").alias("declared"),
         docs[host_col].cast("string").alias("host"),
     )
-    model = train_text_model(
-        rows.select("text", _primary(F.col("declared")).alias("label")), languages, training_rows
-    )
-    return fuse_languages(rows, model, languages)
+    labelled = rows.select("text", _primary(F.col("declared")).alias("label"))
+    if languages is None:
+        languages = declared_languages(labelled)
+    return fuse_languages(rows, train_text_model(labelled, languages, training_rows), languages)
 
 
 def pages_with_language(
@@ -290,7 +293,7 @@ def pages_with_language(
     html_col: str = "html",
     label_text_col: str = "text",
     label_col: str = "lang",
-    languages: Sequence[str] = LANGUAGES,
+    languages: Sequence[str] | None = None,
 ) -> DataFrame:
     """``page_id, language, probability, accepted`` of every page.
 
@@ -309,11 +312,17 @@ def pages_with_language(
         F.coalesce(docs[label_text_col].cast("string"), F.lit("")).alias("text"),
         _primary(docs[label_col].cast("string")).alias("label"),
     )
+    if languages is None:
+        languages = declared_languages(labelled)
     return fuse_languages(rows, train_text_model(labelled, languages), languages)
 
 
 def in_known_languages(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without the rows whose language is not accepted; columns unchanged."""
+    """``docs`` without the rows whose language is not accepted; columns unchanged.
+
+    See :func:`documents_with_language`. No column of ``docs`` may be named ``__id`` or
+    ``__hash``.
+    """
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
     out = (
         documents_with_language(docs, **options)

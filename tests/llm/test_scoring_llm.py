@@ -281,6 +281,62 @@ def test_evidence_is_weighed(spark):
     assert documents_with_language(docs.limit(0)).count() == 0
 
 
+def test_languages_come_from_the_tags(spark):
+    """A language that rows declare is known, and one that hardly any declares is not."""
+    rng = random.Random(4)
+    syllables = {"it": ["zo", "gli", "che", "qua"], "nl": ["ij", "oe", "aa", "sch"], "xx": ["wq", "kv"]}
+    rows = []
+    for lang, parts in syllables.items():
+        for i in range(40 if lang != "xx" else 3):
+            text = " ".join("".join(rng.choice(parts) for _ in range(3)) for _ in range(60))
+            rows.append((len(rows), text, lang, None if i % 3 else f"www{i % 2}.{lang}"))
+    rows += [rows[0], (None, rows[0][1], None, None), (900, None, "it", None)]
+    schema = "doc_id bigint, text string, lang string, source string, suffix string, host string"
+    docs = spark.createDataFrame([(*r, "a", "b") for r in rows], schema)
+    found = documents_with_language(docs).collect()
+    assert len(found) == len(rows)
+    by_id = {r["doc_id"]: r for r in found}
+    for doc_id, _, lang, _ in rows[:80]:
+        assert by_id[doc_id]["language"] == lang and by_id[doc_id]["accepted"]
+    assert by_id[None]["language"] == "it" and not by_id[900]["accepted"]
+    kept = in_known_languages(docs)
+    assert kept.columns == docs.columns and kept.filter("lang in ('it', 'nl')").count() == 81
+
+
+def test_posterior_by_brute_force(spark):
+    """Text evidence, tag likelihood and the smoothed host prior, each once."""
+    import math
+
+    from lakemarts.llm.language_id import PRIOR_ROWS, fuse_languages
+
+    model = np.full((3, 1 << 16), -1.0, np.float32)
+    model[2] = -9.0
+    rows = [(i, "aaa" if i % 4 else "bbb", "de" if i % 3 else "fr", f"h{i % 2}.x.org" if i % 5 else None) for i in range(60)]
+    # The text alone says the first language, by a little.
+    model[1] = -1.2
+    frame = spark.createDataFrame(rows, "n int, text string, declared string, host string")
+    found = {r["n"]: r for r in fuse_languages(frame, model, ["de", "fr"]).collect()}
+    votes = [(declared, host) for _, _, declared, host in rows]  # all for "de"
+    hosted = [host for _, host in votes if host]
+    every = [(len(rows) * (i == 0) + PRIOR_ROWS / 3) / (len(rows) + PRIOR_ROWS) for i in range(3)]
+
+    def drawn(n, parent):
+        return [(n * (i == 0) + PRIOR_ROWS * p) / (n + PRIOR_ROWS) for i, p in enumerate(parent)]
+
+    domain = drawn(len(hosted), drawn(len(hosted), every))
+    priors = {host: drawn(hosted.count(host), domain) for host in set(hosted)}
+    for n, text, declared, host in rows:
+        text_score = [0.2 * float(model[i, 0]) for i in range(3)]  # one gram
+        text_score = [max(t - max(text_score), -60.0) for t in text_score]
+        same = sum(d == declared for d, _ in votes)
+        tag = [math.log((same * (i == 0) + 1) / (len(rows) * (i == 0) + 3)) for i in range(3)]
+        prior = [math.log(p) for p in priors[host]] if host else [0.0] * 3
+        score = [a + b + c for a, b, c in zip(text_score, tag, prior)]
+        want = 1 / sum(math.exp(s - max(score)) for s in score)
+        assert found[n]["language"] == "de"
+        assert found[n]["probability"] == pytest.approx(want, abs=1e-6), (n, host)
+
+
 def toxic_rows():
     rng = random.Random(5)
     clean = ["".join(rng.choice(["th", "er", "on", "an", "re", "ing"]) for _ in range(3)) for _ in range(400)]
