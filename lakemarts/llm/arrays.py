@@ -22,7 +22,9 @@ WORD_BYTES[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
+#: Values of the bytes for two hashes that are independent of each other.
 _BYTE_VALUES = np.random.default_rng(7).integers(0, 2**64, 256, dtype=np.uint64)
+_OTHER_VALUES = np.random.default_rng(8).integers(0, 2**64, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
 _powers: tuple[np.ndarray, np.ndarray] | None = None
 
@@ -52,11 +54,17 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1]
 
 
-def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte run, equal for equal bytes wherever they stand."""
+def run_hashes(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: bool = False
+) -> np.ndarray:
+    """64-bit hash of each byte run, equal for equal bytes wherever they stand.
+
+    With ``other`` a second one, so that both together have 128 bits.
+    """
     powers, inverses = _power_tables(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_VALUES[data] * powers[: len(data)], out=sums[1:])
+    values = _OTHER_VALUES if other else _BYTE_VALUES
+    np.cumsum(values[data] * powers[: len(data)], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * inverses[starts])
 
 

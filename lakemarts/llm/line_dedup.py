@@ -2,7 +2,8 @@
 
 A run is ``run`` consecutive non-blank lines. The least line hash of every run is a
 fingerprint, so equal runs share one at the same place. Only runs around fingerprints
-that occur more than once are compared with each other, by their whole content. A run
+that occur more than once are compared with each other, by two independent hashes of
+their whole content, 128 bits together. A run
 that occurred before, in the order of doc_id and line, is deleted; overlapping and
 adjacent runs extend each other, so a longer repeated passage goes as a whole.
 """
@@ -38,7 +39,7 @@ _BLANK[[0x09, 0x0A, 0x0D, 0x20]] = True
 
 
 def _lines(column: pa.Array):
-    """Slices of rows: first row, rows, line hashes and each row's offset among them."""
+    """Slices of rows: first row, rows, two hashes of each line and each row's offset among them."""
     raw, offsets = text_bytes(column)
     for first, last in row_slices(offsets):
         own = offsets[first : last + 1] - offsets[first]
@@ -56,7 +57,8 @@ def _lines(column: pa.Array):
         np.cumsum(~_BLANK[data], out=visible[1:])
         shown = visible[ends] > visible[starts]
         starts, ends = starts[shown], ends[shown]
-        yield first, last - first, run_hashes(data, starts, ends), np.searchsorted(starts, own)
+        both = run_hashes(data, starts, ends), run_hashes(data, starts, ends, other=True)
+        yield first, last - first, *both, np.searchsorted(starts, own)
 
 
 def _runs(hashes: np.ndarray, offsets: np.ndarray, run: int):
@@ -71,7 +73,7 @@ def _runs(hashes: np.ndarray, offsets: np.ndarray, run: int):
 
 def _fingerprints(batches, run: int):
     for batch in batches:
-        for _, rows, hashes, offsets in _lines(batch.column("text")):
+        for _, rows, hashes, _, offsets in _lines(batch.column("text")):
             chosen, _, _, short = _runs(hashes, offsets, run)
             alone = _short_hashes(hashes, offsets, short)
             yield pa.RecordBatch.from_arrays(
@@ -92,7 +94,7 @@ def _short_hashes(hashes: np.ndarray, offsets: np.ndarray, rows: np.ndarray) ->
 def _candidates(batches, known: np.ndarray, run: int):
     """Per row: its lines, and the runs that hold a repeated fingerprint."""
     for batch in batches:
-        for first, rows, hashes, offsets in _lines(batch.column("text")):
+        for first, rows, hashes, others, offsets in _lines(batch.column("text")):
             chosen, left, whole, short = _runs(hashes, offsets, run)
             seeds = np.flatnonzero(chosen)
             seeds = seeds[might_hold(known, hashes[seeds])]
@@ -108,14 +110,16 @@ def _candidates(batches, known: np.ndarray, run: int):
             start = np.concatenate([whole - offsets[row_of[whole]], np.zeros(len(short), np.int64)])
             size = np.concatenate([np.full(len(whole), run), np.diff(offsets)[short]])
             content = np.concatenate([gram_hashes(hashes, run)[whole], alone])
+            check = np.concatenate([gram_hashes(others, run)[whole], _short_hashes(others, offsets, short)])
             order = np.lexsort((start, row))
             runs = pa.StructArray.from_arrays(
                 [
                     pa.array(start[order], pa.int32()),
                     pa.array(size[order], pa.int32()),
                     pa.array(content[order].view(np.int64)),
+                    pa.array(check[order].view(np.int64)),
                 ],
-                ["start", "size", "content"],
+                ["start", "size", "content", "check"],
             )
             yield pa.RecordBatch.from_arrays(
                 [
@@ -164,7 +168,8 @@ def repeated_runs(
     first), text hash and line. Lines are told apart by all their characters. A text
     of fewer non-blank lines than ``run`` is one run and equals whole texts only. Null
     and empty texts have no lines. Rows that repeat both doc_id and text are one
-    document here and share their result.
+    document here and share their result. Texts may have any length; other columns
+    are ignored.
     """
     texts = keyed_texts(docs, id_col, text_col)
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -175,18 +180,19 @@ def repeated_runs(
         texts.mapInArrow(
             lambda batches: _candidates(batches, known.value, run),
             f"doc_id {id_type}, text_hash bigint, n_lines bigint, "
-            "runs array<struct<start: int, size: int, content: bigint>>",
+            "runs array<struct<start: int, size: int, content: bigint, check: bigint>>",
         )
     )
     key = ["doc_id", "text_hash"]
     runs = found.select(*key, F.inline("runs"))
     # Written before the join, so that a run in very many texts can be split there.
     firsts = written(
-        runs.groupBy("content")
+        runs.groupBy("content", "check")
         .agg(F.min(F.struct(*key, "start")).alias("first"), F.max(F.struct(*key, "start")).alias("last"))
         .filter("first < last")
         .select(
             "content",
+            "check",
             F.col("first.doc_id").alias("doc_id0"),
             F.col("first.text_hash").alias("text_hash0"),
             F.col("first.start").alias("start0"),
@@ -195,7 +201,7 @@ def repeated_runs(
     same_text = F.col("doc_id").eqNullSafe(F.col("doc_id0")) & (F.col("text_hash") == F.col("text_hash0"))
     end = F.col("start") + F.col("size")
     cuts = (
-        runs.join(firsts, "content")
+        runs.join(firsts, ["content", "check"])
         .withColumn("cut", F.when(same_text, F.greatest("start", F.col("start0") + F.col("size"))).otherwise(F.col("start")))
         .filter(~(same_text & (F.col("start") == F.col("start0"))) & (F.col("cut") < end))
         .groupBy(*key)
@@ -220,7 +226,8 @@ def without_repeated_lines(
     """``docs`` with repeated runs deleted from the text; all columns kept.
 
     All rows stay, unless ``drop_emptied`` asks to drop those that had text and have
-    none left. See :func:`repeated_runs`. Null texts stay null.
+    none left. See :func:`repeated_runs`. Null texts stay null. No column of ``docs`` may be
+    named ``__id``, ``__hash`` or ``__cuts``.
     """
     cuts = (
         repeated_runs(docs, id_col=id_col, text_col=text_col, run=run)

@@ -13,6 +13,7 @@ A sentence or document is as toxic as its most toxic word.
 
 from __future__ import annotations
 
+import pickle
 from collections import Counter
 from dataclasses import dataclass
 from itertools import combinations
@@ -30,8 +31,11 @@ LENGTH = 4
 SPAN = 6
 DECAY = 0.5
 TABLE_BITS = 20
-#: A longer word is scored in parts, so that it cannot dilute what it holds.
+#: A longer word is scored in parts that overlap, so that it cannot dilute what it holds:
+#: whatever has up to ``PART - STEP + 1`` bytes lies whole in one of them.
 LONGEST_WORD = 24
+PART = 10
+STEP = 2
 #: Labelled training texts per class, in expectation, and words and landmarks used.
 TRAINING_TEXTS = 4000
 TRAINING_WORDS = 6000
@@ -50,6 +54,19 @@ _KIND[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = 1
 _KIND[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20]] = 2
 
 
+def _kinds(data: np.ndarray) -> np.ndarray:
+    """Kind of each byte; the no-break and other wide spaces of Unicode are white space."""
+    kind = _KIND[data]
+    for first in np.flatnonzero((data[:-1] == 0xC2) & (data[1:] == 0xA0)):
+        kind[first : first + 2] = 2
+    third = data[2:]
+    wide = (data[:-2] == 0xE2) & (data[1:-1] == 0x80) & (((third >= 0x80) & (third <= 0x8A)) | (third == 0xAF))
+    wide |= (data[:-2] == 0xE3) & (data[1:-1] == 0x80) & (third == 0x80)
+    for first in np.flatnonzero(wide):
+        kind[first : first + 3] = 2
+    return kind
+
+
 @dataclass
 class _Units:
     """Words of some rows as one stream; each word stands between two spaces."""
@@ -84,7 +101,7 @@ def _units(column: pa.Array):
     for first, last in row_slices(offsets):
         own = offsets[first : last + 1] - offsets[first]
         data = LOWER[raw[offsets[first] : offsets[last]]]
-        kind = _KIND[data]
+        kind = _kinds(data)
         row = np.repeat(np.arange(last - first), np.diff(own))
         keep = kind > 0
         data, kind, row = data[keep], kind[keep], row[keep]
@@ -102,13 +119,17 @@ def _units(column: pa.Array):
         joined[1:] = (size[1:] == 1) & (size[:-1] == 1) & (row[at[start[1:]]] == row[at[start[:-1]]])
         start = start[~joined]
         size = np.diff(np.append(start, len(at)))
-        parts = -(-size // LONGEST_WORD)
+        parts = np.where(size > LONGEST_WORD, -(-(size - PART) // STEP) + 1, 1)
         part = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-        start = np.repeat(start, parts) + part * LONGEST_WORD
-        size = np.diff(np.append(start, len(at)))
+        end = np.repeat(start + size, parts)
+        cut = np.repeat(size > LONGEST_WORD, parts)
+        start = np.repeat(start, parts) + part * STEP
+        size = np.where(cut, np.minimum(end - start, PART), end - start)
         out_start = np.cumsum(size + 2) - (size + 2)
         stream = np.full(int((size + 2).sum()), _SPACE)
-        stream[np.arange(len(at)) + np.repeat(2 * np.arange(len(start)) + 1, size)] = data[at]
+        place = np.arange(size.sum())
+        letters = place + np.repeat(start - (np.cumsum(size) - size), size)
+        stream[place + np.repeat(2 * np.arange(len(start)) + 1, size)] = data[at[letters]]
         yield first, last - first, _Units(stream, out_start, out_start + size + 2, row[at[start]])
 
 
@@ -216,13 +237,13 @@ def _platt(margins: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
     """Slope and offset of a logistic curve through smoothed labels."""
     n1, n0 = toxic.sum(), (~toxic).sum()
     target = np.where(toxic, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    x = np.stack([margins, np.ones(len(margins))], axis=1)
     w = np.array([1.0, 0.0])
     for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (p - target) + 1e-4 * w
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-4 * np.eye(2)
-        step = np.linalg.solve(hessian, gradient)
+        p = 1 / (1 + np.exp(-np.clip(w[0] * margins + w[1], -30, 30)))
+        off, weight = p - target, p * (1 - p)
+        gradient = np.array([(margins * off).sum(), off.sum()]) + 1e-4 * w
+        a, b, c = (weight * margins**2).sum() + 1e-4, (weight * margins).sum(), weight.sum() + 1e-4
+        step = np.array([c * gradient[0] - b * gradient[1], a * gradient[1] - b * gradient[0]]) / (a * c - b * b)
         w = w - step * min(1.0, 5.0 / max(np.abs(step).max(), 1e-12))
         if np.abs(step).max() < 1e-8:
             break
@@ -267,21 +288,25 @@ def train_toxicity(
     """A model from whole texts of ``docs`` with a label 0 or 1 in ``labels``.
 
     At most about ``training_texts`` of each class are used, chosen by a hash of the
-    id, equal texts once. The toxic words are those that tell the classes apart best
+    id, equal texts once. An id with both labels, and a text that stands under both,
+    is toxic. The toxic words are those that tell the classes apart best
     in each toxic text; clean words are drawn by hash, by frequency, and in each round
-    by margin. Rows without a label or text are left out; without texts of both
-    classes every text scores 0.
+    by margin. Rows without a label or text are left out;
+    without texts of both classes every text scores 0. Texts are read in tasks: the driver
+    gets words and margins, a few for each training text.
     """
     labelled = (
         labels.select(
             labels[label_id_col].alias("id"), labels[label_col].cast("int").alias("toxic")
         )
         .filter("id is not null and toxic in (0, 1)")
-        .distinct()
+        .groupBy("id")
+        .agg(F.max("toxic").alias("toxic"))
     )
     totals = {row["toxic"]: row["count"] for row in labelled.groupBy("toxic").count().collect()}
+    nothing = ToxicityModel(np.zeros(1 << TABLE_BITS), -1.0, 1.0, -500.0)
     if not totals.get(0) or not totals.get(1):
-        return ToxicityModel(np.zeros(1 << TABLE_BITS), -1.0, 1.0, -500.0)
+        return nothing
     million = 1_000_000
     share = F.when(F.col("toxic") == 1, int(million * min(1.0, training_texts / totals[1]))).otherwise(
         int(million * min(1.0, training_texts / totals[0]))
@@ -289,12 +314,34 @@ def train_toxicity(
     drawn = labelled.filter(F.pmod(F.xxhash64("id"), F.lit(million)) < share)
     text = docs[text_col].cast("string")
     sample = written(
-        docs.select(docs[id_col].alias("id"), text.alias("text"), F.xxhash64(text).alias("number"))
+        docs.select(docs[id_col].alias("id"), text.alias("text"))
         .filter("text is not null")
         .join(F.broadcast(drawn), "id")  # at most about twice ``training_texts`` rows
-        .select("text", "toxic", "number")
-        .dropDuplicates(["number"])
+        .groupBy("text")
+        .agg(F.max("toxic").alias("toxic"))
+        .withColumn("number", F.xxhash64("text"))
     )
+    sizes = {row["toxic"]: row["count"] for row in sample.groupBy("toxic").count().collect()}
+    if not sizes.get(0) or not sizes.get(1):
+        return nothing
+    toxic_words, clean_words = _first_words(sample, sizes, training_words)
+    if not toxic_words or not clean_words:
+        return nothing
+    for round_ in range(ROUNDS):
+        model = _fitted(sample, toxic_words, clean_words, landmarks)
+        if round_ == ROUNDS - 1:
+            break
+        worst = _largest(sample, model)
+        clean_words.update({word: n for word, n in worst.items() if word not in toxic_words})
+    margins = _margins(sample, model)
+    model.slope, model.offset = _platt(*margins)
+    return model
+
+
+def _first_words(
+    sample: DataFrame, sizes: dict[int, int], training_words: int
+) -> tuple[dict[str, float], Counter[str]]:
+    """A first guess of the toxic words, and clean ones, with their weights."""
     lists = sample.mapInArrow(
         _word_rows, "number bigint, toxic int, words array<struct<word: string, before: string>>"
     )
@@ -311,8 +358,7 @@ def train_toxicity(
             F.count_if(F.col("toxic") == 0).alias("n0"),
         )
     )
-    n1 = F.lit(float(sample.filter("toxic = 1").count()))
-    n0 = F.lit(float(sample.filter("toxic = 0").count()))
+    n1, n0 = F.lit(float(sizes[1])), F.lit(float(sizes[0]))
     odds = F.log((F.col("n1") + 0.1) / (n1 + 0.2)) - F.log((F.col("n0") + 0.1) / (n0 + 0.2))
     # Rare words say little: shrink by how often the word was seen.
     worth = odds * F.col("n1") / (F.col("n1") + 3.0)
@@ -334,30 +380,64 @@ def train_toxicity(
     common = (
         counted.filter("n0 > 0").orderBy(F.desc("n0"), "word").limit(training_words // 4).collect()
     )
-    clean_words = Counter({row["word"] for row in [*clean, *common]} - set(toxic_words))
-    documents = sample.orderBy("number").select("text", "toxic").toArrow()
-    column = documents["text"].combine_chunks()
-    toxic = documents["toxic"].to_numpy() == 1
-    model = None
-    for _ in range(ROUNDS):
-        model = fit_machine(toxic_words, clean_words, landmarks)
-        worst = _largest(model, column.filter(pa.array(~toxic)))
-        clean_words.update({word: n for word, n in worst.items() if word not in toxic_words})
-    model.slope, model.offset = _platt(model.margins(column), toxic)
-    return model
+    return toxic_words, Counter({row["word"] for row in [*clean, *common]} - set(toxic_words))
 
 
-def _largest(model: ToxicityModel, column: pa.Array) -> Counter[str]:
-    """The words of largest margin in some text, and in how many texts."""
-    found: Counter[str] = Counter()
-    for _, _, units in _units(column):
-        scores = _word_scores(units, model.table)
-        raw = units.stream.tobytes()
-        bounds = [*np.unique(units.row, return_index=True)[1].tolist(), len(units.row)]
-        for a, b in zip(bounds, bounds[1:]):
-            word = a + int(scores[a:b].argmax())
-            found[raw[units.starts[word] + 1 : units.ends[word] - 1].decode("utf-8", "ignore")] += 1
-    return found
+def _fitted(
+    sample: DataFrame, toxic_words: dict[str, float], clean_words: dict[str, float], landmarks: int
+) -> ToxicityModel:
+    """The machine, fitted in a task: there the BLAS has one thread.
+
+    In a driver that has started a JVM its threads can block for ever.
+    """
+    job = sample.sparkSession.createDataFrame([(pickle.dumps((toxic_words, clean_words, landmarks)),)], "job binary")
+
+    def fit(batches):
+        for batch in batches:
+            for one in batch.column("job").to_pylist():
+                model = fit_machine(*pickle.loads(one))
+                table = model.table.astype("<f8").tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([table]), pa.array([model.bias])], ["table", "bias"])
+
+    row = job.coalesce(1).mapInArrow(fit, "table binary, bias double").first()
+    return ToxicityModel(np.frombuffer(row["table"], "<f8"), row["bias"])
+
+
+def _largest(sample: DataFrame, model: ToxicityModel) -> dict[str, int]:
+    """The words of largest margin in some clean text, and in how many."""
+    shared = sample.sparkSession.sparkContext.broadcast(model.table)
+
+    def largest(batches):
+        for batch in batches:
+            words = []
+            for _, _, units in _units(batch.column("text")):
+                scores = _word_scores(units, shared.value)
+                raw = units.stream.tobytes()
+                begins = [*np.unique(units.row, return_index=True)[1].tolist(), len(units.row)]
+                for a, b in zip(begins, begins[1:]):
+                    word = a + int(scores[a:b].argmax())
+                    words.append(raw[units.starts[word] + 1 : units.ends[word] - 1].decode("utf-8", "ignore"))
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string())], ["word"])
+
+    # A word for each training text at most.
+    clean = sample.filter("toxic = 0").select("text")
+    found = clean.mapInArrow(largest, "word string").groupBy("word").count().orderBy("word")
+    return {row["word"]: row["count"] for row in found.collect()}
+
+
+def _margins(sample: DataFrame, model: ToxicityModel) -> tuple[np.ndarray, np.ndarray]:
+    """The margin of each training text, and whether it is toxic."""
+    shared = sample.sparkSession.sparkContext.broadcast(model)
+
+    def scan(batches):
+        for batch in batches:
+            margins = pa.array(shared.value.margins(batch.column("text")))
+            yield pa.RecordBatch.from_arrays(
+                [margins, batch.column("toxic"), batch.column("number")], ["margin", "toxic", "number"]
+            )
+
+    found = sample.mapInArrow(scan, "margin double, toxic int, number bigint").orderBy("number").toArrow()
+    return found["margin"].to_numpy(), found["toxic"].to_numpy() == 1
 
 
 def score_toxicity(
@@ -365,7 +445,8 @@ def score_toxicity(
 ) -> DataFrame:
     """``doc_id``, ``score`` (0 to 1) and ``predicted`` of every row, from its whole text alone.
 
-    Null and empty texts have no word and get the score of a text without any evidence.
+    Null and empty texts have no word and get the score of a text without any evidence. Ids
+    may be null or repeat; texts may have any length; other columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -364,6 +364,34 @@ def test_toxicity_on_held_out_texts(spark):
     assert score_toxicity(docs.limit(0), model).count() == 0
 
 
+def test_an_insult_at_every_place_of_a_long_run(spark):
+    rows, labels = toxic_rows()
+    rng = random.Random(8)
+    run = "".join(rng.choice(["th", "er", "on", "an", "re", "ing"]) for _ in range(50))
+    hidden = [(2000 + i, run[:i] + "snurfwit" + run[i:]) for i in range(0, 90)]
+    wide = [(3000, "th an\u00a0snurfwit\u00a0on"), (3001, "th\u3000snurfwit\u2003an"), (3002, run), (3003, run * 2000)]
+    docs = spark.createDataFrame([(*r, "x", 0.0) for r in rows + hidden + wide], DOC + ", words string, score double")
+    model = train_toxicity(docs, spark.createDataFrame(labels, "doc_id bigint, toxic int"))
+    found = {r["doc_id"]: r["predicted"] for r in score_toxicity(docs, model).collect()}
+    assert np.mean([found[i] for i, _ in hidden]) >= 0.95
+    assert [found[i] for i in (3000, 3001, 3002, 3003)] == [1, 1, 0, 0]
+
+
+def test_ties_of_labels_have_one_result(spark):
+    """Ids with both labels and texts under both are toxic, in whatever order they come."""
+    rows, labels = toxic_rows()
+    rows += [(600 + i, rows[4 * i][1]) for i in range(30)]
+    labels += [(600 + i, 0) for i in range(30)] + [(i, 0) for i in range(0, 80, 4)]
+    scores = []
+    for turn in (1, 5):
+        docs = spark.createDataFrame(rows[::turn] if turn == 1 else rows[::-1], DOC)
+        marks = spark.createDataFrame(labels[::-1] if turn == 5 else labels, "doc_id bigint, toxic int")
+        found = score_toxicity(docs, train_toxicity(docs.repartition(turn), marks.repartition(turn))).collect()
+        scores.append({r["doc_id"]: r["score"] for r in found})
+        assert all(r["predicted"] for r in found if r["doc_id"] % 4 == 0 and r["doc_id"] < 500)
+    assert scores[0] == pytest.approx(scores[1], abs=1e-9)
+
+
 def test_no_labels_of_one_class(spark):
     docs = spark.createDataFrame([(1, "a b c")], DOC)
     model = train_toxicity(docs, spark.createDataFrame([(1, 1)], "doc_id bigint, toxic int"))
