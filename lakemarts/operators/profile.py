@@ -62,6 +62,8 @@ def canonical_case(df: DataFrame, column: str, spellings: Sequence[str]) -> Data
     without a join. Other values are kept as they are.
     """
     by_key = {spelling.strip(" ").lower(): spelling for spelling in spellings}
+    if not by_key:
+        return df
     entries = [F.lit(text) for pair in by_key.items() for text in pair]
     value = quoted(column)
     listed = F.create_map(*entries)[case_key(value)]
@@ -91,3 +93,37 @@ def canonical_case_from(
         .withColumn(column, F.coalesce(F.col(listed), value))
         .drop(key, listed)
     )
+
+
+def learned_spellings(df: DataFrame, column: str) -> DataFrame:
+    """One spelling for each value of a column: ``spelling, value_rows, spellings``.
+
+    Trimmed spellings that differ in case only are one value. The spelling that most rows
+    have stands for it, of equally frequent ones the smallest; ``value_rows`` and
+    ``spellings`` count the rows and spellings of the value. Nulls and blanks have none.
+    Rows are counted before they are shuffled, so a value that fills a third of them is a
+    row per task.
+    """
+    value = F.trim(quoted(column))
+    counted = (
+        df.select(value.alias("spelling"))
+        .where("spelling IS NOT NULL AND spelling <> ''")
+        .groupBy("spelling")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    # The least of (-rows, spelling) is the most frequent spelling, of those the smallest.
+    best = F.min(F.struct((-F.col("n")).alias("fewer"), F.col("spelling"))).alias("best")
+    return (
+        counted.groupBy(case_key(F.col("spelling")).alias("key"))
+        .agg(best, F.sum("n").alias("value_rows"), F.count(F.lit(1)).alias("spellings"))
+        .select(F.col("best.spelling").alias("spelling"), "value_rows", "spellings")
+    )
+
+
+def canonical_case_learned(df: DataFrame, column: str) -> DataFrame:
+    """As :func:`canonical_case`, with the spellings learned from the column itself.
+
+    Every value gets its most frequent spelling, see :func:`learned_spellings`; no list is
+    needed. Nulls and blanks stay as they are.
+    """
+    return canonical_case_from(df, column, learned_spellings(df, column), "spelling")

@@ -270,6 +270,14 @@ _GOLD_COUNTS = " UNION ALL ".join(
     )
 )
 
+_LEARNED = (
+    "SELECT spelling, CAST(sum(n) OVER v AS BIGINT) AS value_rows, count(*) OVER v AS spellings"
+    " FROM (SELECT trim(spending_sector) AS spelling, count(*) AS n FROM bz_transactions"
+    " WHERE trim(spending_sector) <> '' GROUP BY 1)"
+    " WINDOW v AS (PARTITION BY lower(spelling))"
+    " QUALIFY row_number() OVER (PARTITION BY lower(spelling) ORDER BY n DESC, spelling) = 1"
+)
+
 ORACLES: dict[str, str] = {
     "bronze_load": over_bronze(
         " UNION ALL ".join(
@@ -465,6 +473,12 @@ ORACLES: dict[str, str] = {
         " LEFT JOIN nation ON lower(n_name) = lower(trim(city))",
         "customers",
     ),
+    "canonical_case_learned": over_bronze(
+        "SELECT transaction_id, account_id, coalesce(spelling, spending_sector) AS spending_sector"
+        f" FROM bz_transactions LEFT JOIN ({_LEARNED}) ON lower(spelling) = lower(trim(spending_sector))",
+        "transactions",
+    ),
+    "learned_spellings": over_bronze(_LEARNED, "transactions"),
     "alert_rate": over_bronze(
         "SELECT a AS total_alerts, t AS total_transactions,"
         " CAST(a AS DOUBLE) / CAST(t AS DOUBLE) AS alert_rate FROM"

@@ -389,6 +389,18 @@ def canonical_case_table(spark: SparkSession, data_dir: str) -> DataFrame:
     return profile.canonical_case_from(customers, "city", nation, "n_name")
 
 
+def canonical_case_learned(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Sectors in the spelling that most transactions have."""
+    transactions = bank_table(spark, data_dir, "transactions").select(
+        "transaction_id", "account_id", "spending_sector"
+    )
+    return profile.canonical_case_learned(transactions, "spending_sector")
+
+
+def learned_spellings(spark: SparkSession, data_dir: str) -> DataFrame:
+    return profile.learned_spellings(bank_table(spark, data_dir, "transactions"), "spending_sector")
+
+
 def alert_rate(spark: SparkSession, data_dir: str) -> DataFrame:
     return lending.alert_rate(
         bank_table(spark, data_dir, "fraud_alerts"), bank_table(spark, data_dir, "transactions")
@@ -448,6 +460,8 @@ QUERIES: dict[str, Query] = {
     "dirt_profile": dirt_profile,
     "canonical_case": canonical_case,
     "canonical_case_table": canonical_case_table,
+    "canonical_case_learned": canonical_case_learned,
+    "learned_spellings": learned_spellings,
     "alert_rate": alert_rate,
     "page_overview": page_overview,
     "page_transactions": page_transactions,

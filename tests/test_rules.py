@@ -132,3 +132,19 @@ def test_canonical_case_from_table(spark):
 def test_schedule_takes_either_integer(spark, kind):
     loans = spark.createDataFrame([(1, date(2024, 1, 31), 1)], f"id int, anchor date, n {kind}")
     assert lending.repayment_schedule(loans, "anchor", "n").first().payment_date == date(2024, 1, 1)
+
+
+def test_learned_spellings(spark):
+    words = ["York", "York ", "YORK", "leeds", "LEEDS", "Bath", None, "", "  ", " bath", "bath"]
+    df = spark.createDataFrame(list(enumerate(words)), "id int, city string")
+    learned = {tuple(r) for r in profile.learned_spellings(df, "city").collect()}
+    # Equally frequent: the smallest, by bytes.
+    assert learned == {("York", 3, 2), ("LEEDS", 2, 2), ("bath", 3, 2)}
+    fixed = [r.city for r in profile.canonical_case_learned(df, "city").orderBy("id").collect()]
+    assert fixed == ["York", "York", "York", "LEEDS", "LEEDS", "bath", None, "", "  ", "bath", "bath"]
+    assert profile.canonical_case_learned(df.limit(0), "city").count() == 0
+
+
+def test_canonical_case_of_no_spellings(spark):
+    df = spark.createDataFrame([(1, "a")], "id int, city string")
+    assert profile.canonical_case(df, "city", []).collect() == df.collect()
