@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 from operator import and_
 from weakref import WeakKeyDictionary
@@ -28,6 +30,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 #: Folder of each written table that may still be discarded.
 _FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+#: Lists that get the folder of every table written, see :func:`folders_written`.
+_RECORDS: list[list[str]] = []
 
 
 def written(frame: DataFrame, replaces: DataFrame | None = None) -> DataFrame:
@@ -43,6 +47,8 @@ def written(frame: DataFrame, replaces: DataFrame | None = None) -> DataFrame:
     frame.write.parquet(folder)
     rows = spark.read.schema(frame.schema).parquet(folder)
     _FOLDERS[rows] = folder
+    for record in _RECORDS:
+        record.append(folder)
     if replaces is not None:
         discard(replaces)
     return rows
@@ -53,8 +59,22 @@ def discard(*tables: DataFrame) -> None:
     for rows in tables:
         folder = _FOLDERS.pop(rows, None)
         if folder is not None:
-            path = rows.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(rows.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+            delete_folder(rows.sparkSession, folder)
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def folders_written() -> Iterator[list[str]]:
+    """A list of the folders of all tables written meanwhile, for who deletes them later."""
+    _RECORDS.append(record := [])
+    try:
+        yield record
+    finally:
+        _RECORDS.remove(record)
 
 
 def left_join_null_safe(left: DataFrame, right: DataFrame, *names: str) -> DataFrame:
