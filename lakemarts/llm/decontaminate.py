@@ -147,11 +147,11 @@ def contamination(
     A hit is any occurrence of ``window`` consecutive words of an item, or of all
     words of an item with fewer. Returns one row per row of ``docs``: ``doc_id``,
     ``text_hash``, ``n_words``, ``n_hit``, ``n_items``, ``item_ids`` (sorted as text),
-    ``contaminated``.
+    ``items_sha256`` (digest of the ids, comma-joined), ``contaminated``.
 
     Null and empty texts have no words and no hits. An item without words matches
     nothing; one without an id marks words but is not listed. Rows that repeat a
-    doc_id each get their own result. Other columns are ignored.
+    doc_id each get their own result. Texts may have any length. Other columns are ignored.
     """
     items = written(
         benchmark_windows(
@@ -183,14 +183,19 @@ def contamination(
     key = ["doc_id", "text_hash"]
     around = found.select(*key, F.inline("windows"))
     matched = around.join(seeds, "seed", "left_semi").select(*key, "start", "length", "words")
-    # Windows with the same items are one class, so a passage costs one row per
-    # document and class before the items are listed.
-    window_items = (
+    # Windows with the same items are one class. Documents carry classes, and the items are
+    # listed once for each set of classes that some document has: a window that very many
+    # items and documents share is not multiplied by both.
+    windows = written(
         items.select("item_id", F.explode("windows").alias("words"))
         .groupBy("words")
         .agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+        .withColumn("class", F.sha2(F.to_json("items"), 256))
+    )
+    classes = windows.select("class", "items").dropDuplicates(["class"])
+    hits = written(
+        matched.distinct().join(windows.select("words", "class"), "words").select(*key, "start", "length", "class")
     )
-    hits = written(matched.distinct().join(window_items, "words").drop("words"))
     before = (
         Window.partitionBy(*key)
         .orderBy("start", "length")
@@ -206,13 +211,24 @@ def contamination(
             F.sum(F.greatest(F.lit(0), end - F.greatest("start", "reached"))).alias("n_hit")
         )
     )
-    listed = (
-        hits.select(*key, "items")
-        .distinct()
-        .select(*key, F.explode("items").alias("item_id"))
-        .groupBy(*key)
+    per_document = written(
+        hits.groupBy(*key)
+        .agg(F.sort_array(F.collect_set("class")).alias("classes"))
+        .withColumn("set", F.sha2(F.array_join("classes", ","), 256))
+    )
+    sets = written(
+        per_document.select("set", "classes")
+        .dropDuplicates(["set"])
+        .select("set", F.explode("classes").alias("class"))
+        .join(classes, "class")
+        .select("set", F.explode("items").alias("item_id"))
+        .groupBy("set")
         .agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
+        .withColumn("items_sha256", F.sha2(F.array_join("item_ids", ","), 256))
+        .withColumn("n_items", F.size("item_ids"))
     )
+    # What is not asked for, such as the list itself, does not cross this join.
+    listed = per_document.select(*key, "set").join(sets, "set", "left").drop("set")
     result = left_join_null_safe(found.select(*key, "n_words"), covered, *key)
     result = left_join_null_safe(result, listed, *key)
     none = F.array().cast("array<string>")
@@ -220,8 +236,9 @@ def contamination(
         *key,
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
-        F.coalesce(F.size("item_ids"), F.lit(0)).cast("bigint").alias("n_items"),
+        F.coalesce("n_items", F.lit(0)).cast("bigint").alias("n_items"),
         F.coalesce("item_ids", none).alias("item_ids"),
+        F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
     )
 

@@ -31,7 +31,7 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_words",
         "n_hit",
         "n_items",
-        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        "items_sha256",
         "contaminated",
     )
 
