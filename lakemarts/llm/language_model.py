@@ -3,11 +3,11 @@
 Spark counts all n-grams of the training documents. An n-gram of count c gets the level
 1 + floor(log(c / least) / log(BASE)) and is put into the filter once for each level up to
 its own; its count is read back by probing level after level until one is missing. The
-filter is broadcast, so that scoring a text shuffles nothing of it.
+filter lies in segments by the n-grams' hashes and holds every n-gram, whatever the corpus.
 
-The filter holds the n-grams with more than 1 / 2 ** SHARE_BITS of all tokens, which are
-fewer than 2 ** SHARE_BITS of each order, whatever the corpus: its size has a bound that
-follows from no cut by rank. Smaller corpora have all their n-grams in it.
+The filter of a large corpus fits no single machine, so it stays where it is: texts are
+dealt into blocks, the distinct n-grams of each block go to their segments, and only the
+levels come back, a byte each, to be joined with the texts of the block.
 
 The probability of a word after v is (c(v w) + mu * p(w)) / (c(v) + mu), where p is that of
 the next lower order, down to the word's own share. mu is such that the mean weight of the
@@ -15,25 +15,26 @@ lower order is the share of n-grams seen once (Good and Turing's estimate of wha
 
 The exact base score needs every token's own count: tokens with more than 1 / 2 ** HEAVY_BITS
 of all are broadcast, fewer than 2 ** HEAVY_BITS; the others, none of which is frequent, are
-joined.
+joined to the distinct tokens of each block.
 """
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemarts.llm.arrays import Words, added_rows, list_array, mix, run_hashes, words_of
+from lakemarts.llm.arrays import Words, added_rows, mix, run_hashes, words_of
 from lakemarts.llm.frames import written
 
 ORDER = 2
-SHARE_BITS = 26
 HEAVY_BITS = 20
 #: Ratio of the counts of neighbouring levels.
 BASE = 2
@@ -42,12 +43,14 @@ BASE = 2
 PROBE_BITS = 6
 BITS_PER_ENTRY = 16
 #: N-gram occurrences per segment of the filter while it is built, and most segments.
-SEGMENT_GRAMS = 1 << 18
+SEGMENT_GRAMS = 1 << 20
 MOST_SEGMENT_BITS = 17
-#: Bits of an n-gram's hash besides those of its segment.
-CODE_BITS = 40
+#: Bits of an n-gram's hash besides those of its segment: one in thousands meets another.
+CODE_BITS = 32
 #: N-grams that a task holds before it adds up equal ones.
 COMBINED_GRAMS = 1 << 22
+#: Bytes of the texts that are scored together.
+BLOCK_BYTES = 3 << 22
 
 # Fixed value: the bytes that separate words.
 TOKEN_BYTES = np.ones(256, bool)
@@ -134,18 +137,37 @@ def _added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return distinct, np.bincount(at, np.concatenate(counts), minlength=len(distinct)).astype(np.int64)
 
 
+def _segment_cuts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The segments that sorted keys have, and where each begins; the end of the last one too."""
+    present, first = np.unique((keys >> np.uint64(CODE_BITS)).astype(np.int32), return_index=True)
+    return present, np.append(first, len(keys))
+
+
+def _binaries(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """The bytes of ``values``, cut at the given places."""
+    offsets = (cuts * values.itemsize).astype(np.int32)
+    return pa.BinaryArray.from_buffers(
+        pa.binary(), len(cuts) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(values)]
+    )
+
+
+def _codes(keys: np.ndarray) -> np.ndarray:
+    return (keys & np.uint64((1 << CODE_BITS) - 1)).astype("<u4")
+
+
+def _keys_of(codes: np.ndarray, segment: int) -> np.ndarray:
+    return codes.astype(np.uint64) + np.uint64(segment << CODE_BITS)
+
+
 def _packed(size: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    """A row for each segment: its sorted codes, five bytes each, and their counts."""
-    segment = (keys >> np.uint64(CODE_BITS)).astype(np.int64)
-    present, first = np.unique(segment, return_index=True)
-    ends = np.append(first[1:], len(keys))
-    codes = keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+    """A row for each segment: its sorted codes, four bytes each, and their counts."""
+    present, cuts = _segment_cuts(keys)
     return pa.RecordBatch.from_arrays(
         [
             pa.array(present, pa.int32()),
             pa.array(np.full(len(present), size), pa.int32()),
-            pa.array([codes[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()),
-            pa.array([counts[a:b].astype("<i8").tobytes() for a, b in zip(first, ends)], pa.binary()),
+            _binaries(_codes(keys), cuts),
+            _binaries(counts.astype("<i8"), cuts),
         ],
         ["segment", "size", "codes", "counts"],
     )
@@ -230,11 +252,9 @@ def _segment_rows(batches, least: int):
                 if held:
                     yield _segment_row(current, held, least)
                 held, current, waiting = {}, segment.as_py(), 0
-            raw = np.frombuffer(codes.as_buffer(), np.uint8).reshape(-1, 5)
-            keys = np.zeros((len(raw), 8), np.uint8)
-            keys[:, :5] = raw
+            raw = np.frombuffer(codes.as_buffer(), "<u4")
             own = held.setdefault(size.as_py(), ([], []))
-            own[0].append(keys.view("<u8").ravel() + np.uint64(current << CODE_BITS))
+            own[0].append(_keys_of(raw, current))
             own[1].append(np.frombuffer(counts.as_buffer(), "<i8"))
             waiting += len(raw)
             if waiting > COMBINED_GRAMS:
@@ -271,13 +291,28 @@ def _segment_row(segment: int, held: dict[int, tuple[list, list]], least: int) -
     )
 
 
+def _levels(words: np.ndarray, keys: np.ndarray, most: int, start=0, size=None) -> np.ndarray:
+    """Level of each key up to ``most``, by probes until one fails.
+
+    The words of a key's segment are all of ``words``, or ``size`` of them from ``start`` on.
+    """
+    size = np.full(len(keys), len(words)) if size is None else size
+    start = np.broadcast_to(start, len(keys))
+    level = np.zeros(len(keys), np.int64)
+    left = np.flatnonzero(size > 0)
+    for step in range(1, most + 1):
+        place, mask = _probe(keys[left], step, size[left])
+        left = left[words[start[left] + place] & mask == mask]
+        if not len(left):
+            break
+        level[left] = step
+    return level
+
+
 @dataclass
-class GramFilter:
-    """The filter with what is read from its levels, and the weights of lower orders."""
+class Weights:
+    """What is read from the levels, and the weights of lower orders."""
 
-    words: np.ndarray  # of all segments
-    starts: np.ndarray  # first word of each segment
-    sizes: np.ndarray  # words of each segment
     means: list[np.ndarray]  # mean count of each order and level; 0 for level 0
     mu: list[float]
     tokens: int
@@ -288,45 +323,50 @@ class GramFilter:
     def order(self) -> int:
         return len(self.means) - 1
 
-    def levels(self, grams: np.ndarray) -> np.ndarray:
-        """Level of each n-gram, by probes until one fails."""
-        keys = _keys(grams, len(self.sizes).bit_length() - 1)
-        segment = (keys >> np.uint64(CODE_BITS)).astype(np.int64)
-        start, size = self.starts[segment], self.sizes[segment]
-        level = np.zeros(len(grams), np.int64)
-        left = np.flatnonzero(size > 0)
-        most = max(len(means) for means in self.means) - 1
-        for step in range(1, most + 1):
-            place, mask = _probe(keys[left], step, size[left])
-            left = left[self.words[start[left] + place] & mask == mask]
-            if not len(left):
-                break
-            level[left] = step
-        return level
-
-    def counts(self, grams: np.ndarray, n: int) -> np.ndarray:
-        """Estimated count of each n-gram of order ``n``."""
+    @property
+    def most(self) -> int:
+        """The highest level."""
+        return max(len(means) for means in self.means) - 1
+
+    def counts(self, levels: np.ndarray, n: int) -> np.ndarray:
+        """Estimated counts of n-grams of order ``n``."""
         means = self.means[n]
-        return means[np.minimum(self.levels(grams), len(means) - 1)]
+        return means[np.minimum(levels, len(means) - 1)]
+
+    def log_probabilities(self, tokens: Tokens, counts: list[np.ndarray], begin: float) -> np.ndarray:
+        """log10 of the probability of each token after those before it in its row.
 
-    def log_probabilities(self, tokens: Tokens) -> np.ndarray:
-        """log10 of the probability of each token after those before it in its row."""
-        alone = self.counts(tokens.grams(1), 1)
+        ``counts`` has for each order the count of the n-gram that ends with the token; no
+        matter which where a row has fewer tokens. ``begin`` is the count of the begin.
+        """
+        alone = counts[1]
         p = (np.where(alone > 0, alone, self.rest) + 1) / (self.tokens + self.types + 1)
         before = np.append(0, alone[:-1])
-        first = tokens.place == 0
-        before[first] = self.counts(_one_gram(np.array([_BEGIN])), 1)[0] if len(first) else 0
+        before[tokens.place == 0] = begin
         for n in range(2, self.order + 1):
-            found = np.zeros(len(p))
-            there = np.flatnonzero((tokens.place >= n - 2) & (before > 0))
-            found[there] = self.counts(tokens.grams(n)[there], n)
-            found = np.minimum(found, before)
+            found = np.where((tokens.place >= n - 2) & (before > 0), np.minimum(counts[n], before), 0)
             p = np.where(before > 0, (found + self.mu[n] * p) / (before + self.mu[n]), p)
             before = np.append(0, found[:-1])
             before[tokens.place < n - 1] = 0
         return np.log10(p)
 
 
+@dataclass
+class GramFilter:
+    """All segments in one process, for a look into the model of a small corpus."""
+
+    words: np.ndarray  # of all segments
+    starts: np.ndarray  # first word of each segment
+    sizes: np.ndarray  # words of each segment
+    mu: list[float]
+    most: int
+
+    def levels(self, grams: np.ndarray) -> np.ndarray:
+        keys = _keys(grams, len(self.sizes).bit_length() - 1)
+        segment = (keys >> np.uint64(CODE_BITS)).astype(np.int64)
+        return _levels(self.words, keys, self.most, self.starts[segment], self.sizes[segment])
+
+
 def _prior_weight(contexts: list[tuple[float, float]], once: float, total: float) -> float:
     """mu for which the lower order has a mean weight of ``once / total``.
 
@@ -353,13 +393,29 @@ class LanguageModel:
     heavy: dict[str, int]
     heavy_bits: int
     counts: DataFrame  # token, n of all training tokens
-    filter: GramFilter
+    segments: DataFrame  # the filter, a row for each segment
+    segment_bits: int
+    weights: Weights
+
+    @cached_property
+    def filter(self) -> GramFilter:
+        """The segments put together here; scoring does not need it."""
+        rows = self.segments.select("segment", "words").toArrow().sort_by("segment")
+        parts = [np.frombuffer(words.as_buffer(), "<u8") for words in rows["words"]]
+        sizes = np.zeros(1 << self.segment_bits, np.int64)
+        sizes[rows["segment"].to_numpy()] = [len(part) for part in parts]
+        words = np.concatenate(parts) if parts else np.zeros(1, np.uint64)
+        return GramFilter(words, np.cumsum(sizes) - sizes, sizes, self.weights.mu, self.weights.most)
 
 
 def train_language_model(
-    texts: DataFrame, *, order: int = ORDER, share_bits: int = SHARE_BITS, heavy_bits: int = HEAVY_BITS
+    texts: DataFrame, *, order: int = ORDER, share_bits: int | None = None, heavy_bits: int = HEAVY_BITS
 ) -> LanguageModel:
-    """A model of the column ``text`` of all rows of ``texts``; null counts as empty."""
+    """A model of the column ``text`` of all rows of ``texts``; null counts as empty.
+
+    It holds every n-gram. With ``share_bits`` it is smaller and holds those with more than
+    1 / 2 ** share_bits of all tokens, fewer than 2 ** share_bits of each order.
+    """
     counts = token_counts(texts)
     sums = counts.agg(
         F.sum("n").alias("tokens"),
@@ -370,34 +426,31 @@ def train_language_model(
     # Fewer than 2 ** heavy_bits tokens can be as frequent as that.
     frequent = counts.filter(F.col("n") > tokens >> heavy_bits).toArrow()
     heavy = dict(zip(frequent["token"].to_pylist(), frequent["n"].to_pylist()))
-    least = 1 + (tokens >> share_bits)
+    least = 1 if share_bits is None else 1 + (tokens >> share_bits)
     segment_bits = min((tokens * order // SEGMENT_GRAMS).bit_length(), MOST_SEGMENT_BITS)
     packed = texts.mapInArrow(lambda batches: _gram_rows(batches, order, segment_bits), _PACKED).union(
         counts.mapInArrow(lambda batches: _token_gram_rows(batches, segment_bits), _PACKED)
     )
-    held = (
+    held = written(
         packed.repartition("segment")
         .sortWithinPartitions("segment")
         .mapInArrow(lambda batches: _segment_rows(batches, least), _SEGMENT_ROWS)
     )
-    return LanguageModel(
-        tokens, types, ends, heavy, heavy_bits, counts, _gram_filter(held, 1 << segment_bits, order, tokens, types)
+    weights = _weights(held, order, tokens, types)
+    return LanguageModel(tokens, types, ends, heavy, heavy_bits, counts, held, segment_bits, weights)
+
+
+def _weights(held: DataFrame, order: int, tokens: int, types: int) -> Weights:
+    """Means and weights, from a few sums for each order and level."""
+    names = ("grams", "total", "once")
+    rows = (
+        held.select(F.inline(F.arrays_zip("size", "level", *names)))
+        .groupBy("size", "level")
+        .agg(*[F.sum(name).alias(name) for name in names])
+        .orderBy("size", "level")
+        .collect()
     )
-
-
-def _gram_filter(held: DataFrame, segments: int, order: int, tokens: int, types: int) -> GramFilter:
-    """The segments, put together in the driver: some 50 bits for each held n-gram."""
-    rows = held.toArrow().sort_by("segment")
-    parts = [np.frombuffer(words.as_buffer(), "<u8") for words in rows["words"]]
-    sizes = np.zeros(segments, np.int64)
-    sizes[rows["segment"].to_numpy()] = [len(part) for part in parts]
-    starts = np.cumsum(sizes) - sizes
-    by_kind: dict[tuple[int, int], np.ndarray] = {}
-    for name_size, name_level, grams, total, once in zip(
-        *[rows[name].to_pylist() for name in ("size", "level", "grams", "total", "once")]
-    ):
-        for size, level, *numbers in zip(name_size, name_level, grams, total, once):
-            by_kind[size, level] = by_kind.get((size, level), 0) + np.array(numbers)
+    by_kind = {(row["size"], row["level"]): [row[name] for name in names] for row in rows}
     means, mu = [np.zeros(1)], [0.0, 0.0]
     for n in range(1, order + 1):
         own = {level: numbers for (size, level), numbers in by_kind.items() if size == n}
@@ -410,53 +463,150 @@ def _gram_filter(held: DataFrame, segments: int, order: int, tokens: int, types:
             mu.append(_prior_weight(contexts, sum(numbers[2] for numbers in own.values()), tokens))
     alone = [numbers for (size, _), numbers in by_kind.items() if size == 1]
     # The begin is held with the words, and is none.
-    held_types = min(sum(int(numbers[0]) for numbers in alone), types)
-    held_tokens = min(sum(int(numbers[1]) for numbers in alone), tokens)
+    held_types = min(sum(numbers[0] for numbers in alone), types)
+    held_tokens = min(sum(numbers[1] for numbers in alone), tokens)
     rest = (tokens - held_tokens) / (types - held_types) if types > held_types else 0.0
-    words = np.concatenate(parts) if parts else np.zeros(1, np.uint64)
-    return GramFilter(words, starts, sizes, means, mu, tokens, types, rest)
+    return Weights(means, mu, tokens, types, rest)
 
 
-def _scored(batches, filters: Broadcast, heavy: Broadcast, tokens: int, types: int, ends: int):
-    """Sums over frequent tokens and the model's score; other tokens in a list."""
-    model, frequent = filters.value, heavy.value
-    scale = math.log10(tokens + types + 1)
-    kind = pa.struct([("token", pa.string()), ("times", pa.int64())])
-    for batch in batches:
-        for words in words_of(batch.column("text"), TOKEN_BYTES):
-            number, names = words.numbered()
-            row = words.row_of_word()
-            known = np.array([frequent.get(name, -1) for name in names.to_pylist()], np.int64)
-            count = known[number]
-            logs = np.where(count >= 0, np.log10(np.maximum(count, 0) + 1.0), 0.0)
-            # Without any word the sums would be integers.
-            base = np.bincount(row, logs, minlength=words.rows).astype(np.float64)
-            base += math.log10(ends + 1) - scale * (words.counts + 1)
-            sure = np.bincount(row[count >= 0], minlength=words.rows) + (ends > 0)
-            many = max(len(names), 1)
-            rare, times = np.unique((row * many + number)[count < 0], return_counts=True)
-            stream = tokens_of(words)
-            score = np.bincount(stream.row, model.log_probabilities(stream), minlength=words.rows)
-            rows = slice(words.first_row, words.first_row + words.rows)
-            lists = list_array(
-                pa.StructArray.from_arrays(
-                    [names.take(pa.array(rare % many)).cast(pa.string()), pa.array(times, pa.int64())], fields=list(kind)
-                ),
-                np.bincount(rare // many, minlength=words.rows),
+def _stream(column: pa.Array) -> Tokens:
+    """The tokens of all rows of a block."""
+    parts = [(words.first_row, tokens_of(words)) for words in words_of(column, TOKEN_BYTES)]
+    return Tokens(
+        np.concatenate([tokens.row + first for first, tokens in parts]),
+        np.concatenate([tokens.hashes for _, tokens in parts]),
+        np.concatenate([tokens.place for _, tokens in parts]),
+    )
+
+
+def _keys_asked(stream: Tokens, n: int, segment_bits: int) -> np.ndarray:
+    """Keys of a block's n-grams of one order, where there are any; the begin ends those of order 1."""
+    if n == 1:
+        return _keys(_one_gram(np.append(stream.hashes, _BEGIN)), segment_bits)
+    return _keys(stream.grams(n)[stream.place >= n - 2], segment_bits)
+
+
+def _texts_of(table: pa.Table) -> pa.Array:
+    # Offsets of 64 bits, so that the parts of a column fit together.
+    return pa.concat_arrays([chunk.cast(pa.large_string()) for chunk in table.column("text").chunks])
+
+
+_ASKED = "segment int, block int, size int, data binary"
+
+
+def _asked(table: pa.Table, order: int, segment_bits: int) -> pa.Table:
+    """The distinct n-grams of a block, a row for each order and segment."""
+    block, stream = table.column("block")[0].as_py(), _stream(_texts_of(table))
+    rows = []
+    for n in range(1, order + 1):
+        keys = np.unique(_keys_asked(stream, n, segment_bits))
+        present, cuts = _segment_cuts(keys)
+        rows.append(
+            pa.table(
+                {
+                    "segment": pa.array(present, pa.int32()),
+                    "block": pa.array(np.full(len(present), block), pa.int32()),
+                    "size": pa.array(np.full(len(present), n), pa.int32()),
+                    "data": _binaries(_codes(keys), cuts),
+                }
             )
+        )
+    return pa.concat_tables(rows)
+
+
+def _looked_up(batches, most: int):
+    """Levels of what was asked; the rows come sorted by segment, with its words first."""
+    current, words = None, np.zeros(0, np.uint64)
+    for batch in batches:
+        segments, blocks = (batch.column(name).to_numpy() for name in ("segment", "block"))
+        cuts = np.append(np.flatnonzero(np.diff(segments, prepend=-1)), len(segments)).tolist()
+        for first, last in zip(cuts, cuts[1:]):
+            segment = int(segments[first])
+            if segment != current:
+                current, words = segment, np.zeros(0, np.uint64)
+            if blocks[first] < 0:
+                words = np.frombuffer(batch.column("data")[first].as_buffer(), "<u8")
+                first += 1
+            if first == last:
+                continue
+            asked = batch.slice(first, last - first)
+            data = asked.column("data")
+            ends = np.frombuffer(data.buffers()[1], np.int32)[data.offset : data.offset + len(data) + 1]
+            codes = np.frombuffer(data.buffers()[2], np.uint8)[ends[0] : ends[-1]].view("<u4")
+            levels = _binaries(_levels(words, _keys_of(codes, segment), most).astype(np.uint8), (ends - ends[0]) // 4)
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id")[rows],
-                    pa.array(words.counts + 1, pa.int64()),
-                    pa.array(sure, pa.int64()),
-                    pa.array(base, pa.float64()),
-                    pa.array(score, pa.float64()),
-                    lists,
-                ],
-                ["doc_id", "n_tokens", "sure", "base", "score", "rare"],
+                [asked.column("block"), asked.column("size"), asked.column("segment"), levels],
+                ["block", "size", "part", "levels"],
             )
 
 
+def _rare_of(names: list[list[str]], frequent: dict[str, int]) -> list[str]:
+    """The distinct words that are not frequent, sorted."""
+    return sorted(name for name in set().union(*names) if name not in frequent)
+
+
+def _rare_rows(table: pa.Table, heavy: Broadcast) -> pa.Table:
+    names = [words.numbered()[1].to_pylist() for words in words_of(_texts_of(table), TOKEN_BYTES)]
+    rare, block = _rare_of(names, heavy.value), table.column("block")[0].as_py()
+    return pa.table(
+        {
+            "block": pa.array(np.full(len(rare), block), pa.int32()),
+            "part": pa.array(np.arange(len(rare)), pa.int32()),
+            "token": pa.array(rare, pa.string()),
+        }
+    )
+
+
+def _scored(table: pa.Table, answers: pa.Table, weights: Weights, segment_bits: int, heavy: Broadcast, ends: int) -> pa.Table:
+    """The scores of a block's texts, from the levels and counts of what was asked."""
+    texts = _texts_of(table)
+    rows, frequent = len(texts), heavy.value
+    scale = math.log10(weights.tokens + weights.types + 1)
+    slices = []
+    for words in words_of(texts, TOKEN_BYTES):
+        number, names = words.numbered()
+        slices.append((words.first_row, words.counts, number.astype(np.int32), names.to_pylist()))
+    rare = _rare_of([names for *_, names in slices], frequent)
+    joined = answers.filter(pc.equal(answers["size"], 0))
+    times = np.zeros(len(rare), np.int64)
+    times[joined["part"].to_numpy()] = joined["n"].to_numpy()
+    own = dict(zip(rare, times.tolist()))
+    n_tokens, known = np.zeros(rows, np.int64), np.full(rows, int(ends > 0), np.int64)
+    base = np.zeros(rows)
+    for first, sizes, number, names in slices:
+        counts = np.array([frequent.get(name) or own.get(name, 0) for name in names], np.int64)[number]
+        row, these = np.repeat(np.arange(len(sizes)), sizes), slice(first, first + len(sizes))
+        n_tokens[these] = sizes + 1
+        known[these] += np.bincount(row[counts > 0], minlength=len(sizes))
+        base[these] = np.bincount(row, np.log10(counts + 1.0), minlength=len(sizes))
+    base += math.log10(ends + 1) - scale * n_tokens
+    stream = _stream(texts)
+    counts, begin = [np.zeros(0)], 0.0
+    for n in range(1, weights.order + 1):
+        distinct, at = np.unique(_keys_asked(stream, n, segment_bits), return_inverse=True)
+        own_levels = answers.filter(pc.equal(answers["size"], n)).sort_by("part")["levels"]
+        levels = np.frombuffer(b"".join(own_levels.to_pylist()), np.uint8)
+        if len(levels) != len(distinct):
+            raise ValueError(f"{len(distinct)} n-grams were asked for, but {len(levels)} levels came back")
+        found = weights.counts(levels, n)[at]
+        if n == 1:
+            counts.append(found[:-1])
+            begin = found[-1]
+        else:
+            counts.append(np.zeros(len(stream.row)))
+            counts[n][stream.place >= n - 2] = found
+    logs = weights.log_probabilities(stream, counts, begin)
+    return pa.table(
+        {
+            "doc_id": table.column("doc_id"),
+            "n_tokens": pa.array(n_tokens),
+            "n_known": pa.array(known),
+            "base_score": pa.array(base),
+            "score": pa.array(np.bincount(stream.row, logs, minlength=rows)),
+        }
+    )
+
+
 def score_texts(
     docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -466,33 +616,40 @@ def score_texts(
     (N + V + 1)). ``score`` is the log10 probability of the text by the filter's counts.
     Null and empty texts have only an end. Rows that repeat an id are scored by themselves;
     other columns are ignored. A model of no texts knows no token and gives every one the
-    same probability.
+    same probability. Rows of one id and text are in one block, so all of them have to fit
+    a task.
     """
-    context = docs.sparkSession.sparkContext
-    filters, heavy = context.broadcast(model.filter), context.broadcast(model.heavy)
-    tokens, types, ends = model.tokens, model.types, model.ends
-    texts = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    scored = written(
-        texts.mapInArrow(
-            lambda batches: _scored(batches, filters, heavy, tokens, types, ends),
-            f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_tokens bigint, sure bigint, base double, "
-            "score double, rare array<struct<token: string, times: bigint>>",
-        ).withColumn("row", F.monotonically_increasing_id())
+    heavy = docs.sparkSession.sparkContext.broadcast(model.heavy)
+    order, bits, ends, weights = model.weights.order, model.segment_bits, model.ends, model.weights
+    id_type = docs.schema[id_col].dataType.simpleString()
+    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
+    rows = docs.select(docs[id_col].alias("doc_id"), text.alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text").cast("bigint") + 64).alias("n")).first()["n"] or 0
+    # Blocks follow from the rows alone, so what is asked and what is scored is the same.
+    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(size // BLOCK_BYTES + 1)).cast("int")
+    blocks = rows.select(block.alias("block"), "doc_id", "text").repartition("block")
+    asked = blocks.groupBy("block").applyInArrow(lambda table: _asked(table, order, bits), _ASKED)
+    words = model.segments.select("segment", F.lit(-1).alias("block"), F.lit(0).alias("size"), F.col("words").alias("data"))
+    levels = (
+        words.union(asked)
+        .repartition("segment")
+        .sortWithinPartitions("segment", "block")
+        .mapInArrow(lambda batches: _looked_up(batches, weights.most), "block int, size int, part int, levels binary")
     )
-    # Sums of logarithms of counts; what is unknown adds the logarithm of one.
+    # What is not among them has no count.
     others = model.counts.filter(F.col("n") <= model.tokens >> model.heavy_bits)
-    rare = scored.select("row", F.inline("rare")).join(others, "token")
-    sums = rare.groupBy("row").agg(
-        F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("part")
+    rare = (
+        blocks.groupBy("block")
+        .applyInArrow(lambda table: _rare_rows(table, heavy), "block int, part int, token string")
+        .join(others, "token")
+        .select("block", F.lit(0).alias("size"), "part", "n")
     )
-    return (
-        scored.drop("rare")
-        .join(sums, "row", "left")
-        .select(
-            "doc_id",
-            "n_tokens",
-            (F.col("sure") + F.coalesce("more", F.lit(0))).alias("n_known"),
-            (F.col("base") + F.coalesce("part", F.lit(0.0))).alias("base_score"),
-            "score",
+    answers = levels.unionByName(rare, allowMissingColumns=True)
+    return written(
+        blocks.groupBy("block")
+        .cogroup(answers.groupBy("block"))
+        .applyInArrow(
+            lambda table, found: _scored(table, found, weights, bits, heavy, ends),
+            f"doc_id {id_type}, n_tokens bigint, n_known bigint, base_score double, score double",
         )
     )

@@ -118,6 +118,41 @@ def test_the_filter_has_a_bound(spark):
     assert sums[1]["sum(score)"] == pytest.approx(sums[0]["sum(score)"], rel=0.2)
 
 
+def test_every_ngram_is_held_whatever_the_size(spark):
+    """With more than 2 ** 26 tokens n-grams that occur once are held as well."""
+    texts = spark.range(100).selectExpr("repeat('a ', 700000) AS text").union(spark.createDataFrame([("b c d",)], "text string"))
+    model = train_language_model(texts)
+    assert model.tokens > 2**26
+    for words in words_of(pa.array(["b c d"]), TOKEN_BYTES):
+        assert (model.filter.levels(tokens_of(words).grams(2)[:3]) > 0).all()
+    docs = spark.createDataFrame([(1, "b c d"), (2, "d c b")], "doc_id int, text string")
+    scores = {row["doc_id"]: row["score"] for row in score_texts(docs, model).collect()}
+    assert scores[1] > scores[2] + 1
+
+
+def test_blocks_and_segments_change_no_score(spark, monkeypatch):
+    from lakemarts.llm import language_model
+
+    texts = spark.createDataFrame([(t,) for t in random_texts(300, 6)], "text string")
+    docs = spark.createDataFrame([(i // 2, t) for i, t in enumerate([*random_texts(90, 7), None, "", "x"])], "doc_id int, text string")
+
+    def scored():
+        model = train_language_model(texts)
+        return sorted(tuple(row) for row in score_texts(docs, model).collect()), model.segment_bits
+
+    one, bits = scored()
+    monkeypatch.setattr(language_model, "BLOCK_BYTES", 300)
+    many, _ = scored()
+    assert [row[:3] for row in many] == [row[:3] for row in one] and len(many) == 93
+    for row, other in zip(many, one):
+        assert row[3:] == pytest.approx(other[3:], rel=1e-9)
+    monkeypatch.setattr(language_model, "SEGMENT_GRAMS", 200)
+    cut, more_bits = scored()
+    assert more_bits > bits + 3 and [row[:3] for row in cut] == [row[:3] for row in one]
+    # Other places in the filter: now and then a level is one too high.
+    assert sum(row[4] for row in cut) == pytest.approx(sum(row[4] for row in one), rel=0.01)
+
+
 def test_no_texts(spark):
     empty = spark.createDataFrame([], "doc_id int, text string")
     model = train_language_model(empty)
