@@ -4,7 +4,8 @@
 shuffle, which is the dearest Silver step on the transactions. Two rows that
 are equal are also equal in the key. So a row whose key occurs once is
 distinct already, and only rows of repeated keys have to be compared. Counting
-the keys shuffles one narrow column, partially aggregated.
+the keys shuffles one narrow column, partially aggregated. Where keys repeat too often,
+or there is none, a 64-bit hash of all columns takes the place of the key.
 """
 
 from __future__ import annotations
@@ -52,7 +53,7 @@ def dedup_by_key(
     * no key repeated: nothing to drop, no wide shuffle at all;
     * few repeated, or many in few blocks: only the rows of those keys or
       blocks are shuffled and compared;
-    * else all rows are shuffled and compared.
+    * else the rows are hashed, see :func:`dedup_by_hash`.
     """
     if not is_integer_key(df, key):
         raise ValueError(f"dedup_by_key needs an integer key, {key!r} is not one")
@@ -78,15 +79,39 @@ def dedup_by_key(
         return _compare_only(df, quoted(key), keys.where(repeated), clean)
     if found.keys > broadcast_keys >= found.blocks and found.block_rows <= most_rows:
         return _compare_only(df, F.shiftright(quoted(key), block_bits), blocks.where(suspect), clean)
-    return dedup_rows(clean(df))
+    return dedup_by_hash(clean(df), broadcast_keys, worth_splitting)
+
+
+def dedup_by_hash(
+    df: DataFrame, broadcast_keys: int = BROADCAST_KEYS, worth_splitting: float = WORTH_SPLITTING
+) -> DataFrame:
+    """``dedup_rows(df)``, where rows whose hash of all columns occurs once stay as they are.
+
+    Equal rows have equal hashes, nulls, NaNs and signed zeros included; other rows of one
+    hash are compared in full. ``df`` has to give the same rows each time it is read. With
+    too many rows of repeated hashes all rows are shuffled and compared.
+    """
+    hashed = F.xxhash64(*[quoted(name) for name in df.columns])
+    hashes = df.groupBy(hashed.alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    repeated = F.col("n") > 1
+    found = hashes.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("all_rows"),
+        F.count_if(repeated).alias("keys"),
+        F.coalesce(F.sum(F.when(repeated, F.col("n"))), F.lit(0)).alias("key_rows"),
+    ).first()
+    if found.keys == 0:
+        return df
+    if found.keys <= broadcast_keys and found.key_rows <= worth_splitting * found.all_rows:
+        return _compare_only(df, hashed, hashes.where(repeated), lambda rows: rows)
+    return dedup_rows(df)
 
 
 def _compare_only(
     df: DataFrame, block: Column, blocks: DataFrame, clean: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
     # The caller has counted these and found them to be few.
-    few = F.broadcast(blocks.select("k"))
-    suspect = block.eqNullSafe(few["k"])
+    few = F.broadcast(blocks.select(F.col("k").alias("__repeated")))
+    suspect = block.eqNullSafe(F.col("__repeated"))
     single = df.join(few, suspect, "left_anti")
     several = df.join(few, suspect, "left_semi")
     return clean(single).unionByName(dedup_rows(clean(several)))

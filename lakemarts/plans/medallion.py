@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemarts.operators.cleaning import clean_columns, clean_names, clean_table
-from lakemarts.operators.dedup import dedup_by_key, is_integer_key
+from lakemarts.operators.dedup import dedup_by_hash, dedup_by_key, is_integer_key
 from lakemarts.operators.quality import (
     METRICS_SCHEMA,
     RowMetrics,
@@ -192,9 +192,11 @@ def silver_rows(bronze: DataFrame, spec: TableSpec, settings: LakeSettings) -> D
     options = {"blank_pii": settings.blank_pii, "salt": settings.salt}
     by_name = {name.strip().lower(): name for name in bronze.columns}
     key = by_name.get(spec.primary_key)
-    if settings.dedup_by_key and key is not None and is_integer_key(bronze, key):
+    if not settings.dedup_by_key:
+        return clean_table(bronze, **options)
+    if key is not None and is_integer_key(bronze, key):
         return dedup_by_key(bronze, key, partial(clean_columns, **options))
-    return clean_table(bronze, **options)
+    return dedup_by_hash(clean_columns(bronze, **options))
 
 
 def build_gold(spark: SparkSession, settings: LakeSettings) -> None:

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from lakemarts.operators import cleaning
-from lakemarts.operators.dedup import dedup_by_key
+from lakemarts.operators.dedup import dedup_by_hash, dedup_by_key
 
 EMPTY_DIGEST = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
 
@@ -152,6 +152,25 @@ def test_dedup_by_unique_key_shuffles_nothing(spark):
     assert kept.count() == 1000
 
 
+@pytest.mark.parametrize("limit, share", [(0, 1.0), (1_000_000, 0.1), (1_000_000, 1.0)])
+def test_dedup_by_hash_equals_dedup(spark, limit, share):
+    nan = float("nan")
+    rows = [("a", 0.0), ("a", -0.0), ("b", nan), ("b", nan), (None, None), (None, None), ("c", 1.0), (None, 1.0)]
+    df = spark.createDataFrame(rows, "k string, x double")
+    kept = dedup_by_hash(df, limit, share)
+    assert kept.count() == cleaning.dedup_rows(df).count() == 5
+    single = df.where("k = 'c' OR k IS NULL AND x = 1")
+    assert sorted(values(dedup_by_hash(single)), key=repr) == sorted(values(single), key=repr)
+
+
+def test_rows_of_repeated_keys_are_not_shuffled_whole(spark):
+    """Every key occurs twice, no row does: hashes are counted, the rows stay where they are."""
+    df = spark.range(2000).selectExpr("id % 1000 AS id", "cast(id AS string) AS city")
+    kept = dedup_by_key(df, "id", cleaning.clean_columns)
+    assert kept.count() == 2000
+    assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
 def test_dedup_by_key_needs_an_integer(spark):
     with pytest.raises(ValueError, match="city"):
         dedup_by_key(spark.createDataFrame([("a",)], "city string"), "city")
