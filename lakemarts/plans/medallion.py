@@ -333,6 +333,46 @@ def lake_broken_rules(spark: SparkSession, settings: LakeSettings) -> DataFrame:
     return _broken([*found, *_key_rules(silver)])
 
 
+def bronze_broken_rules(
+    spark: SparkSession, bronze: Mapping[str, DataFrame], settings: LakeSettings
+) -> DataFrame:
+    """:func:`broken_rules` of the Silver rows of ``bronze``, each table cleaned once.
+
+    Rules on single rows are counted while the key columns are written, and rules on keys
+    read only these. ``settings`` name a lake of its own, whose Silver tables then hold the
+    key columns alone.
+    """
+    _create_databases(spark, settings, "silver")
+
+    def keep(name: str) -> None:
+        rows = silver_rows(bronze[name], TABLES[name], settings)
+        metrics = RowMetrics(name, rows, *WRITE_RULES["silver"])
+        keys = metrics.rows.select(*_key_columns(name))
+        save_table(keys, _layer_table("silver", name, settings), settings, facts=metrics.found)
+
+    _run_graph(spark, {name: (partial(keep, name), ()) for name in TABLES}, settings)
+    known = []
+    for name in TABLES:
+        facts = table_facts(spark, _layer_table("silver", name, settings), settings)
+        known += [tuple(fact) for fact in facts if fact[0] in WRITE_RULES["silver"]]
+    lengths = audit_length(bronze).withColumn("rule", F.lit("length"))
+    counted = spark.createDataFrame(known, METRICS_SCHEMA)
+    return _broken([lengths, counted, *_key_rules(silver_tables(spark, settings))])
+
+
+def _key_columns(name: str) -> list[str]:
+    """Columns of a table that are unique, refer to another table or are referred to."""
+    spec = TABLES[name]
+    references = [*spec.foreign_keys, *spec.soft_keys]
+    referred = [
+        ref.parent_column
+        for other in TABLES.values()
+        for ref in (*other.foreign_keys, *other.soft_keys)
+        if ref.parent == name
+    ]
+    return list(dict.fromkeys([*spec.unique_keys, *[ref.column for ref in references], *referred]))
+
+
 def _key_rules(tables: Mapping[str, DataFrame]) -> list[DataFrame]:
     unique = audit_unique(tables).withColumn("rule", F.lit("unique"))
     references = audit_references(tables, "foreign key", "orphan")

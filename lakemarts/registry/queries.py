@@ -323,7 +323,8 @@ def audit_not_null(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def broken_rules(spark: SparkSession, data_dir: str) -> DataFrame:
     """All declared rules of a run, lengths on Bronze and the others on Silver."""
-    return medallion.broken_rules(silvers(spark, data_dir), bank_tables(spark, data_dir))
+    lake = _new_lake(spark, "broken_rules")
+    return medallion.bronze_broken_rules(spark, bank_tables(spark, data_dir), lake)
 
 
 def apply_defaults(spark: SparkSession, data_dir: str) -> DataFrame:
