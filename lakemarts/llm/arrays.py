@@ -162,9 +162,21 @@ def words_of(column: pa.Array, word_bytes: np.ndarray = WORD_BYTES) -> Iterator[
         )
 
 
+#: Grams of more words are hashed by running sums.
+SHORT_GRAM = 10
+
+
 def gram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hash of the ``n`` words from each word on; the last ``n - 1`` mean nothing."""
     total = np.zeros(len(hashes), np.uint64)
+    if n > SHORT_GRAM and len(hashes) >= n:
+        # The same sums, as differences of running ones.
+        powers, inverses = _power_tables(len(hashes) + 2)
+        sums = np.zeros(len(hashes) + 1, np.uint64)
+        np.cumsum(hashes * powers[1:-1], out=sums[1:])
+        whole = len(hashes) - n + 1
+        total[:whole] = (sums[n:] - sums[:whole]) * inverses[:whole]
+        return mix(total + np.uint64(n))
     for i in range(min(n, len(hashes))):
         factor = np.uint64(pow(_BASE, i + 1, 2**64))
         total[: len(hashes) - i] += hashes[i:] * factor

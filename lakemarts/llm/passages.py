@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemarts.llm.arrays import gram_hashes, list_array, minimizers, words_of
-from lakemarts.llm.frames import keyed_texts, membership_filter, might_hold, written
+from lakemarts.llm.frames import discard, keyed_texts, membership_filter, might_hold, written
 
 SEED = 5
 #: One gram in so many is a seed.
@@ -210,111 +210,227 @@ def _chained(batches, seed: int):
         yield work(pa.Table.from_batches(held))
 
 
-def _gap_matches(a: np.ndarray, b: np.ndarray) -> int:
-    """Words that a best alignment of two gaps keeps."""
-    if len(a) == len(b) and (a == b).sum() * 2 >= len(a):
-        return int((a == b).sum())
-    row = np.zeros(len(b) + 1, np.int64)
-    for word in a:
-        row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + (b == word)))
-    return int(row[-1])
+#: Stand for words beyond the end of a sequence; equal to no word and not to each other.
+_NO_WORD, _NO_WORD0 = 1 << 40, 1 << 41
+#: Words of a run looked at first; most runs end within them.
+FIRST_LOOK = 24
+#: Sequences aligned at a time, which bounds the memory.
+BLOCK = 4096
+
+
+class _Sides:
+    """Many pairs of word sequences, each read from a place on, in one direction."""
+
+    def __init__(self, a, at, left, b, at0, left0, step):
+        self.a, self.at, self.left, self.b, self.at0, self.left0, self.step = a, at, left, b, at0, left0, step
 
+    def take(self, rows) -> _Sides:
+        return _Sides(
+            self.a, self.at[rows], self.left[rows], self.b, self.at0[rows], self.left0[rows], self.step[rows]
+        )
+
+    def on(self, x, y) -> _Sides:
+        """The sequences after their first ``x`` and ``y`` words."""
+        return _Sides(
+            self.a, self.at + self.step * x, self.left - x, self.b, self.at0 + self.step * y, self.left0 - y, self.step
+        )
 
-def _extension(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
-    """How far two word sequences go on alike, in each of them, and how many words agree.
+    def first(self, n: int, n0: int) -> tuple[np.ndarray, np.ndarray]:
+        """Tables of the first words of both sides, a sequence per row."""
+        return (
+            self._words(self.a, self.at, self.left, n, _NO_WORD),
+            self._words(self.b, self.at0, self.left0, n0, _NO_WORD0),
+        )
+
+    def _words(self, values, at, left, n: int, none: int) -> np.ndarray:
+        column = np.arange(n)
+        inside = column < left[:, None]
+        if not len(values):
+            return np.full(inside.shape, none, np.int64)
+        places = np.clip(at[:, None] + self.step[:, None] * column, 0, len(values) - 1)
+        return np.where(inside, values[places].astype(np.int64), none)
+
+
+def _gap_matches(sides: _Sides) -> np.ndarray:
+    """Words that a best alignment of two gaps keeps."""
+    out = np.zeros(len(sides.at), np.int64)
+    order = np.lexsort((sides.left0, sides.left))
+    order = order[(sides.left[order] > 0) & (sides.left0[order] > 0)]
+    for begin in range(0, len(order), BLOCK):
+        rows = order[begin : begin + BLOCK]
+        part = sides.take(rows)
+        a, b = part.first(int(part.left.max()), int(part.left0.max()))
+        n = min(a.shape[1], b.shape[1])
+        out[rows] = (a[:, :n] == b[:, :n]).sum(axis=1)
+        hard = np.flatnonzero((part.left != part.left0) | (out[rows] * 2 < part.left))
+        a, b = a[hard], b[hard]
+        row = np.zeros((len(hard), b.shape[1] + 1), np.int32)
+        for i in range(a.shape[1] if len(hard) else 0):
+            kept = np.maximum(row[:, 1:], row[:, :-1] + (b == a[:, i, None]))
+            np.maximum.accumulate(kept, axis=1, out=row[:, 1:])
+        out[rows[hard]] = row[:, -1]
+    return out
+
+
+def _extensions(sides: _Sides) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How far the sequences of each pair go on alike, in each of them, and how many words agree.
 
     Words may be replaced anywhere; where they cease to agree, the sequences go on beside
     each other if a few words were put in or left out.
     """
-    x = y = agree = score = 0
-    best = (0, 0, 0, 0)
-    while True:
-        length, same = _run(a[x:], b[y:])
-        x, y, agree, score = x + length, y + length, agree + same, score + 3 * same - 2 * length
-        best = max(best, (score, x, y, agree))
-        gain, i, j = _bridge(a[x : x + BRIDGE], b[y : y + BRIDGE])
-        if not i or score + gain < best[0] - DROP:
-            return best[1:]
-        x, y, agree, score = x + i, y + j, agree + _gap_matches(a[x : x + i], b[y : y + j]), score + gain
-
-
-def _run(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
+    n = len(sides.at)
+    # Score, words on either side and words that agree: where the alignment stands, and at best.
+    now, best = np.zeros((n, 4), np.int64), np.zeros((n, 4), np.int64)
+    for begin in range(0, n, BLOCK):
+        rows = np.arange(begin, min(begin + BLOCK, n))
+        while len(rows):
+            rest = sides.take(rows).on(now[rows, 1], now[rows, 2])
+            length, same = _runs(rest)
+            now[rows] += np.stack([3 * same - 2 * length, length, length, same], axis=1)
+            old, new = best[rows], now[rows]
+            better, tied = np.zeros(len(rows), bool), np.ones(len(rows), bool)
+            for column in range(4):
+                better |= tied & (new[:, column] > old[:, column])
+                tied &= new[:, column] == old[:, column]
+            best[rows[better]] = new[better]
+            rest = rest.on(length, length)
+            gain, i, j = _bridges(rest)
+            going = np.flatnonzero((i > 0) & (now[rows, 0] + gain >= best[rows, 0] - DROP))
+            rows, rest = rows[going], rest.take(going)
+            gain, i, j = gain[going], i[going], j[going]
+            rest.left, rest.left0 = i, j
+            now[rows] += np.stack([gain, i, j, _gap_matches(rest)], axis=1)
+    return best[:, 1], best[:, 2], best[:, 3]
+
+
+def _runs(sides: _Sides) -> tuple[np.ndarray, np.ndarray]:
     """Length of the best common run with replaced words, and how many words agree."""
-    n = min(len(a), len(b))
-    if not n:
-        return 0, 0
-    same = a[:n] == b[:n]
-    score = np.cumsum(np.where(same, 1, -2))
-    low = np.maximum.accumulate(np.maximum(score, 0)) - score > DROP
-    stop = int(low.argmax()) if low.any() else n
-    if not stop or score[:stop].max() <= 0:
-        return 0, 0
-    length = int(score[:stop].argmax()) + 1
-    return length, int(same[:length].sum())
-
-
-def _bridge(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
+    n = np.minimum(sides.left, sides.left0)
+    length, same = np.zeros(len(n), np.int64), np.zeros(len(n), np.int64)
+    rows, width = np.flatnonzero(n > 0), FIRST_LOOK
+    while len(rows):
+        width = min(width, int(n[rows].max()))
+        a, b = sides.take(rows).first(width, width)
+        score = np.cumsum(np.where(a == b, 1, -2), axis=1)
+        ended = np.maximum.accumulate(np.maximum(score, 0), axis=1) - score > DROP
+        ended |= np.arange(width) >= n[rows, None]
+        stop = np.where(ended.any(axis=1), ended.argmax(axis=1), width)
+        score = np.where(np.arange(width) < stop[:, None], score, -1)
+        last = score.argmax(axis=1)
+        most = score[np.arange(len(rows)), last]
+        length[rows] = np.where(most > 0, last + 1, 0)
+        same[rows] = np.where(most > 0, (most + 2 * (last + 1)) // 3, 0)
+        rows = rows[(stop == width) & (n[rows] > width)]
+        width *= 8
+    return length, same
+
+
+def _bridges(sides: _Sides) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Score of the best alignment from the start of two short sequences, and where it ends.
 
-    It ends with a word that agrees; of equal scores the longest counts. (0, 0, 0) where
+    It ends with a word that agrees; of equal scores the longest counts. Zeros where
     hardly any word agrees.
     """
-    if min(len(a), len(b)) < LEAST_COMMON or np.isin(a, b).sum() < LEAST_COMMON:
-        return 0, 0, 0
-    cost = 2 * np.arange(len(b) + 1)
-    row, best = -cost, (-DROP, 0, 0, 0)
-    for i, word in enumerate(a.tolist(), 1):
-        same = b == word
-        across = row[:-1] + np.where(same, 1, -2)
+    gain, x, y = np.zeros((3, len(sides.at)), np.int64)
+    rows = np.flatnonzero(np.minimum(sides.left, sides.left0) >= LEAST_COMMON)
+    a, b = sides.take(rows).first(BRIDGE, BRIDGE)
+    common = np.zeros(len(rows), np.int64)
+    for i in range(BRIDGE):
+        common += (b == a[:, i, None]).any(axis=1)
+    some = common >= LEAST_COMMON
+    rows, a, b = rows[some], a[some], b[some]
+    cost, column = 2 * np.arange(BRIDGE + 1), np.arange(1, BRIDGE + 1)
+
+    def ranked(score, i, j):
+        """One number that orders by score, then by length, then by place."""
+        return (((score + 4 * BRIDGE) * 4 * BRIDGE + i + j) * 2 * BRIDGE + i) * 2 * BRIDGE + j
+
+    row = np.repeat(-cost[None], len(rows), axis=0)
+    best = np.full(len(rows), ranked(-DROP, 0, 0))
+    for i in range(1, BRIDGE + 1):
+        same = b == a[:, i - 1, None]
+        across = row[:, :-1] + np.where(same, 1, -2)
         row = row - 2
-        np.maximum(row[1:], across, out=row[1:])
-        row = np.maximum.accumulate(row + cost) - cost
-        for j in np.flatnonzero(same).tolist():
-            if across[j] == row[j + 1]:
-                best = max(best, (int(across[j]), i + j + 1, i, j + 1))
-    return best[0], best[2], best[3]
+        np.maximum(row[:, 1:], across, out=row[:, 1:])
+        row = np.maximum.accumulate(row + cost, axis=1) - cost
+        ends = same & (across == row[:, 1:])
+        np.maximum(best, np.where(ends, ranked(across, i, column), 0).max(axis=1), out=best)
+    gain[rows] = best // (16 * BRIDGE**3) - 4 * BRIDGE
+    x[rows], y[rows] = best // (2 * BRIDGE) % (2 * BRIDGE), best % (2 * BRIDGE)
+    return gain, x, y
+
+
+def alignments(
+    a: np.ndarray, bounds: np.ndarray, b: np.ndarray, bounds0: np.ndarray,
+    xs: np.ndarray, ys: np.ndarray, ties: np.ndarray, seed: int = SEED,
+) -> tuple[np.ndarray, ...]:
+    """Like :func:`align` for many chains at once, with numpy over all of them.
+
+    Chain ``i`` has the ties from ``ties[i]`` to ``ties[i + 1]``; its words lie in ``a`` from
+    ``bounds[i]`` to ``bounds[i + 1]`` and likewise in ``b``, and its ties are counted from there.
+    """
+    n = len(ties) - 1
+    chain = np.repeat(np.arange(n), np.diff(ties))
+    x, y = xs + bounds[chain], ys + bounds0[chain]
+    follows = np.flatnonzero(chain[1:] == chain[:-1])
+    gap, gap0 = x[follows + 1] - x[follows] - seed, y[follows + 1] - y[follows] - seed
+    apart = (gap >= 0) & (gap0 >= 0)
+    # A tie that overlaps the one before adds only what is new on both sides.
+    gain = np.where(apart, seed, np.minimum(gap, gap0) + seed)
+    at = follows[apart]
+    ones = np.ones(len(at), np.int64)
+    gain[apart] += _gap_matches(_Sides(a, x[at] + seed, gap[apart], b, y[at] + seed, gap0[apart], ones))
+    agree = seed + np.bincount(chain[follows], gain, n).astype(np.int64)
+    first, last, first0, last0 = x[ties[:-1]], x[ties[1:] - 1] + seed, y[ties[:-1]], y[ties[1:] - 1] + seed
+    left, left0, left_agree = _extensions(
+        _Sides(a, first - 1, first - bounds[:-1], b, first0 - 1, first0 - bounds0[:-1], np.full(n, -1))
+    )
+    right, right0, right_agree = _extensions(
+        _Sides(a, last, bounds[1:] - last, b, last0, bounds0[1:] - last0, np.ones(n, np.int64))
+    )
+    return (
+        first - left - bounds[:-1], last + right - bounds[:-1],
+        first0 - left0 - bounds0[:-1], last0 + right0 - bounds0[:-1],
+        agree + left_agree + right_agree,
+    )
 
 
 def align(
     a: np.ndarray, b: np.ndarray, xs: np.ndarray, ys: np.ndarray, seed: int = SEED
 ) -> tuple[int, int, int, int, int]:
     """(start, end) in ``a`` and in ``b`` of an aligned chain, and the words that agree."""
-    agree, x, y = 0, int(xs[0]), int(ys[0])
-    for next_x, next_y in zip(xs.tolist(), ys.tolist()):
-        if next_x >= x and next_y >= y:
-            agree += _gap_matches(a[x:next_x], b[y:next_y]) + seed
-            x, y = next_x + seed, next_y + seed
-        else:  # overlaps the seed before: only what it adds on both sides
-            step = min(next_x + seed - x, next_y + seed - y)
-            agree += max(step, 0)
-            x, y = max(x, next_x + seed), max(y, next_y + seed)
-    left, left0, left_agree = _extension(a[: xs[0]][::-1], b[: ys[0]][::-1])
-    right, right0, right_agree = _extension(a[x:], b[y:])
-    return (
-        int(xs[0]) - left, x + right, int(ys[0]) - left0, y + right0, agree + left_agree + right_agree,
-    )
+    ends = np.array([0, len(a)]), np.array([0, len(b)])
+    out = alignments(a, ends[0], b, ends[1], xs, ys, np.array([0, len(xs)]), seed)
+    return tuple(int(value[0]) for value in out)
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a column of lists, and where each list begins among them."""
+    offsets = column.offsets.to_numpy().astype(np.int64)
+    return column.flatten().to_numpy(), offsets - offsets[0]
 
 
 def _aligned(batches, seed: int, least_words: int, least_identity: float):
     for batch in batches:
-        rows, out = [], []
-        columns = [batch.column(name) for name in ("words", "words0", "from", "from0", "xs", "ys")]
-        for row in range(batch.num_rows):
-            a, b = (columns[i][row].values.to_numpy() for i in (0, 1))
-            shift, shift0 = columns[2][row].as_py(), columns[3][row].as_py()
-            xs, ys = (columns[i][row].values.to_numpy() for i in (4, 5))
-            start, end, start0, end0, agree = align(a, b, xs - shift, ys - shift0, seed)
-            identity = agree / max(end - start, end0 - start0)
-            if end - start >= least_words and identity >= least_identity:
-                rows.append(row)
-                out.append((start + shift, end + shift, start0 + shift0, end0 + shift0, identity))
-        found = list(zip(*out)) or [[]] * 5
-        taken = pa.array(rows, pa.int64())
+        (a, bounds), (b, bounds0), (xs, ties), (ys, _) = (
+            _flat(batch.column(name)) for name in ("words", "words0", "xs", "ys")
+        )
+        shift, shift0 = batch.column("from").to_numpy(), batch.column("from0").to_numpy()
+        counts = np.diff(ties)
+        start, end, start0, end0, agree = alignments(
+            a, bounds, b, bounds0, xs - np.repeat(shift, counts), ys - np.repeat(shift0, counts), ties, seed
+        )
+        identity = agree / np.maximum(end - start, end0 - start0)
+        rows = np.flatnonzero((end - start >= least_words) & (identity >= least_identity))
+        taken = pa.array(rows)
         yield pa.RecordBatch.from_arrays(
             [
                 *[batch.column(name).take(taken) for name in ("doc_id", "text_hash", "doc_id0", "text_hash0")],
-                *[pa.array(found[i], pa.int32()) for i in range(4)],
-                pa.array(found[4], pa.float64()),
+                *[
+                    pa.array((value + moved)[rows].astype(np.int32))
+                    for value, moved in ((start, shift), (end, shift), (start0, shift0), (end0, shift0))
+                ],
+                pa.array(identity[rows]),
             ],
             ["doc_id", "text_hash", "doc_id0", "text_hash0", "start", "end", "start0", "end0", "identity"],
         )
@@ -350,6 +466,7 @@ def repeated_passages(
     )
     repeated = written(seeds.groupBy("seed").agg(F.sum("n").alias("n")).filter("n > 1").select("seed"))
     known = membership_filter(repeated, "seed", sized=True)
+    discard(repeated)
     places = written(
         texts.mapInArrow(
             lambda batches: _places(batches, known.value, *sizes),
@@ -398,6 +515,7 @@ def repeated_passages(
             "xs array<int>, ys array<int>",
         )
     )
+    discard(places, firsts)
     named = found.select(F.explode(F.array("text_hash", "text_hash0")).alias("text_hash")).distinct()
     wanted = membership_filter(named, "text_hash", sized=True)
     words = written(
@@ -412,15 +530,16 @@ def repeated_passages(
 
     def part(rows: DataFrame, hash_col: str, ends: str, to: str, shift: str) -> DataFrame:
         """The words of one side of each chain, and some on either end of it."""
-        source = words.select(F.col("text_hash").alias(hash_col), F.col("words").alias("whole"))
+        source = words.select(F.col("text_hash").alias("__hash"), F.col("words").alias("whole"))
         margin = 4 * least_words
         low = F.greatest(F.element_at(ends, 1) - margin, F.lit(0))
         high = F.element_at(ends, -1) + seed + margin
+        # Both sides read ``source`` under the same names, so that it is shuffled once.
         return (
-            rows.join(source, hash_col)
+            rows.join(source, rows[hash_col] == source["__hash"])
             .withColumn(shift, low)
             .withColumn(to, F.slice("whole", low + 1, high - low))
-            .drop("whole")
+            .drop("whole", "__hash")
         )
 
     sides = part(part(found, "text_hash", "xs", "words", "from"), "text_hash0", "ys", "words0", "from0")
