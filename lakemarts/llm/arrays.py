@@ -189,15 +189,24 @@ def minimizers(grams: np.ndarray, grams_left: np.ndarray, window: int) -> np.nda
     Ties all count, so the choice depends on the text of the window alone, and two
     rows that share a window share the gram chosen in it.
     """
-    n = len(grams)
-    least = grams.copy()
-    for i in range(1, min(window, n)):
-        np.minimum(least[: n - i], grams[i:], out=least[: n - i])
+    least = sliding(np.minimum, grams, window)
+    # A gram is the least of some window if the greatest of their least ones is no less.
     full = grams_left >= window
-    chosen = np.zeros(n, bool)
-    for i in range(min(window, n)):
-        chosen[i:] |= full[: n - i] & (grams[i:] == least[: n - i])
-    return chosen
+    least[~full] = 0
+    inside = sliding(np.maximum, full[::-1], window)[::-1]
+    return inside & (sliding(np.maximum, least[::-1], window)[::-1] == grams)
+
+
+def sliding(pick: np.ufunc, values: np.ndarray, window: int) -> np.ndarray:
+    """``pick`` (minimum or maximum) of up to ``window`` values from each on, along the last axis."""
+    out, width = values.copy(), 1
+    while width < window:
+        # Of twice as many values, or the last ones so far that are needed.
+        step = min(width, window - width)
+        longer = out.copy()
+        pick(out[..., :-step], out[..., step:], out=longer[..., :-step])
+        out, width = longer, width + step
+    return out
 
 
 #: Rows that :func:`added_rows` holds before it adds up equal ones.

@@ -11,17 +11,22 @@ ties of two documents are chained: a chain runs forward in both, gains by each s
 and pays for gaps, and a Fenwick tree over the second document's positions finds the
 best predecessor. Chains are then aligned word by word, within gaps and beyond their
 ends, and passages that are long and similar enough are reported.
+
+Every long gram of a passage may have stood in earlier documents that lack the passage. So
+windows of as many words as a passage has at least, that no reported passage covers and
+that may have occurred before, are then tied whole to their first occurrence, and
+neighbouring ones joined to exact repetitions: no exact passage depends on where its parts stood.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakemarts.llm.arrays import gram_hashes, list_array, minimizers, words_of
-from lakemarts.llm.frames import discard, keyed_texts, membership_filter, might_hold, written
+from lakemarts.llm.arrays import gram_hashes, list_array, minimizers, mix, row_slices, sliding, words_of
+from lakemarts.llm.frames import discard, keyed_texts, left_join_null_safe, membership_filter, might_hold, written
 
 SEED = 5
 #: One gram in so many is a seed.
@@ -104,13 +109,12 @@ def _word_rows(batches, known: np.ndarray):
             rows = slice(words.first_row, words.first_row + words.rows)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id")[rows],
                     batch.column("text_hash")[rows],
                     list_array(
                         pa.array(words.hashes().view(np.int64).astype(np.int32)), words.counts
                     ),
                 ],
-                ["doc_id", "text_hash", "words"],
+                ["text_hash", "words"],
             )
 
 
@@ -173,8 +177,14 @@ def _chained(batches, seed: int):
         change[1:] = ~change[1:]
         bounds = [*np.flatnonzero(change).tolist(), len(x)]
         rows, xs, ys = [], [], []
+        x, y = x.tolist(), y.tolist()
         for a, b in zip(bounds, bounds[1:]):
-            own_x, own_y = x[a:b].tolist(), y[a:b].tolist()
+            own_x, own_y = x[a:b], y[a:b]
+            if b - a == 1:
+                rows.append(a)
+                xs.append(own_x)
+                ys.append(own_y)
+                continue
             low = own_x[0]
             covered = bytearray(own_x[-1] - low + seed)
             for chain in chains(own_x, own_y, seed):
@@ -436,6 +446,140 @@ def _aligned(batches, seed: int, least_words: int, least_identity: float):
         )
 
 
+#: Slots of windows, or words, that are taken together; a longer document is taken by itself.
+SLICE_WORDS = 1_000_000
+#: Stands where no long gram begins.
+_NO_GRAM = np.uint64(2**64 - 1)
+
+
+def _open_windows(batches, span: int):
+    """Windows whose least long gram has stood before: ranges of their first words, by document.
+
+    A window has ``span`` places for a long gram. The least one among them is chosen wherever the
+    window occurs; where that is its first place, the window has not occurred before.
+    """
+    for batch in batches:
+        marks = batch.column("marks")
+        bounds = marks.offsets.to_numpy().astype(np.int64)
+        place, gram, first = (part.to_numpy(zero_copy_only=False) for part in marks.flatten().flatten())
+        bounds -= bounds[0]
+        if not len(place):
+            continue
+        most = np.maximum.reduceat(place, bounds[:-1]).astype(np.int64)
+        offsets = np.append(0, np.cumsum(most + 1 + span))
+        for a, b in row_slices(offsets, SLICE_WORDS):
+            base = offsets[a : b + 1] - offsets[a]
+            own = slice(bounds[a], bounds[b])
+            slot = place[own] + np.repeat(base[:-1], np.diff(bounds[a : b + 1]))
+            least = np.full((2, base[-1]), _NO_GRAM)
+            least[first[own].astype(int), slot] = gram[own].view(np.uint64)
+            least = sliding(np.minimum, least, span)
+            still = (least[0] <= least[1]) & (least[0] != _NO_GRAM)
+            # Behind the last mark of a document the next one would be looked into.
+            still &= np.arange(base[-1]) - np.repeat(base[:-1], np.diff(base)) <= np.repeat(most[a:b], np.diff(base))
+            edge = np.diff(still.astype(np.int8), prepend=0, append=0)
+            low, high = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+            row = np.searchsorted(base, low, "right") - 1
+            counts = np.bincount(row, minlength=b - a)
+            some = np.flatnonzero(counts)
+            taken = pa.array(some + a)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id").take(taken),
+                    batch.column("text_hash").take(taken),
+                    *[list_array(pa.array((ends - base[row]).astype(np.int32)), counts[some]) for ends in (low, high)],
+                ],
+                ["doc_id", "text_hash", "lows", "highs"],
+            )
+
+
+def _held(batches, known: np.ndarray):
+    """Rows whose text may be wanted, so that the join behind shuffles few others."""
+    for batch in batches:
+        yield batch.filter(pa.array(might_hold(known, batch.column("text_hash").to_numpy())))
+
+
+def _uncovered(batches, least_words: int):
+    """First words of the windows that lie in no reported passage."""
+    for batch in batches:
+        rows, places = [], []
+        columns = [batch.column(name) for name in ("lows", "highs", "starts", "ends")]
+        for row in range(batch.num_rows):
+            lows, highs = (columns[i][row].values.to_numpy() for i in (0, 1))
+            change = np.zeros(highs[-1] + 1, np.int32)
+            change[lows] = 1
+            change[highs] = -1
+            inside = np.cumsum(change[:-1]) > 0
+            if columns[2][row].is_valid:
+                starts, ends = (columns[i][row].values.to_numpy() for i in (2, 3))
+                change[:] = 0
+                np.add.at(change, np.minimum(starts, highs[-1]), 1)
+                np.add.at(change, np.minimum(ends - least_words + 1, highs[-1]), -1)
+                inside &= np.cumsum(change[:-1]) == 0
+            if inside.any():
+                rows.append(row)
+                places.append(np.flatnonzero(inside).astype(np.int32))
+        taken = pa.array(rows, pa.int64())
+        values = pa.array(np.concatenate(places) if places else np.zeros(0, np.int32))
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("doc_id").take(taken),
+                batch.column("text_hash").take(taken),
+                list_array(values, np.array([len(part) for part in places], np.int64)),
+            ],
+            ["doc_id", "text_hash", "places"],
+        )
+
+
+def _window_slices(batch: pa.RecordBatch, least_words: int):
+    """Slices of rows: the first one, bounds of each row's words, and the hash of the window from each word."""
+    words, bounds = _flat(batch.column("words"))
+    for a, b in row_slices(bounds, SLICE_WORDS):
+        own = words[bounds[a] : bounds[b]].astype(np.int64).view(np.uint64)
+        yield a, bounds[a : b + 1] - bounds[a], gram_hashes(mix(own), least_words).view(np.int64)
+
+
+def _late_windows(batches, least_words: int):
+    """Hashes of the windows at ``places``."""
+    for batch in batches:
+        places, each = _flat(batch.column("places"))
+        for a, base, grams in _window_slices(batch, least_words):
+            n = len(base) - 1
+            row = np.repeat(np.arange(n), np.diff(each[a : a + n + 1]))
+            place = places[each[a] : each[a + n]]
+            at = base[row] + place
+            whole = at + least_words <= base[row + 1]
+            taken = pa.array(row[whole] + a)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id").take(taken),
+                    batch.column("text_hash").take(taken),
+                    pa.array(grams[at[whole]]),
+                    pa.array(place[whole]),
+                ],
+                ["doc_id", "text_hash", "gram", "place"],
+            )
+
+
+def _all_windows(batches, known: np.ndarray, least_words: int):
+    """Hashes of all windows that may be among the known ones."""
+    for batch in batches:
+        for a, base, grams in _window_slices(batch, least_words):
+            row = np.repeat(np.arange(len(base) - 1), np.diff(base))
+            at = np.flatnonzero(np.arange(len(row)) + least_words <= base[row + 1])
+            at = at[might_hold(known, grams[at])]
+            taken = pa.array(row[at] + a)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id").take(taken),
+                    batch.column("text_hash").take(taken),
+                    pa.array(grams[at]),
+                    pa.array((at - base[row[at]]).astype(np.int32)),
+                ],
+                ["doc_id", "text_hash", "gram", "place"],
+            )
+
+
 def repeated_passages(
     docs: DataFrame,
     *,
@@ -452,9 +596,9 @@ def repeated_passages(
     end0`` of an earlier occurrence, all in words with exclusive ends, and ``identity``, the
     share of words that agree. A passage may repeat one of its own document. Null and
     empty texts have no words. A null doc_id is the least. Rows that repeat both doc_id
-    and text are one document here. A long gram has at least :data:`LONG` words; of an exact
-    repetition of ``least_words`` one is tied wherever its parts stood before, unless an
-    earlier document holds so many of its words but not the passage.
+    and text are one document here. Every window of ``least_words`` words that occurred before,
+    word for word, lies in a reported passage, wherever its parts stood. Of edited passages
+    only those are found that a seed or long gram ties to its first occurrence.
     """
     texts = keyed_texts(docs, id_col, text_col)
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -477,13 +621,14 @@ def repeated_passages(
     # Written before the join, so that a seed in very many texts can be split there.
     firsts = written(
         places.groupBy("seed")
-        .agg(F.min(order).alias("first"), F.max(order).alias("last"))
+        .agg(F.min(order).alias("first"), F.max(order).alias("last"), F.bool_or("long").alias("is_long"))
         .filter("first < last")
         .select(
             "seed",
             F.col("first.doc_id").alias("doc_id0"),
             F.col("first.text_hash").alias("text_hash0"),
             F.col("first.place").alias("place0"),
+            "is_long",
         )
     )
     same_doc = F.col("doc_id").eqNullSafe(F.col("doc_id0")) & (F.col("text_hash") == F.col("text_hash0"))
@@ -515,18 +660,39 @@ def repeated_passages(
             "xs array<int>, ys array<int>",
         )
     )
+    marks = (
+        places.filter("long")
+        .join(firsts.filter("is_long"), "seed")
+        .select(*key, "place", F.col("seed").alias("gram"), (same_doc & (F.col("place") == F.col("place0"))).alias("first"))
+        .repartition(*key)
+        .distinct()  # needs no further shuffle, nor does the grouping
+        .groupBy(*key)
+        .agg(F.collect_list(F.struct("place", "gram", "first")).alias("marks"))
+    )
+    opened = written(
+        marks.mapInArrow(
+            lambda batches: _open_windows(batches, sizes[3]),
+            f"doc_id {id_type}, text_hash bigint, lows array<int>, highs array<int>",
+        )
+    )
     discard(places, firsts)
-    named = found.select(F.explode(F.array("text_hash", "text_hash0")).alias("text_hash")).distinct()
+    # Every text with a repeated long gram is among them, and the first document that has it.
+    sides = F.explode(F.array(F.struct(*key), F.struct(*[F.col(a).alias(b) for a, b in zip(key0, key)])))
+    named = written(
+        found.select(sides.alias("side"))
+        .groupBy("side.text_hash")
+        .agg(F.min(F.struct("side.doc_id")).alias("doc"))
+    )
     wanted = membership_filter(named, "text_hash", sized=True)
     words = written(
         texts.mapInArrow(
-            lambda batches: _word_rows(batches, wanted.value),
-            f"doc_id {id_type}, text_hash bigint, words array<int>",
+            lambda batches: _word_rows(batches, wanted.value), "text_hash bigint, words array<int>"
         )
-        .join(named, "text_hash", "left_semi")
+        .join(named, "text_hash")
         .dropDuplicates(["text_hash"])
-        .select("text_hash", "words")
+        .select("text_hash", "doc.doc_id", "words")
     )
+    discard(named)
 
     def part(rows: DataFrame, hash_col: str, ends: str, to: str, shift: str) -> DataFrame:
         """The words of one side of each chain, and some on either end of it."""
@@ -542,9 +708,71 @@ def repeated_passages(
             .drop("whole", "__hash")
         )
 
-    sides = part(part(found, "text_hash", "xs", "words", "from"), "text_hash0", "ys", "words0", "from0")
-    return sides.mapInArrow(
-        lambda batches: _aligned(batches, seed, least_words, least_identity),
-        f"doc_id {id_type}, text_hash bigint, doc_id0 {id_type}, text_hash0 bigint, "
-        "start int, end int, start0 int, end0 int, identity double",
+    both = part(part(found, "text_hash", "xs", "words", "from"), "text_hash0", "ys", "words0", "from0")
+    aligned = written(
+        both.mapInArrow(
+            lambda batches: _aligned(batches, seed, least_words, least_identity),
+            f"doc_id {id_type}, text_hash bigint, doc_id0 {id_type}, text_hash0 bigint, "
+            "start int, end int, start0 int, end0 int, identity double",
+        )
+    )
+    discard(found)
+    return aligned.unionByName(_exact_rest(aligned, opened, words, id_type, least_words))
+
+
+def _exact_rest(
+    aligned: DataFrame, opened: DataFrame, words: DataFrame, id_type: str, least_words: int
+) -> DataFrame:
+    """Exact repetitions of open windows that lie in no aligned passage."""
+    key, key0 = ["doc_id", "text_hash"], ["doc_id0", "text_hash0"]
+    window = f"doc_id {id_type}, text_hash bigint, gram bigint, place int"
+    covers = aligned.groupBy(*key).agg(
+        F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends")
+    )
+    rest = left_join_null_safe(opened, covers, *key).mapInArrow(
+        lambda batches: _uncovered(batches, least_words), f"doc_id {id_type}, text_hash bigint, places array<int>"
+    )
+    rest = written(rest)
+    wanted = membership_filter(rest, "text_hash", sized=True)
+    named = words.select("text_hash", "words").mapInArrow(
+        lambda batches: _held(batches, wanted.value), "text_hash bigint, words array<int>"
+    )
+    late = written(
+        rest.join(named, "text_hash")
+        .select(*key, "places", "words")
+        .mapInArrow(lambda batches: _late_windows(batches, least_words), window)
+    )
+    known = membership_filter(late, "gram", sized=True)
+    # Written before the join, so that a window in very many texts can be split there.
+    firsts = written(
+        words.mapInArrow(lambda batches: _all_windows(batches, known.value, least_words), window)
+        .groupBy("gram")
+        .agg(F.min(F.struct(*key, "place")).alias("first"))
+    )
+    again = (
+        late.join(firsts, "gram")
+        .filter(F.col("first") < F.struct(*key, "place"))
+        .select(
+            *key,
+            F.col("first.doc_id").alias("doc_id0"),
+            F.col("first.text_hash").alias("text_hash0"),
+            "place",
+            (F.col("first.place") - F.col("place")).alias("shift"),
+        )
+    )
+    along = Window.partitionBy(*key, *key0, "shift").orderBy("place")
+    first, end = F.min("place"), F.max("place") + least_words
+    return (
+        again.withColumn("run", F.col("place") - F.row_number().over(along))
+        .groupBy(*key, *key0, "shift", "run")
+        .agg(first.alias("start"), end.alias("end"))
+        .select(
+            *key,
+            *key0,
+            "start",
+            "end",
+            (F.col("start") + F.col("shift")).alias("start0"),
+            (F.col("end") + F.col("shift")).alias("end0"),
+            F.lit(1.0).alias("identity"),
+        )
     )
