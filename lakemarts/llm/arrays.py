@@ -14,8 +14,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-#: Texts are taken together up to this many bytes; a longer text is one slice.
-SLICE_BYTES = 2_000_000
+#: Texts are taken together up to this many bytes; a longer text is one slice. A task holds
+#: some hundred bytes for each of them.
+SLICE_BYTES = 1 << 19
 
 WORD_BYTES = np.zeros(256, bool)
 WORD_BYTES[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True

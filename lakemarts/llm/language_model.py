@@ -91,8 +91,9 @@ class Tokens:
 def tokens_of(words: Words) -> Tokens:
     counts = words.counts
     closed = counts + 1
-    row = np.repeat(np.arange(words.rows), closed)
-    place = np.arange(len(row)) - np.repeat(np.cumsum(closed) - closed, closed)
+    row = np.repeat(np.arange(words.rows, dtype=np.int32), closed)
+    place = np.arange(len(row), dtype=np.int32)
+    place -= np.repeat((np.cumsum(closed) - closed).astype(np.int32), closed)
     hashes = np.full(len(row), _END)
     hashes[place < counts[row]] = words.hashes()
     return Tokens(row, hashes, place)
@@ -131,10 +132,25 @@ def _keys(grams: np.ndarray, segment_bits: int) -> np.ndarray:
     return grams >> np.uint64(64 - segment_bits - CODE_BITS)
 
 
+def _begins(keys: np.ndarray) -> np.ndarray:
+    """Which of sorted keys differ from the one before."""
+    return np.append(True, keys[1:] != keys[:-1])[: len(keys)]
+
+
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    """Each key once, sorted; numpy's own way of hashing takes several times longer."""
+    keys = np.sort(keys)
+    return keys[_begins(keys)]
+
+
 def _added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, sorted, with the sums of their counts."""
-    distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
-    return distinct, np.bincount(at, np.concatenate(counts), minlength=len(distinct)).astype(np.int64)
+    together = np.concatenate(keys)
+    order = np.argsort(together)
+    together = together[order]
+    first = np.flatnonzero(_begins(together))
+    times = np.concatenate(counts)[order]
+    return together[first], np.add.reduceat(times, first) if len(first) else times
 
 
 def _segment_cuts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -469,21 +485,16 @@ def _weights(held: DataFrame, order: int, tokens: int, types: int) -> Weights:
     return Weights(means, mu, tokens, types, rest)
 
 
-def _stream(column: pa.Array) -> Tokens:
-    """The tokens of all rows of a block."""
-    parts = [(words.first_row, tokens_of(words)) for words in words_of(column, TOKEN_BYTES)]
-    return Tokens(
-        np.concatenate([tokens.row + first for first, tokens in parts]),
-        np.concatenate([tokens.hashes for _, tokens in parts]),
-        np.concatenate([tokens.place for _, tokens in parts]),
-    )
+def _keys_asked(tokens: Tokens, n: int, segment_bits: int) -> np.ndarray:
+    """Keys of the n-grams of one order, where there are any; the begin ends those of order 1."""
+    if n == 1:
+        return _keys(_one_gram(np.append(tokens.hashes, _BEGIN)), segment_bits)
+    return _keys(tokens.grams(n)[tokens.place >= n - 2], segment_bits)
 
 
-def _keys_asked(stream: Tokens, n: int, segment_bits: int) -> np.ndarray:
-    """Keys of a block's n-grams of one order, where there are any; the begin ends those of order 1."""
-    if n == 1:
-        return _keys(_one_gram(np.append(stream.hashes, _BEGIN)), segment_bits)
-    return _keys(stream.grams(n)[stream.place >= n - 2], segment_bits)
+def _distinct_keys(slices: list[Tokens], n: int, segment_bits: int) -> np.ndarray:
+    """The sorted keys of one order that a block asks for, each once."""
+    return _distinct(np.concatenate([_distinct(_keys_asked(tokens, n, segment_bits)) for tokens in slices]))
 
 
 def _texts_of(table: pa.Table) -> pa.Array:
@@ -496,10 +507,11 @@ _ASKED = "segment int, block int, size int, data binary"
 
 def _asked(table: pa.Table, order: int, segment_bits: int) -> pa.Table:
     """The distinct n-grams of a block, a row for each order and segment."""
-    block, stream = table.column("block")[0].as_py(), _stream(_texts_of(table))
+    block = table.column("block")[0].as_py()
+    slices = [tokens_of(words) for words in words_of(_texts_of(table), TOKEN_BYTES)]
     rows = []
     for n in range(1, order + 1):
-        keys = np.unique(_keys_asked(stream, n, segment_bits))
+        keys = _distinct_keys(slices, n, segment_bits)
         present, cuts = _segment_cuts(keys)
         rows.append(
             pa.table(
@@ -540,69 +552,97 @@ def _looked_up(batches, most: int):
             )
 
 
-def _rare_of(names: list[list[str]], frequent: dict[str, int]) -> list[str]:
+def _rare_of(names: list[pa.Array], frequent: pa.Table) -> pa.Array:
     """The distinct words that are not frequent, sorted."""
-    return sorted(name for name in set().union(*names) if name not in frequent)
+    distinct = pc.unique(pa.chunked_array(names, pa.large_string()))
+    rare = distinct.filter(pc.invert(pc.is_in(distinct, frequent["token"])))
+    return rare.take(pc.sort_indices(rare))
 
 
 def _rare_rows(table: pa.Table, heavy: Broadcast) -> pa.Table:
-    names = [words.numbered()[1].to_pylist() for words in words_of(_texts_of(table), TOKEN_BYTES)]
+    names = [words.numbered()[1] for words in words_of(_texts_of(table), TOKEN_BYTES)]
     rare, block = _rare_of(names, heavy.value), table.column("block")[0].as_py()
     return pa.table(
         {
             "block": pa.array(np.full(len(rare), block), pa.int32()),
             "part": pa.array(np.arange(len(rare)), pa.int32()),
-            "token": pa.array(rare, pa.string()),
+            "token": rare.cast(pa.string()),
         }
     )
 
 
-def _scored(table: pa.Table, answers: pa.Table, weights: Weights, segment_bits: int, heavy: Broadcast, ends: int) -> pa.Table:
-    """The scores of a block's texts, from the levels and counts of what was asked."""
-    texts = _texts_of(table)
-    rows, frequent = len(texts), heavy.value
-    scale = math.log10(weights.tokens + weights.types + 1)
-    slices = []
+def _base_scores(
+    texts: pa.Array, answers: pa.Table, weights: Weights, frequent: pa.Table, ends: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[Tokens]]:
+    """Tokens, known ones and base score of each text of a block; the tokens of its slices."""
+    rows, slices, counted, names = len(texts), [], [], []
     for words in words_of(texts, TOKEN_BYTES):
-        number, names = words.numbered()
-        slices.append((words.first_row, words.counts, number.astype(np.int32), names.to_pylist()))
-    rare = _rare_of([names for *_, names in slices], frequent)
+        number, distinct = words.numbered()
+        slices.append(tokens_of(words))
+        counted.append((words.first_row, words.counts, number.astype(np.int32)))
+        names.append(distinct)
+    rare = _rare_of(names, frequent)
     joined = answers.filter(pc.equal(answers["size"], 0))
     times = np.zeros(len(rare), np.int64)
     times[joined["part"].to_numpy()] = joined["n"].to_numpy()
-    own = dict(zip(rare, times.tolist()))
+    # Of each word, frequent or rare; no word is both.
+    held = pa.concat_arrays([*(chunk for chunk in frequent["token"].chunks), rare])
+    times = np.append(frequent["n"].to_numpy(), times)
     n_tokens, known = np.zeros(rows, np.int64), np.full(rows, int(ends > 0), np.int64)
     base = np.zeros(rows)
-    for first, sizes, number, names in slices:
-        counts = np.array([frequent.get(name) or own.get(name, 0) for name in names], np.int64)[number]
+    # All slices at once, since the words held are hashed for each call.
+    times = times[pc.index_in(pa.concat_arrays(names), held).to_numpy()]
+    cuts = np.cumsum([0, *map(len, names)])
+    for (first, sizes, number), begin, end in zip(counted, cuts, cuts[1:]):
+        counts = times[begin:end][number]
         row, these = np.repeat(np.arange(len(sizes)), sizes), slice(first, first + len(sizes))
         n_tokens[these] = sizes + 1
         known[these] += np.bincount(row[counts > 0], minlength=len(sizes))
         base[these] = np.bincount(row, np.log10(counts + 1.0), minlength=len(sizes))
-    base += math.log10(ends + 1) - scale * n_tokens
-    stream = _stream(texts)
-    counts, begin = [np.zeros(0)], 0.0
+    base += math.log10(ends + 1) - math.log10(weights.tokens + weights.types + 1) * n_tokens
+    return n_tokens, known, base, slices
+
+
+def _scored(table: pa.Table, answers: pa.Table, weights: Weights, segment_bits: int, heavy: Broadcast, ends: int) -> pa.Table:
+    """The scores of a block's texts, from the levels and counts of what was asked.
+
+    Besides the block's tokens and distinct n-grams, only one slice of its texts is held
+    in numbers at a time.
+    """
+    texts = _texts_of(table)
+    n_tokens, known, base, slices = _base_scores(texts, answers, weights, heavy.value, ends)
+    asked, levels = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint8)]
     for n in range(1, weights.order + 1):
-        distinct, at = np.unique(_keys_asked(stream, n, segment_bits), return_inverse=True)
+        asked.append(_distinct_keys(slices, n, segment_bits))
         own_levels = answers.filter(pc.equal(answers["size"], n)).sort_by("part")["levels"]
-        levels = np.frombuffer(b"".join(own_levels.to_pylist()), np.uint8)
-        if len(levels) != len(distinct):
-            raise ValueError(f"{len(distinct)} n-grams were asked for, but {len(levels)} levels came back")
-        found = weights.counts(levels, n)[at]
-        if n == 1:
-            counts.append(found[:-1])
-            begin = found[-1]
-        else:
-            counts.append(np.zeros(len(stream.row)))
-            counts[n][stream.place >= n - 2] = found
-    logs = weights.log_probabilities(stream, counts, begin)
+        levels.append(np.frombuffer(b"".join(own_levels.to_pylist()), np.uint8))
+        if len(levels[n]) != len(asked[n]):
+            raise ValueError(f"{len(asked[n])} n-grams were asked for, but {len(levels[n])} levels came back")
+    score, first = np.zeros(len(texts)), 0
+    for tokens in slices:
+        counts, begin = [np.zeros(0)], 0.0
+        for n in range(1, weights.order + 1):
+            # Sorted keys are found faster.
+            distinct, at = np.unique(_keys_asked(tokens, n, segment_bits), return_inverse=True)
+            found = weights.counts(levels[n][np.searchsorted(asked[n], distinct)], n)[at]
+            if n == 1:
+                counts.append(found[:-1])
+                begin = found[-1]
+            else:
+                counts.append(np.zeros(len(tokens.row)))
+                counts[n][tokens.place >= n - 2] = found
+        logs = weights.log_probabilities(tokens, counts, begin)
+        # Every row has a token at least: its end.
+        rows = int(tokens.row[-1]) + 1
+        score[first : first + rows] = np.bincount(tokens.row, logs, minlength=rows)
+        first += rows
     return pa.table(
         {
             "doc_id": table.column("doc_id"),
             "n_tokens": pa.array(n_tokens),
             "n_known": pa.array(known),
             "base_score": pa.array(base),
-            "score": pa.array(np.bincount(stream.row, logs, minlength=rows)),
+            "score": pa.array(score),
         }
     )
 
@@ -619,7 +659,14 @@ def score_texts(
     same probability. Rows of one id and text are in one block, so all of them have to fit
     a task.
     """
-    heavy = docs.sparkSession.sparkContext.broadcast(model.heavy)
+    heavy = docs.sparkSession.sparkContext.broadcast(
+        pa.table(
+            {
+                "token": pa.array(model.heavy.keys(), pa.large_string()),
+                "n": pa.array(model.heavy.values(), pa.int64()),
+            }
+        )
+    )
     order, bits, ends, weights = model.weights.order, model.segment_bits, model.ends, model.weights
     id_type = docs.schema[id_col].dataType.simpleString()
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))

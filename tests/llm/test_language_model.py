@@ -5,8 +5,10 @@ from __future__ import annotations
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +20,10 @@ from lakemarts.llm.language_model import (
     BITS_PER_ENTRY,
     END,
     TOKEN_BYTES,
+    Weights,
+    _asked,
+    _rare_rows,
+    _scored,
     score_texts,
     tokens_of,
     train_language_model,
@@ -153,6 +159,39 @@ def test_blocks_and_segments_change_no_score(spark, monkeypatch):
     assert sum(row[4] for row in cut) == pytest.approx(sum(row[4] for row in one), rel=0.01)
 
 
+def test_a_block_is_scored_in_little_memory():
+    """A task holds a block's tokens and distinct n-grams, and one slice of it in numbers."""
+    rng = np.random.default_rng(1)
+    texts = [" ".join(f"w{i}" for i in rng.zipf(1.3, 2000) % 100_000) for _ in range(1000)]
+    block = pa.table({"doc_id": np.arange(1000), "text": texts, "block": pa.array(np.zeros(1000), pa.int32())})
+    size = sum(map(len, texts))
+    heavy = SimpleNamespace(value=pa.table({"token": pa.array(["w1"], pa.large_string()), "n": [9]}))
+    weights = Weights([np.zeros(1), np.array([0.0, 1.0]), np.array([0.0, 1.0])], [0.0, 0.0, 2.0], 10**6, 10**5, 0.0)
+
+    def peak(work):
+        tracemalloc.start()
+        found = work()
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return found, most / size
+
+    peak(lambda: _asked(block.slice(0, 10), 2, 4))  # the tables of powers
+    asked, most = peak(lambda: _asked(block, 2, 4))
+    assert most < 8
+    rare = _rare_rows(block, heavy)
+    levels = [np.ones(len(one) // 4, np.uint8).tobytes() for one in asked["data"].to_pylist()]
+    answers = pa.concat_tables(
+        [
+            pa.table({"size": asked["size"], "part": asked["segment"], "levels": levels}),
+            pa.table({"size": pa.array(np.zeros(len(rare)), pa.int32()), "part": rare["part"], "n": np.full(len(rare), 3)}),
+        ],
+        promote_options="default",
+    )
+    scored, most = peak(lambda: _scored(block, answers, weights, 4, heavy, 1000))
+    assert most < 10
+    assert scored["n_tokens"].to_pylist() == scored["n_known"].to_pylist() == [2001] * 1000
+
+
 def test_no_texts(spark):
     empty = spark.createDataFrame([], "doc_id int, text string")
     model = train_language_model(empty)
