@@ -12,7 +12,7 @@ from __future__ import annotations
 import json
 import os
 import re
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 
@@ -40,15 +40,20 @@ class Encoder:
     """One vocabulary, ready in a Python worker."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self._tokenizer = Tokenizer.from_file(path)
+        self._path = path
         with open(path, encoding="utf-8") as file:
             kind = json.load(file)
         self._added = [token["content"] for token in kind.get("added_tokens", [])]
         self._plain = self._by_ranks(kind)
 
+    @cached_property
+    def _tokenizer(self):
+        """The library's own encoder; most workers never need it, and it takes memory."""
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self._path)
+
     def _by_ranks(self, kind: dict):
         """Encoder of ordinary text where ids follow the order of merges, else None."""
         before, model = kind.get("pre_tokenizer") or {}, kind["model"]
